@@ -258,15 +258,16 @@ ORACLES = {
     + "SELECT *, count(*) OVER (PARTITION BY seq, target_company) > 1 AS is_duplicate FROM v_mention",
     "homonym_resolve": with_(
         *MATCHING,
-        "size AS (SELECT count(*) AS n FROM embeddings)",
-        """cosines AS (SELECT a.vec_id AS av, c.vec_id AS cv,
+        """cosines AS MATERIALIZED (SELECT a.vec_id AS av, c.vec_id AS cv,
   list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS cos FROM embeddings a, embeddings c)""",
-        """wanted AS (SELECT DISTINCT m.seq, m.target_company, d.clean_cust_nm, d.n_candidates
+        """wanted AS MATERIALIZED (SELECT DISTINCT m.seq, m.seq % (SELECT count(*) FROM embeddings) AS av,
+    m.target_company, d.clean_cust_nm, d.n_candidates
   FROM mention m JOIN directory d ON m.clean_target_company = d.clean_cust_nm)""",
+        """candidate AS MATERIALIZED (SELECT clean_cust_nm, cust_no, cust_nm,
+    CAST(cust_no AS BIGINT) % (SELECT count(*) FROM embeddings) AS cv FROM company)""",
     ) + """SELECT w.seq, w.target_company, c.cust_no, c.cust_nm,
           CASE WHEN w.n_candidates = 1 THEN 0.0 ELSE round(x.cos, 4) END AS homonym_score
-        FROM wanted w JOIN company c ON c.clean_cust_nm = w.clean_cust_nm CROSS JOIN size
-        JOIN cosines x ON x.av = w.seq % size.n AND x.cv = CAST(c.cust_no AS BIGINT) % size.n
+        FROM wanted w JOIN candidate c ON c.clean_cust_nm = w.clean_cust_nm JOIN cosines x ON x.av = w.av AND x.cv = c.cv
         QUALIFY row_number() OVER (PARTITION BY w.seq, w.target_company ORDER BY round(x.cos, 6) DESC, c.cust_no) = 1""",
     "distinct_rows": with_(view("v_mention")) + "SELECT DISTINCT * FROM v_mention",
     "dedup_keep_first": with_(*MATCHING)
