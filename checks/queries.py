@@ -345,7 +345,8 @@ def _embedded(df: DataFrame, column: str) -> DataFrame:
 
 
 def _cascade(spark: SparkSession, sf: str, threshold: float = 0.5) -> DataFrame:
-    mentions, directory = _mentions(spark, sf), _directory(spark, sf)
+    mentions = storage.materialize(_mentions(spark, sf), label="mentions")
+    directory = _directory(spark, sf)
     searched = _embedded(matching.unmatched_names(mentions, directory), "clean_target_company")
     known = _embedded(_clean_company(spark, sf).select("clean_cust_nm").distinct(), "clean_cust_nm")
     hits = matching.vector_match(searched, known, directory, vectors.BIGRAM_ENCODER_ID, threshold)
@@ -373,19 +374,17 @@ def homonym_resolve(spark: SparkSession, sf: str) -> DataFrame:
     """Contexts are vectors of the embeddings table, dealt out to articles and companies by number."""
     companies = _clean_company(spark, sf)
     matched = matching.cascade(
-        _mentions(spark, sf),
+        matching.distinct_mentions(_mentions(spark, sf)),
         _directory(spark, sf),
         spark.createDataFrame([], "clean_target_company string, matched_clean_name string, similarity_score double"),
     )
-    groups = storage.materialize(homonyms.mention_groups(matched), label="groups")
+    named = storage.materialize(matched, label="named")
     e = table(spark, sf, "embeddings")
-    n = F.broadcast(e.agg(F.count("*").alias("n")))
-    articles = groups.select("seq").distinct().join(n).select("seq", (F.col("seq") % F.col("n")).alias("context_key"))
-    company_keys = companies.join(n).select(
-        "clean_cust_nm", "cust_no", (F.col("cust_no").cast("bigint") % F.col("n")).alias("context_key")
-    )
+    n = e.count()
+    articles = named.select("seq").distinct().withColumn("context_key", F.col("seq") % n)
+    company_keys = companies.select("clean_cust_nm", "cust_no", (F.col("cust_no").cast("bigint") % n).alias("context_key"))
     resolved = homonyms.resolve_homonyms(
-        groups, articles, company_keys, companies.select("cust_no", "cust_nm"),
+        named, articles, company_keys, companies.select("cust_no", "cust_nm"),
         e.select(F.col("vec_id").alias("context_key"), "embedding"),
     )
     return resolved.select("seq", "target_company", "cust_no", "cust_nm", F.round("homonym_score", 4).alias("homonym_score"))

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Whitespace in the wide (Unicode) sense, plus the four ASCII separators.
-_SPACE = r"[\s\x1c-\x1f]"
-_EDGE_SPACE = rf"(?U)^{_SPACE}+|{_SPACE}+$"
-_NON_SPACE = r"(?U)[^\s\x1c-\x1f]"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INTEGER = r"^[+-]?\d{1,18}$"
+# Every character that counts as whitespace, Unicode ones included; ``trim`` alone knows the blank only.
+WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+# Casts ignore blanks around a number, so the patterns allow them.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
 
 # Corporate-form markers dropped from a name, in this order.
 CORPORATE_FORMS = ["(주)", "주식회사", "INC.", "CO., LTD."]
@@ -30,13 +29,13 @@ def _col(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim every kind of whitespace, not only the blank that ``trim`` removes."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Trim every kind of whitespace from both ends."""
+    return F.btrim(_col(c), F.lit(WHITESPACE))
 
 
 def is_blank(c: Column | str) -> Column:
     """True for null, empty and whitespace-only text."""
-    return ~F.coalesce(_col(c).rlike(_NON_SPACE), F.lit(False))
+    return F.coalesce(strip(c), F.lit("")) == ""
 
 
 def or_none_text(c: Column | str) -> Column:
@@ -55,13 +54,13 @@ def flatten_newlines(c: Column | str) -> Column:
 
 def to_number(c: Column | str) -> Column:
     """Double value of numeric text, else null. Rejects Java-only spellings such as ``12d``."""
-    text = strip(_col(c).cast("string"))
+    text = _col(c).cast("string")
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_long(c: Column | str) -> Column:
     """Whole part of numeric text as bigint; digit-only text never goes through a double."""
-    text = strip(_col(c).cast("string"))
+    text = _col(c).cast("string")
     return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(
         to_number(c).try_cast("bigint")
     )
@@ -69,30 +68,42 @@ def to_long(c: Column | str) -> Column:
 
 def same_number(a: Column | str, b: Column | str) -> Column:
     """Numeric equality of two text columns; text that is no number equals nothing."""
-    left, right = strip(_col(a).cast("string")), strip(_col(b).cast("string"))
+    left, right = _col(a).cast("string"), _col(b).cast("string")
     return F.when(
         left.rlike(_INTEGER) & right.rlike(_INTEGER),
         left.try_cast("bigint") == right.try_cast("bigint"),
     ).otherwise(to_number(a) == to_number(b))
 
 
-def normalize_company_name(c: Column | str) -> Column:
-    """Join key of a company name: markers, punctuation and blanks removed, letters spelled out.
-
-    Letters are spelled in Hangul only when the name already has a Hangul syllable or is at most
-    three characters long. Null gives the empty string.
-    """
+def _bare_name(c: Column | str) -> Column:
     name = F.upper(strip(F.coalesce(_col(c).cast("string"), F.lit(""))))
     for form in CORPORATE_FORMS:
         name = F.replace(name, F.lit(form), F.lit(""))
-    name = F.translate(name, ",. ", "")
-    spelled = name
+    return F.translate(name, ",. ", "")
+
+
+def _spell_letters(bare: Column) -> Column:
+    spelled = bare
     for letter, reading in LETTER_READINGS.items():
         spelled = F.replace(spelled, F.lit(letter), F.lit(reading))
-    mixed = F.when(name.rlike("[가-힣]") | (F.length(name) <= 3), spelled).otherwise(name)
+    mixed = F.when(bare.rlike("[가-힣]") | (F.length(bare) <= 3), spelled).otherwise(bare)
     return F.lower(strip(mixed))
 
 
+def normalize_company_name(c: Column | str) -> Column:
+    """Join key of a company name: markers, punctuation and blanks removed, letters spelled out.
+
+    Letters are spelled in Hangul only when the name already has a Hangul syllable or is at most
+    three characters long. Null gives the empty string.
+    """
+    return _spell_letters(_bare_name(c))
+
+
+def with_normalized_name(df: DataFrame, name: str, out: str) -> DataFrame:
+    """``normalize_company_name`` in two projections, so that the cleaned text is computed once a row."""
+    return df.withColumn("_bare", _bare_name(name)).withColumn(out, _spell_letters(F.col("_bare"))).drop("_bare")
+
+
 def normalize_date(c: Column | str) -> Column:
     """``YYYYMMDD`` or ``YYYY.M.D`` text to ``YYYY.MM.DD``; anything else is returned as it is."""
     text = _col(c).cast("string")

@@ -36,36 +36,28 @@ def distinct_contexts(*contexts: DataFrame) -> DataFrame:
     return both.groupBy("context_key").agg(F.first("context").alias("context"))
 
 
-def mention_groups(matches: DataFrame) -> DataFrame:
-    """One row per article and target name; repeats of a mention match alike, so any of them will do."""
-    return matches.select(
-        "seq", "target_company", "mapping_method", "similarity_score", "matched_clean_name",
-        "n_candidates", "cust_no", "cust_nm",
-    ).dropDuplicates(["seq", "target_company"])
-
-
-def ambiguous(groups: DataFrame) -> DataFrame:
+def ambiguous(matches: DataFrame) -> DataFrame:
     """Rows whose name is shared by several companies; only these need a context."""
-    return groups.where(F.col("n_candidates") > 1)
+    return matches.where(F.col("n_candidates") > 1)
 
 
 def resolve_homonyms(
-    groups: DataFrame, article_keys: DataFrame, company_keys: DataFrame, names: DataFrame, vectors: DataFrame
+    matches: DataFrame, article_keys: DataFrame, company_keys: DataFrame, names: DataFrame, vectors: DataFrame
 ) -> DataFrame:
     """One company per article and target name: the one whose context is closest to the article's.
 
-    ``groups`` comes from :func:`mention_groups`; ``article_keys`` has ``seq, context_key``, one row
-    per article; ``company_keys`` has ``clean_cust_nm, cust_no, context_key``; ``names`` has
+    ``matches`` is the cascade's result for distinct mentions; ``article_keys`` has ``seq,
+    context_key``, one row per article; ``company_keys`` has ``clean_cust_nm, cust_no, context_key``; ``names`` has
     ``cust_no, cust_nm``; ``vectors`` has ``context_key, embedding``. A name of one company, or an
     article without context, keeps the first company and gets ``homonym_score`` 0. The smallest
     customer number wins a tie.
 
-    ``groups`` is read several times and should be a stored table. Only distinct (name, article context) and (name, company context) rows carry vectors through the
+    ``matches`` is read several times and should be a stored table. Only distinct (name, article context) and (name, company context) rows carry vectors through the
     search, and the search gives one row per query, so no list of pairs is ever built.
     """
-    plain = groups.where(F.col("n_candidates") == 1).withColumn("homonym_score", F.lit(0.0))
+    plain = matches.where(F.col("n_candidates") == 1).withColumn("homonym_score", F.lit(0.0))
     unclear = (
-        ambiguous(groups)
+        ambiguous(matches)
         .join(article_keys.select("seq", "context_key"), "seq", "left")
         .withColumn("query_key", F.struct(F.col("matched_clean_name").alias("cell"), "context_key"))
     )
@@ -87,7 +79,7 @@ def resolve_homonyms(
         names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key"
     )
     resolved = unclear.join(best, "query_key", "left").select(
-        *[c for c in groups.columns if c not in ("cust_no", "cust_nm")],
+        *[c for c in matches.columns if c not in ("cust_no", "cust_nm")],
         F.coalesce("item_key", "cust_no").alias("cust_no"),
         F.coalesce("best_nm", "cust_nm").alias("cust_nm"),
         F.coalesce("cos", F.lit(0.0)).alias("homonym_score"),

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_company_name, to_number
+from ..functions.text import to_number, with_normalized_name
 from ..schema import ASSESSED_ON, COMPANY_CLASS_SOURCE, COMPANY_COLUMNS
 from .dedup import keep_first
 from .inference import embed
@@ -35,7 +35,7 @@ def company_columns(df: DataFrame) -> DataFrame:
 
 
 def with_clean_name(df: DataFrame) -> DataFrame:
-    return df.withColumn("clean_cust_nm", normalize_company_name("cust_nm"))
+    return with_normalized_name(df, "cust_nm", "clean_cust_nm")
 
 
 def name_directory(master: DataFrame) -> DataFrame:

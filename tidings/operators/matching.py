@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_company_name
+from ..functions.text import with_normalized_name
 from .dedup import keep_first
 from .nearest import nearest
 
@@ -30,7 +30,13 @@ def explode_mentions(articles: DataFrame, names: str = "company_names") -> DataF
 
 
 def with_clean_target(mentions: DataFrame) -> DataFrame:
-    return mentions.withColumn("clean_target_company", normalize_company_name("target_company"))
+    """Adds the join key. Store the result before filtering on it, or the key is computed twice."""
+    return with_normalized_name(mentions, "target_company", "clean_target_company")
+
+
+def distinct_mentions(mentions: DataFrame) -> DataFrame:
+    """Each name once per article: repeats match alike, so they are dropped before matching."""
+    return mentions.select("seq", "target_company", "clean_target_company").distinct()
 
 
 def exact_match(mentions: DataFrame, directory: DataFrame) -> DataFrame:

@@ -92,12 +92,9 @@ def prepare_master(feed: DataFrame) -> DataFrame:
 
 
 def essential_mentions(extracted: DataFrame) -> DataFrame:
-    """Mentions of essential articles. The class belongs to the article, so filtering first is safe."""
-    return matching.with_clean_target(
-        matching.explode_mentions(
-            extracted.where(F.col("classification") == "essential").select("seq", "company_names")
-        )
-    )
+    """Distinct mentions of essential articles. The class belongs to the article, so filtering first is safe."""
+    articles = extracted.where(F.col("classification") == "essential").select("seq", "company_names")
+    return matching.distinct_mentions(matching.with_clean_target(matching.explode_mentions(articles)))
 
 
 def match_mentions(
@@ -122,10 +119,10 @@ def match_mentions(
         ),
     )
     hits = matching.vector_match(searched, name_vectors, directory, models.encoder_id, threshold)
-    groups = stage("groups", lambda: homonyms.mention_groups(matching.cascade(mentions, directory, hits)))
+    named = stage("named", lambda: matching.cascade(mentions, directory, hits))
 
     # Contexts only of articles and companies that a shared name brings into question.
-    unclear = homonyms.ambiguous(groups)
+    unclear = homonyms.ambiguous(named)
     articles = homonyms.article_contexts(
         extracted.join(unclear.select("seq").distinct(), "seq", "left_semi"), content_chars
     ).dropDuplicates(["seq"])
@@ -140,7 +137,7 @@ def match_mentions(
             homonyms.distinct_contexts(articles, companies), "context", models.encode, models.encoder_id
         ).select("context_key", "embedding"),
     )
-    return homonyms.resolve_homonyms(groups, articles, companies, master.select("cust_no", "cust_nm"), vectors)
+    return homonyms.resolve_homonyms(named, articles, companies, master.select("cust_no", "cust_nm"), vectors)
 
 
 def mapped_rows(extracted: DataFrame, matches: DataFrame, master: DataFrame) -> DataFrame:
