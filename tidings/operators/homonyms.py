@@ -61,21 +61,21 @@ def resolve_homonyms(
         .join(article_keys.select("seq", "context_key"), "seq", "left")
         .withColumn("query_key", F.struct(F.col("matched_clean_name").alias("cell"), "context_key"))
     )
+    wanted = unclear.where(F.col("context_key").isNotNull()).select("query_key", "context_key").distinct()
+    offered = company_keys.groupBy(F.col("clean_cust_nm").alias("cell"), "context_key").agg(
+        F.min("cust_no").alias("item_key")
+    )
     queries = (
-        unclear.where(F.col("context_key").isNotNull())
-        .select("query_key", "context_key")
-        .distinct()
+        storage.materialize(wanted, label="article-contexts")
         .join(vectors, "context_key")
         .select("query_key.cell", "query_key", F.col("embedding").alias("query_vec"))
     )
     index = (
-        company_keys.groupBy(F.col("clean_cust_nm").alias("cell"), "context_key")
-        .agg(F.min("cust_no").alias("item_key"))
+        storage.materialize(offered, label="company-contexts")
         .join(vectors, "context_key")
         .select("cell", "item_key", F.col("embedding").alias("item_vec"))
     )
-    stored = [storage.materialize(side, label="contexts") for side in (queries, index)]
-    best = best_in_cells(*stored).join(
+    best = best_in_cells(queries, index).join(
         names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key"
     )
     resolved = unclear.join(best, "query_key", "left").select(

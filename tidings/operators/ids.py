@@ -17,6 +17,11 @@ def max_id(df: DataFrame, id_column: str = ID_COLUMN) -> DataFrame:
     return df.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("max_id"))
 
 
+def max_id_above(df: DataFrame, floor: int, id_column: str = ID_COLUMN) -> int:
+    """The largest id, knowing that ``floor`` is reached: statistics then skip all older row groups."""
+    return max(floor, max_id(df.where(F.col(id_column) > floor), id_column).first().max_id)
+
+
 def in_order(df: DataFrame, order: list[Column | str]) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, with their position ``_pos``.
 

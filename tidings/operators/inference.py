@@ -66,12 +66,16 @@ def extract_articles(
     call: Callable[[str], str],
     template: str = DEFAULT_TEMPLATE,
     concurrency: int = 50,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Articles with company names, class, category and summary from the model.
 
     One answer per article row, also where a number occurs twice. Dates are normalised and the
-    reference line is built here.
+    reference line is built here. ``tasks`` spreads the calls evenly over that many tasks; a model call
+    takes far longer than moving its article.
     """
+    if tasks is not None:
+        articles = articles.repartition(tasks)
     prompted = articles.withColumn("_prompt", article_prompt(template))
     parsed = parse_responses(complete(prompted, "_prompt", call, concurrency=concurrency).drop("_prompt"))
     return parsed.withColumn("basc_dt", normalize_date("basc_dt")).withColumn(

@@ -10,7 +10,7 @@ from .. import storage
 from ..functions.text import flatten_newlines
 from ..schema import ID_COLUMN, PARTITION_COLUMN, TARGET_COLUMNS, TARGET_SCHEMA
 from .align import align
-from .ids import in_order, max_id, number_stored
+from .ids import in_order, max_id, max_id_above, number_stored
 
 LOAD_KEY = ["seq", "etct_cust_no"]
 
@@ -46,22 +46,29 @@ def flatten_text(df: DataFrame) -> DataFrame:
 
 
 def append_with_ids(
-    spark: SparkSession, new: DataFrame, target_path: str, order: list[str] | None = None, stage: str | None = None
-) -> int:
-    """Append rows not yet in the target, numbered on from its largest id; returns how many.
+    spark: SparkSession,
+    new: DataFrame,
+    target_path: str,
+    order: list[str] | None = None,
+    stage: str | None = None,
+    id_floor: int = 0,
+) -> tuple[int, int]:
+    """Append rows not yet in the target, numbered on from its largest id.
+
+    Returns how many, and the largest id after them. ``id_floor`` is an id known to be in the target.
 
     Written by day partition: the rebalance hint joins small days in a task and spreads large ones.
     One writer at a time is assumed, as ids continue from the stored maximum.
     """
     target = storage.read_or_empty(spark, target_path, TARGET_SCHEMA)
-    start = max_id(target).first().max_id
+    start = max_id_above(target, id_floor)
     fresh = not_loaded(new, target)
     stored = storage.materialize(in_order(fresh, order or LOAD_KEY), stage, "append")
     count = stored.count()
     if count:
         rows = align(number_stored(stored, ID_COLUMN, start), TARGET_SCHEMA)
         rows.hint("rebalance", PARTITION_COLUMN).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(target_path)
-    return count
+    return count, start + count
 
 
 def create_target_table(spark: SparkSession, table: str, location: str | None = None) -> None:

@@ -19,15 +19,13 @@ from .. import storage
 from ..functions.vectors import cosine_for_relevance, relevance
 
 # Rows per side of a tile; memory of a tile is about (INDEX_ROWS + QUERY_ROWS) * dimension * 8 bytes.
-INDEX_ROWS = 4096
+INDEX_ROWS = 16384
 QUERY_ROWS = 16384
-# Queries compared at once inside a tile.
+# Queries compared at once.
 _STRIDE = 1024
 
 # Pivots are the only vectors that go through the driver: at most this many, whatever the index holds.
 MAX_PIVOTS = 1024
-# Queries written to their cells at once.
-_REACH_ROWS = 256
 
 # Cells of more than one tile whose part counts are broadcast: two integers and a key each.
 MAX_LARGE_CELLS = 50_000
@@ -109,8 +107,8 @@ def best_in_cells(
     """``(query_key, item_key, cos)``: the index row of highest cosine among each query's cells.
 
     ``queries`` has ``cell, query_key, query_vec`` (a query may be in several cells), ``index`` has
-    ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent. Both should be
-    stored tables: their cells are counted first, which then reads one column.
+    ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent. Rows per cell are
+    counted first, so ``cell`` should come from a stored table; vectors are not read for that.
     """
     parts = _cell_parts(queries, index, index_rows, query_rows)
 
@@ -151,6 +149,8 @@ def _choose_pivots(index: DataFrame, cell_rows: int) -> np.ndarray:
     wanted = min(MAX_PIVOTS, math.ceil(index.count() / cell_rows))
     # item_key breaks hash ties; TakeOrdered keeps `wanted` rows per task, not the index.
     rows = index.orderBy(F.xxhash64("item_key"), "item_key").limit(wanted).select("item_vec").collect()
+    if not rows:
+        return np.zeros((0, 0))
     pivots = np.asarray([r.item_vec for r in rows], dtype=np.float64)
     norms = np.linalg.norm(pivots, axis=1, keepdims=True)
     return pivots / np.where(norms > 0, norms, 1.0)
@@ -177,12 +177,12 @@ def _assign_cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
 def _reachable_cells(
     queries: DataFrame, pivots: np.ndarray, cells: list[int], low: np.ndarray, high: np.ndarray, radius: float
 ) -> DataFrame:
-    """Each query once per cell that may hold an index row within ``radius`` of it.
+    """``(query_key, cell)``: each query once per cell that may hold an index row within ``radius`` of it.
 
     A cell is skipped only when geometry rules it out: by the triangle inequality on angles to its
     pivot, or because the query is further than ``radius`` beyond the plane halfway to its own pivot.
     """
-    schema = T.StructType([*queries.schema.fields, _CELL])
+    schema = T.StructType([queries.schema["query_key"], _CELL])
     numbers = np.asarray(cells, dtype=np.int32)
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots[numbers].T)))
     slack = 1e-6
@@ -198,14 +198,12 @@ def _reachable_cells(
 
     def reach(batches):
         for whole in batches:
-            for start in range(0, whole.num_rows, _REACH_ROWS):
-                batch = whole.slice(start, _REACH_ROWS)
+            for start in range(0, whole.num_rows, _STRIDE):
+                batch = whole.slice(start, _STRIDE)
                 rows = _matrix(pa.chunked_array([batch.column("query_vec")]), batch.num_rows)
                 row, col = np.nonzero(keep(np.clip(rows @ pivots.T, -1.0, 1.0)))
-                taken = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(numbers[col])], names=[*taken.schema.names, "cell"]
-                )
+                keys = batch.column("query_key").take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(numbers[col])], names=["query_key", "cell"])
 
     return queries.mapInArrow(reach, schema)
 
@@ -239,7 +237,8 @@ def nearest(
     # At most MAX_PIVOTS rows.
     extent = assigned.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect()
     extent.sort(key=lambda r: r.cell)
-    reached = storage.materialize(
+    # Only keys are stored here: a query may be in many cells, its vector is stored once.
+    cells = storage.materialize(
         _reachable_cells(
             queries.select("query_key", "query_vec"),
             pivots,
@@ -250,5 +249,5 @@ def nearest(
         ),
         label="query-cells",
     )
-    found = best_in_cells(reached, assigned.drop("angle"))
+    found = best_in_cells(cells.join(queries, "query_key"), assigned.drop("angle"))
     return found.withColumn("score", to_score(F.col("cos"))).where(F.round("score", _PLACES) >= threshold)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
@@ -20,15 +20,25 @@ def next_cursor(articles: DataFrame) -> DataFrame:
     )
 
 
-def load_cursor(spark: SparkSession, path: str) -> tuple[int, str]:
+def _newest(spark: SparkSession, path: str) -> Row | None:
     state = storage.read_or_empty(spark, path, STATE_SCHEMA)
-    top = state.agg(F.max(F.struct(*STATE_SCHEMA.names)).alias("top")).first().top
+    return state.agg(F.max(F.struct(*STATE_SCHEMA.names)).alias("top")).first().top
+
+
+def load_cursor(spark: SparkSession, path: str) -> tuple[int, str]:
+    top = _newest(spark, path)
     return FIRST_CURSOR if top is None else (top.last_seq, top.last_part_basc_dt)
 
 
-def save_cursor(spark: SparkSession, path: str, last_seq: int, last_part_basc_dt: str) -> None:
+def load_last_id(spark: SparkSession, path: str) -> int:
+    """An id the target has reached for certain; it may be beyond it after a run that failed late."""
+    top = _newest(spark, path)
+    return 0 if top is None else top.last_id
+
+
+def save_cursor(spark: SparkSession, path: str, last_seq: int, last_part_basc_dt: str, last_id: int = 0) -> None:
     """Add a newer cursor. Nothing is overwritten, so a failed save leaves the old one in force."""
-    state = storage.read_or_empty(spark, path, STATE_SCHEMA)
-    version = (state.agg(F.max("version")).first()[0] or 0) + 1
-    row = spark.createDataFrame([(version, last_seq, last_part_basc_dt)], STATE_SCHEMA)
+    top = _newest(spark, path)
+    version = 1 if top is None else top.version + 1
+    row = spark.createDataFrame([(version, last_seq, last_part_basc_dt, last_id)], STATE_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(path)

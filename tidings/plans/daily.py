@@ -29,7 +29,7 @@ from ..operators.master import (
 )
 from ..operators.retention import RETENTION_DAYS, remove_expired
 from ..operators.serving import export_serving
-from ..operators.state import load_cursor, next_cursor, save_cursor
+from ..operators.state import load_cursor, load_last_id, next_cursor, save_cursor
 from ..schema import NAME_VECTOR_SCHEMA, PARTITION_COLUMN, TARGET_SCHEMA
 from ..sources.company import load_companies
 from ..sources.news import load_new_articles
@@ -68,6 +68,7 @@ class Models:
     encoder_id: str = BIGRAM_ENCODER_ID
     template: str = DEFAULT_TEMPLATE
     concurrency: int = 50
+    tasks: int | None = None
 
 
 @dataclass
@@ -183,7 +184,9 @@ def run_daily(
     if summary.loaded:
         extracted = stage(
             "extracted",
-            lambda: extract_articles(raw.drop("part_basc_dt"), models.complete, models.template, models.concurrency),
+            lambda: extract_articles(
+                raw.drop("part_basc_dt"), models.complete, models.template, models.concurrency, models.tasks
+            ),
         )
         summary.extracted = quality.extraction_rate(extracted).first().n_with_names
         master = stage("master", lambda: prepare_master(load_companies(spark, company_path, company_feed_columns)))
@@ -211,11 +214,16 @@ def run_daily(
             summary.seconds = time.monotonic() - started
             return summary
 
-        summary.appended = append_with_ids(
-            spark, mapped, layout.target, stage=f"{folder}/append-{time.time_ns()}"
+        summary.appended, last_id = append_with_ids(
+            spark,
+            mapped,
+            layout.target,
+            stage=f"{folder}/append-{time.time_ns()}",
+            id_floor=load_last_id(spark, layout.state),
         )
         cursor = next_cursor(raw).first()
-        save_cursor(spark, layout.state, cursor.last_seq, cursor.last_part_basc_dt or "None")
+        if cursor.last_seq >= last_seq:  # repeating an older day does not move the cursor back
+            save_cursor(spark, layout.state, cursor.last_seq, cursor.last_part_basc_dt or "None", last_id)
         if storage.exists(spark, layout.target):
             # The days of one run: as many as the feed's window has, plus stragglers.
             days = [r[0] for r in mapped.select(PARTITION_COLUMN).distinct().collect()]

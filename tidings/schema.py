@@ -56,6 +56,7 @@ STATE_SCHEMA = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("last_seq", T.LongType()),
         T.StructField("last_part_basc_dt", T.StringType()),
+        T.StructField("last_id", T.LongType()),
     ]
 )
 

@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .. import storage
+
 # Fixed values of the export format: the separator is four printable characters, not one control byte.
 FIELD_SEP = "\\x01"
 RECORD_SEP = "||"
 
-# A folder holds few different layouts however many files it has; more points at a wrong path.
-MAX_LAYOUTS = 1000
+# The header of each file is one small row; up to this many are broadcast.
+MAX_BROADCAST_FILES = 100_000
 
 
 def _record_text(value: Column) -> Column:
@@ -94,16 +96,18 @@ def read_delimited(
     if columns is not None:
         return fields_to_columns(records, columns, field_sep, observation)
 
-    headers = file_headers(records)
-    layouts = [r.header for r in headers.select("header").distinct().limit(MAX_LAYOUTS + 1).collect()]
-    if len(layouts) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different headers; pass columns=")
+    headers = storage.materialize(file_headers(records), label="headers")
+    layouts = headers.groupBy("header").agg(F.count("*").alias("n_files"), F.min("file").alias("first")).collect()
     if not layouts:
         return spark.createDataFrame([], StructType([]))
     if len(layouts) == 1:
-        return fields_to_columns(records, layouts[0].split(field_sep), field_sep, observation)
+        return fields_to_columns(records, layouts[0].header.split(field_sep), field_sep, observation)
 
-    names = list(dict.fromkeys(c for h in sorted(layouts) for c in h.split(field_sep)))
+    # Columns in the order of the files that bring them.
+    layouts.sort(key=lambda r: r.first)
+    names = list(dict.fromkeys(c for r in layouts for c in r.header.split(field_sep)))
+    if sum(r.n_files for r in layouts) <= MAX_BROADCAST_FILES:
+        headers = F.broadcast(headers)
     tagged = (
         records.join(headers, "file")
         .where(F.col("value") != F.col("header"))
