@@ -101,9 +101,18 @@ def test_run_resume_and_next_day(spark, setting):
 
     # No new article: an early end that changes nothing.
     put(folder / "news.csv", NEWS_HEAD, DAY_ONE)
+    put(folder / "company.csv", COMPANY_HEAD, COMPANIES)
     assert run("20260108").loaded == 0
     assert load_cursor(spark, layout.state) == (9, "20260107")
 
+    # The file comes late on the same day.
+    put(folder / "news.csv", NEWS_HEAD, news((10, "20260108", "Beta Motors", "cars")))
+    assert run("20260108").appended == 1
+
+    # Repeating an old day changes nothing.
+    assert run("20260106").appended == 0
+    assert load_cursor(spark, layout.state) == (10, "20260108")
+
 
 def test_crash_between_append_and_cursor_loads_nothing_twice(spark, setting, monkeypatch):
     run, layout, _, _ = setting

@@ -81,12 +81,12 @@ def test_serving_rows(spark, tmp_path):
     assert read() == {(s + 100 if d == "2026.01.01" else s, d) for s, d in before}
 
 
-def test_a_day_that_lost_all_rows_leaves_the_serving_copy(spark, tmp_path):
+def test_articles_without_a_day_are_served_too(spark, tmp_path):
     schema = "seq bigint, news_clas string, doc_sentiment string, basc_dt string"
     path = str(tmp_path / "s")
-    serving.export_serving(spark.createDataFrame([(1, "RISK", "1", "2026.01.01")], schema), path)
-    serving.export_serving(spark.createDataFrame([(2, "RISK", "1", "2026.01.02")], schema), path)
-    assert [r.seq for r in spark.read.parquet(path).collect()] == ["2"]
+    df = spark.createDataFrame([(1, "RISK", "1", "2026.01.01"), (2, "RISK", "1", None)], schema)
+    serving.export_serving(df, path, ["2026.01.01", None])
+    assert sorted(r.seq for r in spark.read.parquet(path).collect()) == ["1", "2"]
 
 
 def test_cursor(spark, tmp_path):

@@ -9,7 +9,7 @@ from pyspark.sql.types import StringType
 from .. import storage
 from ..functions.text import flatten_newlines
 from ..schema import ID_COLUMN, PARTITION_COLUMN, TARGET_COLUMNS, TARGET_SCHEMA
-from .align import align
+from .align import align, to_target
 from .ids import in_order, max_id, max_id_above, number_stored
 
 LOAD_KEY = ["seq", "etct_cust_no"]
@@ -55,14 +55,14 @@ def append_with_ids(
 ) -> tuple[int, int]:
     """Append rows not yet in the target, numbered on from its largest id.
 
-    Returns how many, and the largest id after them. ``id_floor`` is an id known to be in the target.
+    Rows are fitted to the target's columns first; columns they lack are null. Returns how many, and the largest id after them. ``id_floor`` is an id known to be in the target.
 
     Written by day partition: the rebalance hint joins small days in a task and spreads large ones.
     One writer at a time is assumed, as ids continue from the stored maximum.
     """
     target = storage.read_or_empty(spark, target_path, TARGET_SCHEMA)
     start = max_id_above(target, id_floor)
-    fresh = not_loaded(new, target)
+    fresh = not_loaded(to_target(new), target)
     stored = storage.materialize(in_order(fresh, order or LOAD_KEY), stage, "append")
     count = stored.count()
     if count:
@@ -88,6 +88,6 @@ def insert(df: DataFrame, table: str) -> None:
 def insert_with_ids(spark: SparkSession, new: DataFrame, table: str, order: list[str] | None = None) -> int:
     """Insert rows into a catalog table, numbered on from its largest id; returns how many."""
     start = max_id(spark.table(table)).first().max_id
-    stored = storage.materialize(in_order(new, order or LOAD_KEY), label="insert")
+    stored = storage.materialize(in_order(to_target(new), order or LOAD_KEY), label="insert")
     insert(align(number_stored(stored, ID_COLUMN, start), TARGET_SCHEMA).select(*TARGET_COLUMNS), table)
     return stored.count()

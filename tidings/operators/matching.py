@@ -83,38 +83,36 @@ def vector_match(
     )
 
 
-def cascade(mentions: DataFrame, directory: DataFrame, vector_hits: DataFrame) -> DataFrame:
-    """Exact matches, and for the other mentions the vector hits; mentions without either are dropped.
+def name_lookup(directory: DataFrame, vector_hits: DataFrame) -> DataFrame:
+    """What each normalised name resolves to: its directory entry, else the entry of its vector hit.
 
-    Adds method, score, matched name, the number of companies of that name and the first of them.
     ``n_candidates`` is 1 for a vector hit, which stands for one company.
     """
-    hits = vector_hits.join(
-        directory.select("clean_cust_nm", "cust_no", "cust_nm"),
-        F.col("matched_clean_name") == F.col("clean_cust_nm"),
-    ).select(
-        F.col("clean_target_company").alias("_hit"),
-        F.col("similarity_score").alias("_score"),
-        F.col("matched_clean_name").alias("_name"),
-        F.col("cust_no").alias("_no"),
-        F.col("cust_nm").alias("_nm"),
+    named = directory.select(
+        F.col("clean_cust_nm").alias("clean_target_company"),
+        F.lit(EXACT).alias("mapping_method"),
+        F.lit(1.0).alias("similarity_score"),
+        F.col("clean_cust_nm").alias("matched_clean_name"),
+        "n_candidates",
+        "cust_no",
+        "cust_nm",
     )
-    # One pass over the mentions: the exact columns where there is a match, else those of the hit.
-    both = exact_match(mentions, directory).join(hits, F.col("clean_target_company") == F.col("_hit"), "left")
-    exact = F.col("cust_no").isNotNull()
-
-    def pick(if_exact, otherwise):
-        return F.when(exact, if_exact).otherwise(otherwise)
-
-    return both.where(exact | F.col("_no").isNotNull()).select(
-        *mentions.columns,
-        pick(F.lit(EXACT), F.lit(VECTOR)).alias("mapping_method"),
-        pick(F.lit(1.0), F.col("_score")).alias("similarity_score"),
-        pick(F.col("clean_cust_nm"), F.col("_name")).alias("matched_clean_name"),
-        pick(F.col("n_candidates"), F.lit(1)).cast("bigint").alias("n_candidates"),
-        pick(F.col("cust_no"), F.col("_no")).alias("cust_no"),
-        pick(F.col("cust_nm"), F.col("_nm")).alias("cust_nm"),
+    entries = directory.select(F.col("clean_cust_nm").alias("matched_clean_name"), "cust_no", "cust_nm")
+    similar = (
+        vector_hits.join(named, "clean_target_company", "left_anti")
+        .join(entries, "matched_clean_name")
+        .withColumns({"mapping_method": F.lit(VECTOR), "n_candidates": F.lit(1).cast("bigint")})
     )
+    return named.unionByName(similar)
+
+
+def cascade(mentions: DataFrame, directory: DataFrame, vector_hits: DataFrame) -> DataFrame:
+    """Exact matches, and vector hits for the other mentions; mentions without either are dropped.
+
+    Adds method, score, matched name, the number of companies of that name and the first of them. The
+    mentions are joined once, so adaptive execution can split a name that very many of them share.
+    """
+    return mentions.join(name_lookup(directory, vector_hits), "clean_target_company")
 
 
 def enrich(rows: DataFrame, master: DataFrame, keys: tuple[str, ...] = ("cust_no", "cust_nm")) -> DataFrame:

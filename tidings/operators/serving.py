@@ -29,14 +29,16 @@ def serving_rows(target: DataFrame) -> DataFrame:
     return all_text(align(serving_filter(target), TARGET_SCHEMA), TARGET_COLUMNS)
 
 
-def export_serving(target: DataFrame, path: str, days: list[str] | None = None) -> None:
+def export_serving(target: DataFrame, path: str, days: list[str | None] | None = None) -> None:
     """Replace the serving copy, or only the day partitions ``days`` of it.
 
     Rows are sorted by customer and article inside each file, so that lookups by either skip row
     groups; this takes the place of indexes.
     """
     if days is not None:
-        target = target.where(F.col(PARTITION_COLUMN).isin(days))
+        day = F.col(PARTITION_COLUMN)
+        named = day.isin([d for d in days if d is not None])
+        target = target.where(named | day.isNull() if None in days else named)
     mode = "static" if days is None else "dynamic"
     (
         serving_rows(target)

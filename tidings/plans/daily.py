@@ -18,6 +18,7 @@ from .. import storage
 from ..functions.vectors import BIGRAM_ENCODER_ID, bigram_encoder
 from ..operators import homonyms, matching, quality
 from ..operators.align import keep_present, to_target
+from ..operators.dedup import keep_first
 from ..operators.inference import DEFAULT_TEMPLATE, embed, extract_articles
 from ..operators.load import append_with_ids
 from ..operators.master import (
@@ -124,9 +125,13 @@ def match_mentions(
 
     # Contexts only of articles and companies that a shared name brings into question.
     unclear = homonyms.ambiguous(named)
-    articles = homonyms.article_contexts(
-        extracted.join(unclear.select("seq").distinct(), "seq", "left_semi"), content_chars
-    ).dropDuplicates(["seq"])
+    articles = keep_first(
+        homonyms.article_contexts(
+            extracted.join(unclear.select("seq").distinct(), "seq", "left_semi"), content_chars
+        ),
+        ["seq"],
+        ["context_key"],
+    )
     companies = homonyms.company_contexts(
         master.join(
             unclear.select(F.col("matched_clean_name").alias("clean_cust_nm")).distinct(), "clean_cust_nm", "left_semi"
@@ -151,6 +156,77 @@ def mapped_rows(extracted: DataFrame, matches: DataFrame, master: DataFrame) ->
     return matching.enrich(once, master.drop("clean_cust_nm")).drop("target_company", "mapping_method")
 
 
+@dataclass
+class _Run:
+    """The settings of one run, and its stages."""
+
+    spark: SparkSession
+    layout: Layout
+    models: Models
+    folder: str
+    threshold: float
+    content_chars: int | None
+    dry_run: bool
+
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return _stage(self.spark, f"{self.folder}/{name}", build)
+
+    def name_vectors(self, master: DataFrame) -> DataFrame:
+        """Stored vectors, after embedding the names they lack; a dry run keeps new ones to itself."""
+        read = lambda path: storage.read_or_empty(self.spark, path, NAME_VECTOR_SCHEMA)
+        path = f"{self.folder}/name_vectors" if self.dry_run else self.layout.name_vectors
+        stored = read(self.layout.name_vectors)
+        refresh_name_vectors(
+            master,
+            stored,
+            self.models.encode,
+            self.models.encoder_id,
+            lambda rows: rows.write.mode("append").parquet(path),
+        )
+        return read(path).unionByName(stored) if self.dry_run else read(path)
+
+    def extract_and_map(self, raw: DataFrame, load_master: Callable[[], DataFrame], summary: Summary) -> DataFrame:
+        """New articles to target rows, with the counts entered in ``summary``."""
+        models = self.models
+        extracted = self.stage(
+            "extracted",
+            lambda: extract_articles(
+                raw.drop("part_basc_dt"), models.complete, models.template, models.concurrency, models.tasks
+            ),
+        )
+        summary.extracted = quality.extraction_rate(extracted).first().n_with_names
+        master = self.stage("master", lambda: prepare_master(load_master()))
+        vectors = self.name_vectors(master)
+        matches = self.stage(
+            "matches",
+            lambda: match_mentions(extracted, master, vectors, models, self.threshold, self.stage, self.content_chars),
+        )
+        mapped = self.stage("mapped", lambda: to_target(mapped_rows(extracted, matches, master)))
+        summary.mapped = mapped.count()
+        return mapped
+
+    def load(self, raw: DataFrame, mapped: DataFrame, last_seq: int) -> int:
+        """Append, then move the cursor, then publish the touched days; returns the rows appended."""
+        spark, layout = self.spark, self.layout
+        appended, last_id = append_with_ids(
+            spark,
+            mapped,
+            layout.target,
+            stage=f"{self.folder}/append-{time.time_ns()}",
+            id_floor=load_last_id(spark, layout.state),
+        )
+        cursor = next_cursor(raw).first()
+        if cursor.last_seq >= last_seq:  # repeating an older day does not move the cursor back
+            save_cursor(spark, layout.state, cursor.last_seq, cursor.last_part_basc_dt or "None", last_id)
+        if storage.exists(spark, layout.target):
+            # As many days as the feed's window has, plus stragglers.
+            days = [r[0] for r in mapped.select(PARTITION_COLUMN).distinct().collect()]
+            first = not storage.exists(spark, layout.serving)
+            target = storage.read_or_empty(spark, layout.target, TARGET_SCHEMA)
+            export_serving(target, layout.serving, None if first else days)
+        return appended
+
+
 def run_daily(
     spark: SparkSession,
     layout: Layout,
@@ -174,62 +250,25 @@ def run_daily(
     started = time.monotonic()
     summary = Summary()
     folder = storage.scratch_path(spark, "dry-run") if dry_run else f"{layout.runs}/{run_dt}"
-    stage = lambda name, build: _stage(spark, f"{folder}/{name}", build)
+    run = _Run(spark, layout, models, folder, threshold, content_chars, dry_run)
     if retention_days is not None and not dry_run:
         remove_expired(spark, layout.runs, run_dt, retention_days)
 
-    last_seq, last_day = load_cursor(spark, layout.state)
-    raw = stage("raw", lambda: load_new_articles(spark, news_path, last_seq, last_day, news_columns))
-    summary.loaded = raw.count()
-    if summary.loaded:
-        extracted = stage(
-            "extracted",
-            lambda: extract_articles(
-                raw.drop("part_basc_dt"), models.complete, models.template, models.concurrency, models.tasks
-            ),
-        )
-        summary.extracted = quality.extraction_rate(extracted).first().n_with_names
-        master = stage("master", lambda: prepare_master(load_companies(spark, company_path, company_feed_columns)))
-
-        stored = storage.read_or_empty(spark, layout.name_vectors, NAME_VECTOR_SCHEMA)
-        vectors_path = f"{folder}/name_vectors" if dry_run else layout.name_vectors
-        refresh_name_vectors(
-            master,
-            stored,
-            models.encode,
-            models.encoder_id,
-            lambda rows: rows.write.mode("append").parquet(vectors_path),
-        )
-        name_vectors = storage.read_or_empty(spark, vectors_path, NAME_VECTOR_SCHEMA)
-        if dry_run:
-            name_vectors = name_vectors.unionByName(stored)
-        matches = stage(
-            "matches",
-            lambda: match_mentions(extracted, master, name_vectors, models, threshold, stage, content_chars),
-        )
-        mapped = stage("mapped", lambda: to_target(mapped_rows(extracted, matches, master)))
-        summary.mapped = mapped.count()
-        if dry_run:
-            summary.preview = mapped.select(PREVIEW_COLUMNS).orderBy("seq", "etct_cust_no").limit(PREVIEW_ROWS)
-            summary.seconds = time.monotonic() - started
-            return summary
-
-        summary.appended, last_id = append_with_ids(
-            spark,
-            mapped,
-            layout.target,
-            stage=f"{folder}/append-{time.time_ns()}",
-            id_floor=load_last_id(spark, layout.state),
-        )
-        cursor = next_cursor(raw).first()
-        if cursor.last_seq >= last_seq:  # repeating an older day does not move the cursor back
-            save_cursor(spark, layout.state, cursor.last_seq, cursor.last_part_basc_dt or "None", last_id)
-        if storage.exists(spark, layout.target):
-            # The days of one run: as many as the feed's window has, plus stragglers.
-            days = [r[0] for r in mapped.select(PARTITION_COLUMN).distinct().collect()]
-            first = not storage.exists(spark, layout.serving)
-            target = storage.read_or_empty(spark, layout.target, TARGET_SCHEMA)
-            export_serving(target, layout.serving, None if first else days)
+    with storage.scratch_below(f"{folder}/scratch"):
+        last_seq, last_day = load_cursor(spark, layout.state)
+        raw = run.stage("raw", lambda: load_new_articles(spark, news_path, last_seq, last_day, news_columns))
+        summary.loaded = raw.count()
+        if summary.loaded:
+            mapped = run.extract_and_map(
+                raw, lambda: load_companies(spark, company_path, company_feed_columns), summary
+            )
+            if dry_run:
+                summary.preview = mapped.select(PREVIEW_COLUMNS).orderBy("seq", "etct_cust_no").limit(PREVIEW_ROWS)
+            else:
+                summary.appended = run.load(raw, mapped, last_seq)
+        else:
+            # Nothing to resume: a later try of this day reads its input again.
+            storage.delete(spark, f"{folder}/raw", recursive=True)
     if remove_input and not dry_run:
         remove_delimited_inputs(spark, news_path, company_path)
     summary.seconds = time.monotonic() - started

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -67,9 +70,22 @@ def shared_folder(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_below(folder: str) -> Iterator[None]:
+    """Put intermediate tables below ``folder``, so that they are removed together with it."""
+    token = _scratch.set(folder.rstrip("/"))
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the folder of :func:`scratch_below`, else below the shared folder."""
+    return f"{_scratch.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, path: str | None = None, label: str = "stage") -> DataFrame:
