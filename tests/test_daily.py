@@ -7,6 +7,7 @@ from tidings.operators.state import load_cursor
 from tidings.plans import daily
 from tidings.schema import TARGET_COLUMNS, TARGET_SCHEMA
 from tidings.sources.delimited import FIELD_SEP
+from tidings.streaming import incremental
 
 NEWS_HEAD = ["seq", "p_seq", "channel", "site_name", "basc_dt", "title", "content", "doc_sentiment", "part_basc_dt"]
 COMPANY_HEAD = ["cust_no", "cust_nm", "sglr_ases_modl_clas_cd_nm", "std_inds_clas_nm", "primy_prod_nm", "lst_ases_dt"]
@@ -57,12 +58,15 @@ def setting(spark, tmp_path):
     put(tmp_path / "company.csv", COMPANY_HEAD, COMPANIES)
     layout = daily.Layout(str(tmp_path / "out"))
 
+    models = daily.Models(reply)
+
     def run(run_dt="20260106", **kwargs):
         return daily.run_daily(
-            spark, layout, str(tmp_path / "news.csv"), str(tmp_path / "company.csv"), daily.Models(reply), run_dt,
+            spark, layout, str(tmp_path / "news.csv"), str(tmp_path / "company.csv"), models, run_dt,
             threshold=0.6, **{"remove_input": False, **kwargs},
         )
 
+    run.models = models
     return run, layout, calls, tmp_path
 
 
@@ -114,6 +118,28 @@ def test_run_resume_and_next_day(spark, setting):
     assert load_cursor(spark, layout.state) == (10, "20260108")
 
 
+def test_stream_and_batch_load_the_same(spark, setting):
+    run, layout, _, folder = setting
+    run()
+    feed = folder / "feed"
+    feed.mkdir()
+    put(feed / "1.csv", NEWS_HEAD, DAY_ONE[:3])
+    put(feed / "2.csv", NEWS_HEAD, DAY_ONE[2:])  # files overlap in article 3
+    other = daily.Layout(str(folder / "streamed"))
+
+    def take(run_dt):
+        return incremental.run_daily_stream(
+            spark, other, str(feed), NEWS_HEAD, str(folder / "company.csv"), run.models, run_dt,
+            max_files_per_trigger=1, threshold=0.6, remove_input=False,
+        )
+
+    assert take("20260106").appended == 4
+    assert loaded(spark, other) == loaded(spark, layout)
+    put(feed / "3.csv", NEWS_HEAD, DAY_ONE + news((9, "20260107", "Beta Motors", "cars")))
+    assert take("20260107").appended == 1
+    assert take("20260108").loaded == 0
+
+
 def test_crash_between_append_and_cursor_loads_nothing_twice(spark, setting, monkeypatch):
     run, layout, _, _ = setting
 

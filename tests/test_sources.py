@@ -102,6 +102,9 @@ def test_increment_of_text_rows(spark):
     out = news.new_articles(df, 10, "20260105")
     assert out.columns == NEWS_COLUMNS
     assert sorted(r.seq for r in out.collect()) == [11, 11, 16, 18]
+    seen = Observation()
+    assert news.new_articles(df, 10, "20260105", observation=seen).count() == 4
+    assert seen.get == {"articles": 7, "late": 3}
     strict = news.new_articles(df, 10, "20260105", null_partition_passes=False)
     assert sorted(r.seq for r in strict.collect()) == [11, 11, 18]
 

@@ -54,9 +54,11 @@ class Layout:
     name_vectors: str = field(init=False)
     state: str = field(init=False)
     runs: str = field(init=False)
+    landed: str = field(init=False)
+    stream: str = field(init=False)
 
     def __post_init__(self) -> None:
-        for name in ("target", "serving", "name_vectors", "state", "runs"):
+        for name in ("target", "serving", "name_vectors", "state", "runs", "landed", "stream"):
             setattr(self, name, f"{self.root.rstrip('/')}/{name}")
 
 
@@ -230,7 +232,7 @@ class _Run:
 def run_daily(
     spark: SparkSession,
     layout: Layout,
-    news_path: str,
+    news_path: str | None,
     company_path: str,
     models: Models,
     run_dt: str,
@@ -241,9 +243,12 @@ def run_daily(
     remove_input: bool = True,
     retention_days: int | None = RETENTION_DAYS,
     content_chars: int | None = 500,
+    load_news: Callable[[int, str], DataFrame] | None = None,
 ) -> Summary:
     """Run, or resume, the batch of day ``run_dt``.
 
+    New articles come from ``news_path``, or from ``load_news`` called with the cursor.
+
     A dry run returns a preview of what would be loaded. Its stages go to the scratch folder, and it
     changes neither target, cursor, vectors nor inputs.
     """
@@ -256,7 +261,9 @@ def run_daily(
 
     with storage.scratch_below(f"{folder}/scratch"):
         last_seq, last_day = load_cursor(spark, layout.state)
-        raw = run.stage("raw", lambda: load_new_articles(spark, news_path, last_seq, last_day, news_columns))
+        if load_news is None:
+            load_news = lambda seq, day: load_new_articles(spark, news_path, seq, day, news_columns)
+        raw = run.stage("raw", lambda: load_news(last_seq, last_day))
         summary.loaded = raw.count()
         if summary.loaded:
             mapped = run.extract_and_map(
@@ -275,10 +282,10 @@ def run_daily(
     return summary
 
 
-def remove_delimited_inputs(spark: SparkSession, *paths: str) -> list[str]:
+def remove_delimited_inputs(spark: SparkSession, *paths: str | None) -> list[str]:
     """Delete processed ``.csv`` files; parquet files and folders are left alone."""
     return [
         p
         for p in paths
-        if p.lower().endswith(".csv") and not storage.is_folder(spark, p) and storage.delete(spark, p)
+        if p and p.lower().endswith(".csv") and not storage.is_folder(spark, p) and storage.delete(spark, p)
     ]

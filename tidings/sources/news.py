@@ -21,12 +21,16 @@ def new_articles(
     last_seq: int,
     last_part_basc_dt: str,
     null_partition_passes: bool = True,
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Root news articles after the cursor ``(last_seq, last_part_basc_dt)``.
 
     Channel and parent filters apply only where the feed has those columns. Bigint ``seq`` is compared
     as it is, so the filters reach a parquet scan; text is coerced and rows without a number dropped.
     A null partition compares as the text ``None``, which sorts after every date and so passes.
+
+    An ``observation`` counts the ``articles`` seen and the ``late`` ones that the cursor excludes. The
+    cursor is then not pushed down, since late rows must be read to be counted.
     """
     if "channel" in df.columns:
         df = df.where(F.upper("channel") == "NEWS")
@@ -37,11 +41,16 @@ def new_articles(
             df = df.where(same_number("seq", "p_seq"))
     if "seq" in df.columns and not _is_integral(df, "seq"):
         df = df.withColumn("seq", to_long("seq"))
-    rows = align(df, NEWS_SCHEMA).where(~is_blank("title")).where(F.col("seq") > F.lit(last_seq))
+    rows = align(df, NEWS_SCHEMA).where(~is_blank("title") & F.col("seq").isNotNull())
     reached = F.col("part_basc_dt") >= F.lit(last_part_basc_dt)
     if null_partition_passes and "None" >= last_part_basc_dt:
         reached = reached | F.col("part_basc_dt").isNull()
-    return rows.where(reached)
+    after = F.col("seq") > F.lit(last_seq)
+    if observation is not None:
+        rows = rows.observe(
+            observation, F.count("*").alias("articles"), F.count_if(~F.coalesce(after & reached, F.lit(False))).alias("late")
+        )
+    return rows.where(after).where(reached)
 
 
 def load_new_articles(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
+from ..plans.daily import Layout, Models, Summary, run_daily
 from ..schema import NEWS_SCHEMA
 from ..sources.delimited import RECORD_SEP, _record_text, fields_to_columns
 from ..sources.news import new_articles
@@ -69,3 +70,30 @@ def land_new_articles(
         stream_delimited(spark, folder, columns, max_files_per_trigger, clean_source), checkpoint, land
     )
     return storage.read_or_empty(spark, landed, NEWS_SCHEMA)
+
+
+def run_daily_stream(
+    spark: SparkSession,
+    layout: Layout,
+    folder: str,
+    columns: list[str],
+    company_path: str,
+    models: Models,
+    run_dt: str,
+    max_files_per_trigger: int | None = None,
+    clean_source: str = "off",
+    **settings,
+) -> Summary:
+    """:func:`run_daily` with the files of ``folder`` taken as a stream.
+
+    Files are landed once. What is landed but not yet behind the cursor is processed, so a run that
+    failed after landing is made good by the next one.
+    """
+
+    def load(last_seq: int, last_day: str) -> DataFrame:
+        landed = land_new_articles(
+            spark, folder, columns, layout.landed, layout.stream, (last_seq, last_day), max_files_per_trigger, clean_source
+        )
+        return new_articles(landed, last_seq, last_day)
+
+    return run_daily(spark, layout, None, company_path, models, run_dt, load_news=load, **settings)
