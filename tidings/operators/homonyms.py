@@ -75,7 +75,7 @@ def resolve_homonyms(
         .join(vectors, "context_key")
         .select("cell", "item_key", F.col("embedding").alias("item_vec"))
     )
-    best = best_in_cells(queries, index).join(
+    best = best_in_cells(queries, index, one_cell=True).join(
         names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key"
     )
     resolved = unclear.join(best, "query_key", "left").select(

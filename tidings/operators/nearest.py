@@ -103,11 +103,12 @@ def best_in_cells(
     index: DataFrame,
     index_rows: int = INDEX_ROWS,
     query_rows: int = QUERY_ROWS,
+    one_cell: bool = False,
 ) -> DataFrame:
     """``(query_key, item_key, cos)``: the index row of highest cosine among each query's cells.
 
-    ``queries`` has ``cell, query_key, query_vec`` (a query may be in several cells), ``index`` has
-    ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent. Rows per cell are
+    ``queries`` has ``cell, query_key, query_vec`` (a query may be in several cells, unless ``one_cell``
+    says that none is), ``index`` has ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent. Rows per cell are
     counted first, so ``cell`` should come from a stored table; vectors are not read for that.
     """
     parts = _cell_parts(queries, index, index_rows, query_rows)
@@ -133,6 +134,8 @@ def best_in_cells(
     schema = f"query_key {key_type(queries, 'query_key')}, item_key {key_type(index, 'item_key')}, cos double"
     tiles = ["cell", "qp", "ip"]
     found = left.groupBy(*tiles).cogroup(right.groupBy(*tiles)).applyInArrow(_best_in_tile, schema)
+    if one_cell and parts is None:
+        return found  # each query was in a single tile
     return (
         found.groupBy("query_key")
         .agg(F.min(F.struct((-F.round("cos", _PLACES)).alias("order"), "item_key", "cos")).alias("best"))
@@ -144,13 +147,13 @@ def _choose_pivots(index: DataFrame, cell_rows: int) -> np.ndarray:
     """A repeatable choice of at most ``MAX_PIVOTS`` index vectors, as unit rows.
 
     One pivot per ``cell_rows`` index rows: even if no cell can be skipped, a query then meets no more
-    tiles than it would without cells.
+    tiles than it would without cells. None for an index that fits one cell, where nothing can be skipped.
     """
     wanted = min(MAX_PIVOTS, math.ceil(index.count() / cell_rows))
+    if wanted <= 1:
+        return np.zeros((0, 0))
     # item_key breaks hash ties; TakeOrdered keeps `wanted` rows per task, not the index.
     rows = index.orderBy(F.xxhash64("item_key"), "item_key").limit(wanted).select("item_vec").collect()
-    if not rows:
-        return np.zeros((0, 0))
     pivots = np.asarray([r.item_vec for r in rows], dtype=np.float64)
     norms = np.linalg.norm(pivots, axis=1, keepdims=True)
     return pivots / np.where(norms > 0, norms, 1.0)
@@ -179,22 +182,24 @@ def _reachable_cells(
 ) -> DataFrame:
     """``(query_key, cell)``: each query once per cell that may hold an index row within ``radius`` of it.
 
-    A cell is skipped only when geometry rules it out: by the triangle inequality on angles to its
+    ``radius`` is below a right angle. A cell is skipped only when geometry rules it out: by the triangle inequality on angles to its
     pivot, or because the query is further than ``radius`` beyond the plane halfway to its own pivot.
     """
     schema = T.StructType([queries.schema["query_key"], _CELL])
     numbers = np.asarray(cells, dtype=np.int32)
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots[numbers].T)))
-    slack = 1e-6
+    # Wider than the rounding of a score that just reaches the threshold.
+    slack = 1e-5
 
     def keep(near: np.ndarray) -> np.ndarray:
         angle = np.arccos(near[:, numbers])
-        kept = (angle - radius <= high + slack) & (angle + radius >= low - slack)
-        if radius < math.pi / 2:
-            own = near.argmax(axis=1)
-            ahead = near[np.arange(len(own)), own][:, None] - near[:, numbers]
-            kept &= ahead <= math.sin(radius) * gaps[own] + slack
-        return kept
+        own = near.argmax(axis=1)
+        ahead = near[np.arange(len(own)), own][:, None] - near[:, numbers]
+        return (
+            (angle - radius <= high + slack)
+            & (angle + radius >= low - slack)
+            & (ahead <= math.sin(radius) * gaps[own] + slack)
+        )
 
     def reach(batches):
         for whole in batches:
@@ -225,14 +230,17 @@ def nearest(
     Both inputs are read more than once: pass stored tables, not fresh model output.
     """
     to_score = relevance if score == "relevance" else (lambda c: c)
-    pivots = _choose_pivots(index, cell_rows) if threshold is not None else []
+    floor = -1.0 if threshold is None else cosine_for_relevance(threshold) if score == "relevance" else threshold
+    # At a right angle or beyond, hardly any cell could be skipped.
+    pivots = _choose_pivots(index, cell_rows) if floor > 0 else []
     if len(pivots) == 0:
-        found = best_in_cells(queries.withColumn("cell", F.lit(0)), index.withColumn("cell", F.lit(0)))
+        found = best_in_cells(
+            queries.withColumn("cell", F.lit(0)), index.withColumn("cell", F.lit(0)), one_cell=True
+        )
         scored = found.withColumn("score", to_score(F.col("cos")))
         return scored if threshold is None else scored.where(F.round("score", _PLACES) >= threshold)
 
-    floor = cosine_for_relevance(threshold) if score == "relevance" else threshold
-    radius = math.acos(max(-1.0, min(1.0, floor)))
+    radius = math.acos(min(1.0, floor))
     assigned = storage.materialize(_assign_cells(index.select("item_key", "item_vec"), pivots), label="index-cells")
     # At most MAX_PIVOTS rows.
     extent = assigned.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect()
