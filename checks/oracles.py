@@ -223,7 +223,7 @@ ORACLES = {
     + "SELECT cust_no, clean_cust_nm FROM company WHERE std_inds_clas_nm = 'ECONOMY'",
     "json_repair": with_(view("v_llm_raw"))
     + """SELECT seq, CASE kind WHEN 2 THEN 'repaired' WHEN 3 THEN 'failed' WHEN 4 THEN 'call_error' ELSE 'ok' END AS parse_status,
-        CASE WHEN kind IN (3, 4) THEN NULL ELSE seq END AS id FROM v_llm_raw""",
+        CASE WHEN kind IN (3, 4) THEN NULL ELSE CAST(seq AS VARCHAR) END AS id FROM v_llm_raw""",
     "llm_response_parse": f"""SELECT seq, CASE WHEN {RESPONSE_OK} THEN cls END AS classification,
         CASE WHEN {RESPONSE_OK} THEN 'RISK' END AS category, CASE WHEN {RESPONSE_OK} THEN event_type END AS summary
         FROM (SELECT event_id AS seq, event_id % 6 AS kind, event_type,
@@ -245,7 +245,7 @@ ORACLES = {
     + """SELECT e.k AS doc_id, CAST(bucket AS BIGINT) AS bucket,
         CAST(floor(CAST(CAST(n / len AS FLOAT) AS DOUBLE) * 1000000) AS BIGINT) AS weight_ppm FROM e JOIN e_norm n ON n.k = e.k""",
     "exact_name_match": with_(*MATCHING)
-    + f"SELECT m.seq, m.target_company, m.clean_target_company, d.n_candidates, d.cust_no, d.cust_nm FROM {EXACT}",
+    + f"SELECT m.seq, m.target_company, m.clean_target_company, coalesce(d.n_candidates, 0) AS n_candidates, d.cust_no, d.cust_nm FROM {EXACT}",
     "vector_top1": with_(VECTOR_COSINES) + VECTOR_TOP.format(where=""),
     "vector_threshold": with_(VECTOR_COSINES) + VECTOR_TOP.format(where=f"WHERE round({RELEVANCE}, 6) >= 0.2"),
     "cascade_match": with_(*CASCADE)

@@ -236,7 +236,7 @@ def master_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 def json_repair(spark: SparkSession, sf: str) -> DataFrame:
     parsed = responses.parse_json_text(view(spark, sf, "v_llm_raw"), "raw_content")
-    return parsed.select("seq", "parse_status", F.try_variant_get("parsed", "$.results.id", "bigint").alias("id"))
+    return parsed.select("seq", "parse_status", F.try_variant_get("parsed", "$.results.id", "string").alias("id"))
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -312,7 +312,10 @@ def _directory(spark: SparkSession, sf: str) -> DataFrame:
 
 def exact_name_match(spark: SparkSession, sf: str) -> DataFrame:
     found = matching.exact_match(_mentions(spark, sf), _directory(spark, sf))
-    return found.select("seq", "target_company", "clean_target_company", "n_candidates", "cust_no", "cust_nm")
+    return found.select(
+        "seq", "target_company", "clean_target_company", F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"),
+        "cust_no", "cust_nm",
+    )
 
 
 def _vector_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

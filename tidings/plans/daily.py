@@ -64,7 +64,10 @@ class Layout:
 
 @dataclass
 class Models:
-    """The model calls of a run, and what goes with them."""
+    """The model calls of a run, and what goes with them.
+
+    ``concurrency`` calls run at once in each of ``tasks`` tasks (as many as the input has, unless given).
+    """
 
     complete: Callable[[str], str]
     encode: Callable[[list[str]], object] = bigram_encoder
