@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidings.functions.text import CORPORATE_FORMS, LETTER_READINGS
-from tidings.functions.vectors import BIGRAM_DIM, BIGRAM_ENCODER_ID  # noqa: F401
+from tidings.functions.vectors import BIGRAM_DIM
 
 from .views import VIEWS
 
