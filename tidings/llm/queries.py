@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, simhash
+from . import bitpack, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,12 +21,17 @@ def op1_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
+    "op4_bitpack": op4_bitpack,
     "op7_simhash": op7_simhash,
 }
 ORACLES: dict[str, str] = {}
