@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, sharding, simhash
+from . import bitpack, decontaminate, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -32,6 +36,9 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op4_bitpack": op4_bitpack,
+    "op5_wu_manber": op5_wu_manber,
     "op7_simhash": op7_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_wu_manber": decontaminate.REPORT_SQL,
+}
