@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, sharding, simhash
+from . import bitpack, decontaminate, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op6_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.report(_read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -37,8 +41,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op4_bitpack": op4_bitpack,
     "op5_wu_manber": op5_wu_manber,
+    "op6_recompress": op6_recompress,
     "op7_simhash": op7_simhash,
 }
 ORACLES: dict[str, str] = {
     "op5_wu_manber": decontaminate.REPORT_SQL,
+    "op6_recompress": recompress.REPORT_SQL,
 }
