@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, recompress, sharding, simhash
+from . import bitpack, decontaminate, language, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(_read(spark, sf_dir, "documents"))
+
+
 def op4_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -39,6 +43,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
+    "op2_byte_network": op2_byte_network,
     "op4_bitpack": op4_bitpack,
     "op5_wu_manber": op5_wu_manber,
     "op6_recompress": op6_recompress,
