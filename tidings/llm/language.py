@@ -181,11 +181,12 @@ def with_language(docs: DataFrame, net: Network | None, names: tuple[str, str] =
         return docs.withColumns({names[0]: F.lit(UNKNOWN), names[1]: F.lit(0.0)})
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     rows = docs.select(F.col(text_col).alias("text"), lettered.alias("lettered"), F.struct(*(c for c in docs.columns if c != text_col)).alias("row"))
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # a few hundred kilobytes
+    parts = (net.languages, net.filters, net.biases, net.weights, net.offsets)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)  # a few hundred kilobytes
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = Predictor(shared.value)
-        languages = np.array([*shared.value.languages, UNKNOWN], object)
+        predict = Predictor(Network(*shared.value))
+        languages = np.array([*shared.value[0], UNKNOWN], object)
         for batch in batches:
             found = [predict(s.column(0)) for s in slices(iter([batch]), "text")]
             lettered = np.asarray(batch.column(1)).astype(bool) if batch.num_rows else np.zeros(0, bool)
