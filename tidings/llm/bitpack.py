@@ -20,22 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize, scratch_path
-from .batches import ranges, slices, split_words
+from .batches import slices, split_words
+from .word_ids import WordIds
 
 MAGIC = b"TIDBITS1"
 BLOCK = 1 << 16
 FILE_IDS = 1 << 26
 HEAD = "<8sBI"
 FOOT = "<5QI8s"
-#: Words whose ids a task keeps; beyond that it starts afresh.
-KEPT_WORDS = 300_000
 
 
 def width(vocabulary: int) -> int:
@@ -153,49 +151,23 @@ class Reader:
         return unpack(raw, self.bits, n)[start - first * self.block :][:count]
 
 
-class WordIds:
-    """Ids of running text: each distinct white-space word goes through the tokenizer once while it is kept."""
-
-    def __init__(self, path: str):
-        import tokenizers
-
-        self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index, self.flat, self.lengths, self.used = {}, np.zeros(1 << 20, np.uint32), np.zeros(1 << 16, np.int64), 0
-
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        first, lengths = len(self.index), np.array([len(x) for x in found], np.int64)
-        total = int(lengths.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        while first + len(words) > len(self.lengths):
-            self.lengths = np.concatenate((self.lengths, np.zeros_like(self.lengths)))
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in found for i in x), np.uint32, total)
-        self.lengths[first : first + len(words)] = lengths
-        self.used += total
-        self.index.update(zip(words, range(first, first + len(words))))
-
-    def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, ``end`` after each, and the number of ids per text."""
-        words, bounds = split_words(texts)
-        coded = pc.dictionary_encode(words)
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > KEPT_WORDS:
-            self._clear()
-        if new := [w for w in distinct if w not in self.index]:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[np.asarray(coded.indices)] if distinct else np.zeros(0, np.int64)
-        known = self.lengths[: len(self.index)]
-        starts, lengths = (np.cumsum(known) - known)[at], known[at]
-        ids = self.flat[ranges(starts, lengths)]
-        ends = np.concatenate(([0], np.cumsum(lengths)))[bounds]
+def _encoder(path: str):
+    """(ids, numbers of ids) of texts by a tokenizers file, which sees each distinct white-space word; and its vocabulary.
+
+    The file must not join words across ASCII white space.
+    """
+    import tokenizers
+
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    lookup = WordIds(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+
+    def encode(texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        ids, bounds = lookup(*split_words(texts))
         if end is not None:
-            ids = np.insert(ids, ends[1:], end)
-        return ids, np.diff(ends) + (end is not None)
+            ids = np.insert(ids, bounds[1:], end)
+        return ids, np.diff(bounds) + (end is not None)
+
+    return encode, tokenizer.get_vocab_size(with_added_tokens=True)
 
 
 def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,8 +181,8 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        encode = WordIds(tokenizer)
-        bits, part = width(encode.vocabulary), TaskContext.get().partitionId()
+        encode, vocabulary = _encoder(tokenizer)
+        bits, part = width(vocabulary), TaskContext.get().partitionId()
         writer, path, done = None, "", []
         for batch in slices(batches, "text"):
             if writer is None:

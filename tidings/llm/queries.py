@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, language, recompress, sharding, simhash
+from . import bitpack, decontaminate, language, pieces, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op2_byte_network": op2_byte_network,
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_wu_manber": op5_wu_manber,
     "op6_recompress": op6_recompress,
     "op7_simhash": op7_simhash,
+    "op10_transducer": op10_transducer,
 }
 ORACLES: dict[str, str] = {
     "op5_wu_manber": decontaminate.REPORT_SQL,
