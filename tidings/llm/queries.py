@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, language, pieces, recompress, sharding, simhash
+from . import bitpack, decontaminate, html_paths, imatch, language, pieces, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op2_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(_read(spark, sf_dir, "documents"))
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.report(_read(spark, sf_dir, "documents"))
+
+
 def op4_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
@@ -41,6 +45,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op9_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_paths.report(_read(spark, sf_dir, "pages"))
+
+
 def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -48,13 +56,16 @@ def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op2_byte_network": op2_byte_network,
+    "op3_imatch": op3_imatch,
     "op4_bitpack": op4_bitpack,
     "op5_wu_manber": op5_wu_manber,
     "op6_recompress": op6_recompress,
     "op7_simhash": op7_simhash,
+    "op9_tag_paths": op9_tag_paths,
     "op10_transducer": op10_transducer,
 }
 ORACLES: dict[str, str] = {
     "op5_wu_manber": decontaminate.REPORT_SQL,
     "op6_recompress": recompress.REPORT_SQL,
+    "op9_tag_paths": html_paths.REPORT_SQL,
 }
