@@ -5,14 +5,15 @@ one symbol, then each symbol falls on the left or right side by a bit of its nam
 one becomes one symbol. A name is a hash of what it stands for, so equal substrings get equal names in every task
 without an exchange; only symbols near a substring's ends depend on what surrounds it.
 
-How near is known. A run stays one frozen symbol whatever its length, and pairs at most double a symbol, so three rounds
-reach 2 * (1 + 2 + 4) = 14 words from either end, and the 22 words in the middle of a 50-word window are parsed alike
-wherever it stands. Any 14 of them hold the start of a symbol, of eight words at most. The smallest name among the
-starts in each 14 words is an anchor, so all occurrences of a window share an anchor at the same place.
-
-Spark groups anchors by the words around them that every such window holds, 14 before and 22 from its start on.
-Anchors found in two documents tell which windows can repeat; those windows are named by 128 bits of their text, and
-Spark finds the smallest doc_id of each name. The names decide which windows repeat; anchors only choose which are named.
+How near is known. A run stays one frozen symbol whatever its length, and pairs at most double a symbol, so two rounds
+reach 2 * (1 + 2) = 6 words from either end, and the 38 words in the middle of a 50-word window are parsed alike
+wherever it stands. A symbol has four words at most, so one starts among any four of them. The start with the smallest
+name among the first 34 is the window's anchor, at the same place in all its occurrences.
+
+Spark groups anchors by the words around them that every such window holds, 6 before and 10 from its start on. Anchors
+that two different texts share tell which windows can repeat; those windows are named by 128 bits of their text, and Spark
+finds the smallest doc_id of each name. The names decide which windows repeat; anchors only choose which are named. Equal
+texts are found by their checksum, and all windows of a copy are repeats.
 """
 
 from __future__ import annotations
@@ -30,16 +31,16 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..storage import materialize
 from .batches import bytes_and_offsets, join_words, ranges, slices, split_words
 
-ROUNDS = 3
-#: Words that three rounds reach from the end of a window, and the longest symbol after them.
+ROUNDS = 2
+#: Words that the rounds reach from the end of a window, and the longest symbol after them.
 REACH = 2 * ((1 << ROUNDS) - 1)
 LONGEST = 1 << ROUNDS
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def least_window() -> int:
-    """The shortest window with an anchor: both reaches, the words to choose from, and the symbol that starts last."""
-    return 3 * REACH + LONGEST
+    """The shortest window with an anchor: both reaches, words that hold a start, and the symbol that starts last."""
+    return 2 * REACH + 2 * LONGEST
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -88,30 +89,21 @@ def symbol_starts(names: np.ndarray, bounds: np.ndarray, rounds: int = ROUNDS) -
     return out
 
 
-def _sliding(x: np.ndarray, size: int, of, backwards: bool = False) -> np.ndarray:
-    """Minimum or maximum of ``size`` entries from each one on (or up to it); entries past the end are left out."""
-    out, width = x.copy(), 1
-    while width < size:
-        step = min(width, size - width)
-        following = out.copy()
-        if backwards:
-            following[step:] = of(out[step:], out[:-step]) if step < len(out) else out[step:]
-        elif step < len(out):
-            following[:-step] = of(out[:-step], out[step:])
-        out, width = following, width + step
-    return out
-
-
-def anchors(names: np.ndarray, bounds: np.ndarray, window: int) -> np.ndarray:
-    """Word places of the anchors of all windows of ``window`` words."""
+def window_anchors(names: np.ndarray, bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word place of each window of ``window`` words, and that of its anchor."""
     choose = window - 2 * REACH - LONGEST
     counts = np.diff(bounds)
     within = np.arange(len(names)) - np.repeat(bounds[:-1], counts)
     left = np.repeat(counts, counts) - within
     starts = symbol_starts(names, bounds)
-    least = _sliding(starts, choose, np.minimum)
-    least[(within < REACH) | (left < window - REACH)] = 0  # no window has its chosen words there
-    return np.flatnonzero((starts == _sliding(least, choose, np.maximum, True)) & (starts != NONE))
+    least, width = np.arange(len(names)), 1  # the first of the smallest names among ``width`` words from each on
+    while width < choose and len(names) > 1:
+        step = min(width, choose - width, len(names) - 1)
+        here, there = least[:-step], least[step:]
+        least = np.concatenate((np.where(starts[there] < starts[here], there, here), least[-step:]))
+        width += step
+    chosen = np.flatnonzero((within >= REACH) & (left >= window - REACH))  # windows lie within a text
+    return chosen - REACH, least[chosen]
 
 
 def _around(names: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
@@ -128,7 +120,7 @@ def _anchor_rows(window: int):
         for batch in slices(batches, "text"):
             words, bounds = split_words(batch.column(2))
             names = word_names(words)
-            at = anchors(names, bounds, window)
+            at = np.unique(window_anchors(names, bounds, window)[1])
             text = np.searchsorted(bounds, at, "right") - 1
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
@@ -140,8 +132,7 @@ def _anchor_rows(window: int):
 
 
 def _window_rows(window: int):
-    """(name, id, h, at) of the windows whose anchor can be one of ``places``."""
-    choose = window - 2 * REACH - LONGEST
+    """(name, id, h, at) of the windows whose anchor is one of ``places``, without those of ``copies``."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -151,38 +142,37 @@ def _window_rows(window: int):
             counts = np.diff(bounds)
             # Joined texts stand one after the other without a space between them.
             starts = np.cumsum(lengths + 1) - (lengths + 1) - np.repeat(np.cumsum(counts > 0) - (counts > 0), counts)
-            names, rows, places = [], [], []
-            for t, found in enumerate(batch.column("places").to_pylist()):
-                at = np.unique((np.array(found)[:, None] - np.arange(REACH, REACH + choose)).ravel())
-                at = at[(at >= 0) & (at <= counts[t] - window)]
-                first, last = at + bounds[t], at + bounds[t] + window - 1
-                names += [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts[first].tolist(), (starts[last] + lengths[last]).tolist())]
-                rows.append(np.full(len(at), t))
-                places.append(at)
-            take = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
-            at = pa.array(np.concatenate(places).astype(np.int32) if places else np.zeros(0, np.int32))
+            shared = np.zeros(len(words), bool)
+            for t, (h, found, copies) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("h", "places", "copies")))):
+                if h not in copies:
+                    at = np.array(found, np.int64)
+                    shared[bounds[t] + at[at < counts[t]]] = True  # another text may have the same id
+            first, anchor = window_anchors(word_names(words), bounds, window)
+            first = first[shared[anchor]]
+            last = first + window - 1
+            names = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(starts[first].tolist(), (starts[last] + lengths[last]).tolist())]
+            text = np.searchsorted(bounds, first, "right") - 1
+            rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), batch.column("id").take(take), batch.column("h").take(take), at], ["name", "id", "h", "at"])
+                [pa.array(names, pa.binary()), batch.column("id").take(rows), batch.column("h").take(rows), pa.array((first - bounds[text]).astype(np.int32))],
+                ["name", "id", "h", "at"])
 
     return each
 
 
 def _without(window: int, respace: bool):
-    """Take the words of the windows that start at ``gone`` out of each text; -1 stands for all windows."""
+    """Take the words of the windows that start at ``gone`` (h, at) out of each text; -1 stands for all windows."""
 
     def one(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         words, bounds = split_words(batch.column("text"))
         counts = np.diff(bounds)
         change = np.zeros(len(words) + 1, np.int64)
-        for t, gone in enumerate(batch.column("gone").to_pylist()):
-            if gone and gone[0] == -1:
-                if counts[t] >= window:
-                    change[bounds[t]] += 1
-                    change[bounds[t + 1]] -= 1
-            elif gone:
-                first = bounds[t] + np.array(gone)
-                np.add.at(change, first, 1)
-                np.add.at(change, first + window, -1)
+        for t, (h, gone) in enumerate(zip(batch.column("h").to_pylist(), batch.column("gone").to_pylist())):
+            places = np.array([g["at"] for g in gone or () if g["h"] == h], np.int64)
+            if (places == -1).any():
+                places = np.arange(max(0, counts[t] - window + 1))
+            np.add.at(change, bounds[t] + places, 1)
+            np.add.at(change, bounds[t] + places + window, -1)
         stays = np.cumsum(change)[:-1] == 0
         bounds = np.concatenate(([0], np.cumsum(stays)))[bounds]
         lost = counts - np.diff(bounds)
@@ -205,19 +195,19 @@ def _without(window: int, respace: bool):
 
 
 def shared_places(rows: DataFrame, window: int) -> DataFrame:
-    """(id, h, places): the anchors of each text that another id has too, or -1 alone if a smaller id has the same text.
+    """(id, places, copies): the anchors of its texts that a different text has too, and the hashes of its texts that
+    a smaller id has.
 
-    ``rows`` has id (not null), h and text. Keys are combined to their smallest and largest id before they are joined
+    ``rows`` has id (not null), h and text. Keys are combined to their smallest and largest text before they are joined
     back, so an anchor that many texts share is one row there.
     """
     found = rows.select("id", "h", "text").mapInArrow(_anchor_rows(window), "key long, id long, h long, at int")
-    shared = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
+    shared = found.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key")
     texts = rows.select("id", "h", F.md5(F.col("text").cast("binary")).alias("m"))
     first = texts.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
-    copies = texts.join(first, "m").where("lo < id").select("id", "h", F.lit(-1).alias("at"))
-    places = found.join(shared, "key").select("id", "h", "at").union(copies)
-    places = places.groupBy("id", "h").agg(F.collect_set("at").alias("places"))
-    return places.withColumn("places", F.when(F.array_contains("places", -1), F.array(F.lit(-1))).otherwise(F.col("places")))
+    copies = texts.join(first, "m").where("lo < id").select("id", F.lit(None).cast("int").alias("at"), "h")
+    places = found.select("key", "id", "at").join(shared, "key").select("id", "at", F.lit(None).cast("long").alias("h"))
+    return places.union(copies).groupBy("id").agg(F.collect_set("at").alias("places"), F.collect_set("h").alias("copies"))
 
 
 def without_repeats(
@@ -237,7 +227,7 @@ def without_repeats(
     if clash := set(names) & set(docs.columns):
         raise ValueError(f"the table already has columns {sorted(clash)}")
     others = [F.col(c) for c in docs.columns if c != text_col]
-    # Neither key can be null, so that both joins below see the same shuffled texts, which Spark then shuffles once.
+    # The key can't be null, so that both joins below see the same shuffled texts, which Spark then shuffles once.
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text_col).alias("h"),
         F.col(text_col).alias("text"), F.struct(*others).alias("row"))
@@ -245,12 +235,13 @@ def without_repeats(
         F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
     places = materialize(shared_places(numbered, window), label="anchors")
 
-    named = rows.join(places.where("places[0] != -1"), ["id", "h"]).mapInArrow(_window_rows(window), "name binary, id long, h long, at int")
+    named = rows.join(places.where(F.size("places") > 0), "id").mapInArrow(_window_rows(window), "name binary, id long, h long, at int")
     first = named.groupBy("name").agg(F.min("id").alias("lo"))
-    gone = named.join(first, "name").where("lo < id").groupBy("id", "h").agg(F.collect_set("at").alias("gone"))
-    gone = gone.union(places.where("places[0] = -1"))
+    gone = named.join(first, "name").where("lo < id").select("id", "h", "at")
+    copies = places.select("id", F.explode("copies").alias("h"), F.lit(-1).alias("at"))
+    gone = gone.union(copies).groupBy("id").agg(F.collect_set(F.struct("h", "at")).alias("gone"))
     out = StructType([StructField("row", rows.schema["row"].dataType), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())])
-    done = rows.join(gone, ["id", "h"], "left").select("text", "row", "gone").mapInArrow(_without(window, respace), out)
+    done = rows.join(gone, "id", "left").select("h", "text", "row", "gone").mapInArrow(_without(window, respace), out)
     columns = [F.col("kept").alias(text_col) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns]
     return done.select(*columns, F.col("n_words").alias(names[0]), F.col("n_removed").alias(names[1]))
 
@@ -262,7 +253,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 REPORT_SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 win AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 49), ' ')) AS p FROM (
   SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
 first AS (SELECT p, min(doc_id) AS m FROM win GROUP BY p),
