@@ -17,6 +17,7 @@ words, whose paths are found once per distinct word, and runs of single marks, w
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from .batches import ranges, slices
-from .word_ids import WordIds
+from .word_ids import KEPT_WORDS, WordIds
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -39,6 +40,7 @@ class Transducer:
     """A byte-pair SentencePiece model with byte fallback and without a character map."""
 
     def __init__(self, path: str):
+        import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         model = proto.ModelProto()
@@ -60,7 +62,6 @@ class Transducer:
                 self.bytes[int(p.piece[3:5], 16)] = k
             self.surface.append(bytes([int(p.piece[3:5], 16)]) if p.type == BYTE else p.piece.replace(MARK, " ").encode() if p.type == NORMAL
                                 else spec.unk_surface.encode() if p.type == UNKNOWN else b"")
-        self.longest = max(map(len, self.ids))
         marks = [p for p in self.ids if set(p) == {MARK}]
         letters = [p for p in self.ids if set(p) != {MARK}]
         least = max(self.weight[p] for p in letters)
@@ -68,12 +69,33 @@ class Transducer:
             raise ValueError("marks must stand at the start of pieces, or merge after all other pieces")
         if any(c not in self.ids for p in self.ids for c in p):
             raise ValueError("each character of a piece must be a piece")
+        self.arcs = ahocorasick.Automaton()
+        for p in self.ids:
+            self.arcs.add_word(p, p)
+        self.arcs.make_automaton()
+        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self._parts: dict[str, list[int]] = {}
         self._apart: dict[tuple[str, str], bool] = {}
         self._whole: dict[str, bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the merges make of the symbols: the neighbours of least weight first, of equal ones the leftmost."""
         symbols, weight = list(symbols), self.weight
+        if len(symbols) > 32:
+            return self._merged_long(symbols)
+        costs = [weight.get(a + b, math.inf) for a, b in zip(symbols, symbols[1:])]
+        while costs and (least := min(costs)) < math.inf:
+            k = costs.index(least)
+            symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
+            del costs[k]
+            if k < len(costs):
+                costs[k] = weight.get(symbols[k] + symbols[k + 1], math.inf)
+            if k:
+                costs[k - 1] = weight.get(symbols[k - 1] + symbols[k], math.inf)
+        return symbols
+
+    def _merged_long(self, symbols: list[str]) -> list[str]:
+        weight = self.weight
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
         heap = [(weight[a + b], k, a, b) for k, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in weight]
@@ -117,15 +139,12 @@ class Transducer:
         """Ids of the path of least weight through the lattice of a word; its marks, if any, stand before the rest."""
         ids, n = self.ids, len(word)
         last: list[str | None] = [None] * (n + 1)  # the piece that ends here, or None for the start and for bytes
-        start = [0] * (n + 1)
-        for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
-                piece = word[i:j]
-                if piece in ids and (self.whole(piece) if last[i] is None else self.apart(last[i], piece)):
-                    last[j], start[j] = piece, i  # the only finite weight
-                    break
-            else:
-                start[j] = j - 1
+        start = list(range(-1, n))
+        done = bytearray(n + 1)
+        for end, piece in self.arcs.iter(word):  # by their ends; of one end, the longest first
+            j, i = end + 1, end + 1 - len(piece)
+            if not done[j] and (self.whole(piece) if last[i] is None else self.apart(last[i], piece)):
+                last[j], start[j], done[j] = piece, i, 1  # the only finite weight
         out: list[int] = []
         j = n
         while j:
@@ -134,6 +153,19 @@ class Transducer:
             j = i
         return out[::-1]
 
+    def word(self, word: str) -> list[int]:
+        """Ids of a word: no arc crosses two neighbouring characters that stand together in no piece, so it is cut there."""
+        cuts = [0, *(k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.inside), len(word)]
+        out: list[int] = []
+        for a, b in zip(cuts, cuts[1:]):
+            part = word[a:b]
+            if part not in self._parts:
+                if len(self._parts) > KEPT_WORDS:
+                    self._parts.clear()
+                self._parts[part] = self.path(part)
+            out += self._parts[part]
+        return out
+
 
 class Encoder:
     """Ids of batches of texts."""
@@ -141,7 +173,7 @@ class Encoder:
     def __init__(self, fst: Transducer):
         self.fst = fst
         self.lone = fst.ids[MARK]
-        self.lookup = WordIds(lambda words: [fst.path(w if w[:1] == "\n" else MARK + w) for w in words])
+        self.lookup = WordIds(lambda words: [fst.word(w if w[:1] == "\n" else MARK + w) for w in words])
         self.runs: dict[int, list[int]] = {}
         self.break_at = not any("\n" in p for p in fst.ids)
 
