@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, html_paths, imatch, language, pieces, recompress, sharding, simhash
+from . import bitpack, decontaminate, html_paths, imatch, language, licenses, pieces, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op8_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(_read(spark, sf_dir, "documents"))
+
+
 def op9_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_paths.report(_read(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_wu_manber": op5_wu_manber,
     "op6_recompress": op6_recompress,
     "op7_simhash": op7_simhash,
+    "op8_patience": op8_patience,
     "op9_tag_paths": op9_tag_paths,
     "op10_transducer": op10_transducer,
 }
