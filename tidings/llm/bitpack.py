@@ -13,6 +13,9 @@ lost or repeated leaves at most a file that no list names.
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -26,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..storage import materialize, scratch_path
-from .batches import slices, split_words
-from .word_ids import WordIds
+from .batches import SLICE_BYTES, slices, split_words
+from .word_ids import KEPT_WORDS, WordIds
 
 MAGIC = b"TIDBITS1"
 BLOCK = 1 << 16
@@ -151,15 +154,63 @@ class Reader:
         return unpack(raw, self.bits, n)[start - first * self.block :][:count]
 
 
+#: How the word tokenizer prepares a text, and its letters whose lower case and composition are plain.
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = r"([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{}~|]*)"
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it prints, else the next from U+0100."""
+    printing = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printing]
+    return [chr(b) if b in printing else chr(0x100 + others.index(b)) for b in range(256)]
+
+
+def _learner(tokenizer):
+    """The ids of words by the tokenizer; a plain word goes to its merges by letters and marks, each once.
+
+    That holds for one preparation of texts: a run of letters in lower case and a run of marks are what it splits such a
+    word into. With any other, or with an added token in reach, the tokenizer sees the word as it is.
+    """
+    whole = lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)]
+    made = json.loads(tokenizer.to_str())
+    steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    if made["normalizer"] != _NORMALIZER or [s.get("type") for s in steps] != ["Split", "ByteLevel"]:
+        return whole
+    if steps[0]["pattern"] != {"Regex": _SPLIT} or steps[0]["behavior"] != "Removed" or not steps[0]["invert"] or steps[1]["add_prefix_space"] or steps[1]["use_regex"]:
+        return whole
+    if any(not t["content"].startswith("<|") for t in made["added_tokens"]):
+        return whole
+    plain, letters, tokenize, parts = re.compile(_PLAIN).fullmatch, _byte_letters(), tokenizer.model.tokenize, {}
+
+    def ids(part: str) -> list[int]:
+        if part not in parts:
+            if len(parts) > KEPT_WORDS:
+                parts.clear()
+            shown = part if part.isascii() else "".join([letters[b] for b in part.encode()])
+            parts[part] = [t.id for t in tokenize(shown)]
+        return parts[part]
+
+    def learn(words: list[str]) -> list[list[int]]:
+        found = [plain(w) for w in words]
+        rest = iter(whole([w for w, m in zip(words, found) if m is None or "<|" in w]))
+        return [next(rest) if m is None or "<|" in w else ids(m[1].lower()) + ids(m[2]) if m[2] else ids(m[1].lower()) for w, m in zip(words, found)]
+
+    return learn
+
+
 def _encoder(path: str):
     """(ids, numbers of ids) of texts by a tokenizers file, which sees each distinct white-space word; and its vocabulary.
 
     The file must not join words across ASCII white space.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import tokenizers
 
     tokenizer = tokenizers.Tokenizer.from_file(path)
-    lookup = WordIds(lambda words: [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)])
+    lookup = WordIds(_learner(tokenizer))
 
     def encode(texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         ids, bounds = lookup(*split_words(texts))
@@ -184,7 +235,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None
         encode, vocabulary = _encoder(tokenizer)
         bits, part = width(vocabulary), TaskContext.get().partitionId()
         writer, path, done = None, "", []
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SLICE_BYTES):
             if writer is None:
                 path = f"{base}/{part:06d}-{len(done):04d}-{uuid.uuid4().hex}.ids"
                 writer = Writer(store.open_output_stream(path, compression=None), bits)

@@ -12,6 +12,8 @@ from .batches import ranges
 
 #: Words whose ids a task keeps; beyond that it starts afresh.
 KEPT_WORDS = 600_000
+#: Words learned at a time, as what a tokenizer returns is large.
+LEARNED = 4096
 
 
 class WordIds:
@@ -43,8 +45,9 @@ class WordIds:
         distinct = coded.dictionary.to_pylist()
         if len(self.index) + len(distinct) > KEPT_WORDS:
             self._clear()
-        if new := [w for w in distinct if w not in self.index]:
-            self._add(new)
+        new = [w for w in distinct if w not in self.index]
+        for k in range(0, len(new), LEARNED):
+            self._add(new[k : k + LEARNED])
         at = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
         at = at[np.asarray(coded.indices)] if distinct else at
         known = self.lengths[: len(self.index)]
