@@ -39,6 +39,11 @@ ASIDE_NAMES = set(
 )
 #: These mark page furniture unless they stand inside an article.
 HEAD_NAMES = {"header"}
+#: A path is content if its fused ratio is at least this share of the heaviest path's.
+THRESHOLD = 0.2
+#: Characters of a block that is shorter than a sentence.
+SHORT = 25
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PUNCTUATION = ".,;:!?。，、；：！？…"
 _PUNCTUATION = re.compile("[" + PUNCTUATION + "]")
 
@@ -142,10 +147,13 @@ def content(blocks: list[tuple[tuple[str, ...], str, bool]]) -> list[str]:
         score[path] = score.get(path, 0.0) + float(f) / totals[path][0]
     # A path's weight is what it holds of the page; the heaviest one sets the scale.
     best = max(score, key=lambda p: (score[p] * totals[p][1], p))
-    threshold = score[best] * 0.1
-    chosen = {p for p, s in score.items() if s >= threshold}
+    threshold = score[best] * THRESHOLD
+    # Neighbours may lift a heading, but not a label: that has no punctuation and a few words at most.
+    label = {p for p, (n, size, marks) in totals.items() if not marks and size < SHORT * n and not (p and p[-1][:2] in HEADINGS)}
+    chosen = {p for p, s in score.items() if s >= threshold and (p == best or p not in label)}
     container = best[:-1]
-    named = bool(container) and container[-1].split(".")[0] in ("article", "main", "section", "div", "td")
+    # A plain div may stand anywhere in the page; an article, or a step with a name of its own, is one place.
+    named = bool(container) and ("." in container[-1] or container[-1] in ("article", "main"))
     return [text for path, text in rest if path in chosen and path[: len(container)] == container or named and path[: len(container)] == container]
 
 
