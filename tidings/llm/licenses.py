@@ -171,6 +171,10 @@ class Notices:
                 pairs = trimmed(align(codes[start : min(hi, key + reach)].tolist(), template), len(template))
                 share = covered(pairs, len(template))
                 if share >= self.coverage - 1e-9:
+                    again = start + pairs[0][0]  # the stretch from its first word on may hold more of it
+                    more = trimmed(align(codes[again : min(hi, again + reach)].tolist(), template), len(template))
+                    if covered(more, len(template)) > share:
+                        start, pairs, share = again, more, covered(more, len(template))
                     first, last = start + pairs[0][0], start + pairs[-1][0]
                     out.append((t, name, first - lo, last - lo, share))
                     free = last + 1
