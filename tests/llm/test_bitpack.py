@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import tokenizers
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyarrow import fs
+
+from tidings.llm import bitpack
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 32).flatmap(lambda bits: st.tuples(st.just(bits), st.lists(st.integers(0, (1 << bits) - 1), max_size=70))))
+def test_packing_round_trip(case):
+    bits, ids = case
+    packed = bitpack.pack(np.array(ids, np.uint32), bits)
+    assert len(packed) == -(-len(ids) * bits // 8)
+    assert bitpack.unpack(packed, bits, len(ids)).tolist() == ids
+    assert "".join(f"{b:08b}" for b in packed)[: len(ids) * bits] == "".join(f"{i:0{bits}b}" for i in ids)
+
+
+def test_width_is_the_least():
+    assert [bitpack.width(n) for n in (1, 2, 3, 256, 257, 49408, 65536, 65537)] == [1, 1, 2, 8, 9, 16, 16, 17]
+    with pytest.raises(ValueError):
+        bitpack.pack(np.array([4]), 2)
+
+
+def test_any_range_of_a_file(tmp_path):
+    rng = np.random.default_rng(0)
+    ids = rng.integers(0, 1 << 13, 3 * bitpack.BLOCK + 77).astype(np.uint32)
+    store, path = fs.LocalFileSystem(), str(tmp_path / "f.ids")
+    writer = bitpack.Writer(store.open_output_stream(path), 13)
+    cuts = [0, 5, 5, 70000, len(ids)]
+    for k in range(4):
+        writer.add(pa.array([None if k == 1 else k], pa.int64()), np.array([cuts[k + 1] - cuts[k]]), ids[cuts[k] : cuts[k + 1]])
+    assert writer.close() == (4, len(ids))
+    with store.open_input_file(path) as stream:
+        file = bitpack.Reader(stream)
+        assert file.doc_ids.to_pylist() == [0, None, 2, 3] and file.counts.tolist() == np.diff(cuts).tolist()
+        for start, n in ((0, 0), (0, 1), (bitpack.BLOCK - 1, 2), (65000, 140000), (len(ids) - 3, 3), (0, len(ids))):
+            assert (file.ids(start, n) == ids[start : start + n]).all()
+    data = open(path, "rb").read()
+    open(path, "wb").write(data[:-30] + b"x" + data[-29:])
+    with pytest.raises(ValueError), store.open_input_file(path) as stream:
+        bitpack.Reader(stream)
+
+
+TEXTS = ["", "Hello, WORLD!! don't we'll", "<|endoftext|> a<|startoftext|>b", "ÀÉ café. ñ İstanbul ΟΔΟΣ ß Œ", "x1y22 3.14", "a b\u0085c", "mañana; (ok) 'tis \"q\" it's.", "日本 ☃", "ª º µ"]
+
+
+def test_plain_words_get_the_tokenizers_ids():
+    encode, _ = bitpack._encoder(PATH)
+    ids, counts = encode(pa.array(TEXTS), None)
+    want = [e.ids for e in tokenizers.Tokenizer.from_file(PATH).encode_batch(TEXTS, add_special_tokens=False)]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.sampled_from("abeXÉéñß'.,!-<|> \n\t1²ªœ́"), max_size=25))
+def test_any_text_gets_the_tokenizers_ids(text):
+    encode, tokenizer = _ENCODERS.setdefault("e", (bitpack._encoder(PATH)[0], tokenizers.Tokenizer.from_file(PATH)))
+    assert encode(pa.array([text]), None)[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+_ENCODERS: dict = {}
+
+
+def test_files_hold_all_documents_in_order(docs):
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is not None, r[0], r[1]))
+    tokenizer = tokenizers.Tokenizer.from_file(PATH)
+    want, start = [], 0
+    for d, t in rows:
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 1]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = [tuple(r) for r in bitpack.round_trip(docs, PATH, 1).orderBy("start").collect()]
+    assert got == want
+
+
+def test_no_documents_give_no_files(none):
+    assert bitpack.round_trip(none, PATH, 1).collect() == []

@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tidings.llm import licenses
+
+
+def found(texts, templates=licenses.TEMPLATES, coverage=licenses.COVERAGE):
+    notices = licenses.Notices(templates, coverage)
+    words, bounds = licenses._words(pa.array(texts))
+    codes = np.asarray(pc.index_in(words, pa.array(notices.vocabulary, pa.string())).fill_null(-1)).astype(np.int64)
+    return notices.matches(codes, bounds)
+
+
+def test_longest_increasing_against_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        values = rng.integers(0, 9, rng.integers(0, 9)).tolist()
+        best = max(n for n in range(len(values) + 1) if any(all(a < b for a, b in zip(c, c[1:])) for c in combinations(values, n)))
+        got = [values[k] for k in licenses.longest_increasing(values)]
+        assert len(got) == best and all(a < b for a, b in zip(got, got[1:]))
+
+
+def test_alignments_are_ordered_matches():
+    rng = np.random.default_rng(1)
+    for trial in range(300):
+        a, b = (rng.integers(-1 if k == 0 else 0, 12, rng.integers(0, 30)).tolist() for k in (0, 1))
+        pairs = licenses.align(a, b, bool(trial % 2))
+        assert all(a[i] == b[j] >= 0 for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+        if len(set(a)) == len(a) and len(set(b)) == len(b):
+            place = {w: j for j, w in enumerate(b)}
+            assert len(pairs) == len(licenses.longest_increasing([place[w] for w in a if w in place]))
+
+
+def test_without_unique_words_the_common_subsequence_is_longest():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        a, b = ([*x, *x] for x in (rng.integers(0, 3, 6).tolist(), rng.integers(0, 3, 5).tolist()))
+        pairs = licenses._common(a, b)
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table[i + 1, j + 1] = table[i, j] + 1 if a[i] == b[j] else max(table[i, j + 1], table[i + 1, j])
+        assert len(pairs) == table[-1, -1]
+
+
+def test_notices_in_context():
+    for name, text in licenses.TEMPLATES.items():
+        n = len(licenses._words(pa.array([text]))[0])
+        got = [m for m in found([f"this the of Version {text.upper()}. more this the License of", "none"]) if m[1] == name]
+        assert [(m[0], m[2], m[3], m[4]) for m in got] == [(0, 4, 3 + n, 1.0)], name
+
+
+def test_repeated_changed_and_cut_notices():
+    mit = licenses.TEMPLATES["MIT"]
+    assert [m[2:4] for m in found([f"{mit}. {mit}\n{mit}"])] == [(0, 4), (5, 9), (10, 14)]
+    long = licenses.TEMPLATES["MIT-header"]
+    assert [m[1] for m in found([long.replace("charge", "cost")])] == ["MIT-header"]
+    assert found([" ".join(long.split()[:40])]) == [] and found(["Licensed under CC BY 4.0 NC"], {"x": "CC BY NC 4.0 licensed"}) == []
+    assert [m[1] for m in found([licenses.TEMPLATES["CC-BY-NC-4.0"]])] == ["CC-BY-NC-4.0"]
+
+
+def test_matches_do_not_reach_into_the_next_text():
+    assert found(["Released under the", "MIT License", ""]) == []
+
+
+def test_each_planted_notice_is_found():
+    rng = np.random.default_rng(3)
+    pool = ["the", "of", "under", "this", "x", "yy", "Licenses", "version"]
+    for _ in range(60):
+        names = [str(n) for n in rng.choice(sorted(licenses.TEMPLATES), 3)]
+        parts = [" ".join(rng.choice(pool, rng.integers(0, 40)).tolist()) for _ in range(4)]
+        text = " ".join(x for pair in zip(parts, [licenses.TEMPLATES[n] for n in names] + [""]) for x in pair)
+        got = {(m[1], m[2]) for m in found([text]) if m[4] == 1.0}
+        at = 0
+        for part, name in zip(parts, names):
+            at += len(part.split())
+            assert (name, at) in got
+            at += len(licenses._words(pa.array([licenses.TEMPLATES[name]]))[0])
+
+
+def test_edge_documents(spark, docs, none):
+    got = licenses.with_notices(docs)
+    assert got.columns == [*docs.columns, "n_words", "notices"] and got.count() == docs.count()
+    assert all(r["notices"] == [] for r in got.collect())
+    assert licenses.with_notices(docs, {"empty": "!!", "same": "same text again"}).where("size(notices) > 0").count() == 3
+    assert licenses.report(none).collect() == []
+    assert {tuple(r)[2:] for r in licenses.report(docs).collect()} == {(0, "", 0.0, None)}
