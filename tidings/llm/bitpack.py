@@ -266,7 +266,7 @@ def read_documents(files: DataFrame, folder: str) -> DataFrame:
                 with store.open_input_file(path) as stream:
                     yield from _documents(Reader(stream), start)
 
-    spread = files.select("path", "start").repartition("path")
+    spread = files.select("path", "start").repartition(max(1, files.count()), "path")
     return spread.mapInArrow(each, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

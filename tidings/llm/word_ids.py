@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from .batches import ranges
 
 #: Words whose ids a task keeps; beyond that it starts afresh.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: Words learned at a time, as what a tokenizer returns is large.
 LEARNED = 4096
 
