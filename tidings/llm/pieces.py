@@ -16,6 +16,7 @@ words, whose paths are found once per distinct word, and runs of single marks, w
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import zlib
@@ -26,14 +27,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .batches import ranges, slices
-from .word_ids import KEPT_WORDS, WordIds
+from .word_ids import WordIds
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-KEPT_PAIRS = 500_000
+#: Parts of words and pairs of pieces whose results a task keeps; beyond that it starts afresh.
+KEPT_PARTS, KEPT_PAIRS = 200_000, 200_000
 
 
 class Transducer:
@@ -160,7 +162,7 @@ class Transducer:
         for a, b in zip(cuts, cuts[1:]):
             part = word[a:b]
             if part not in self._parts:
-                if len(self._parts) > KEPT_WORDS:
+                if len(self._parts) > KEPT_PARTS:
                     self._parts.clear()
                 self._parts[part] = self.path(part)
             out += self._parts[part]
@@ -278,28 +280,27 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", name: str = "decod
     return _back(rows.mapInArrow(each, StructType([*rows.schema.fields, StructField("y", StringType())])), docs, ids_col, name)
 
 
-def with_ids_crc32(docs: DataFrame, ids_col: str = "ids", name: str = "ids_crc32") -> DataFrame:
-    """``docs`` with the unsigned crc32 of the ids as little-endian unsigned 32-bit numbers."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(0)
-            raw = np.asarray(lists.flatten()).astype("<u4").tobytes()
-            ends = np.concatenate(([0], np.cumsum(np.asarray(pc.list_value_length(lists).fill_null(0))))) * 4
-            sums = [zlib.crc32(raw[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], schema=pa.schema([*batch.schema, ("y", pa.int64())]))
-
-    rows = _rows(docs, ids_col)
-    return _back(rows.mapInArrow(each, StructType([*rows.schema.fields, StructField("y", LongType())])), docs, ids_col, name)
-
-
 def report(docs: DataFrame, model: str) -> DataFrame:
-    """One row per document: doc_id, n_ids, ids_crc32, decoded_sha256, and whether decoding gave the text back.
+    """One row per document: doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit numbers), decoded_sha256, and
+    whether decoding gave the text back.
 
-    Marks (U+2581) in a text are spaces to the model and come back as such.
+    Marks (U+2581) in a text are spaces to the model and come back as such. Encoding and decoding are one pass, so that a
+    task has one Python process and ids needn't leave it.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    coded = decode(with_ids_crc32(encode(docs.select("doc_id", "text"), model)), model)
-    return coded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == F.replace(text, F.lit(MARK), F.lit(" "))).alias("same_text"))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fst = Transducer(model)
+        encoder, decoder = Encoder(fst), Decoder(fst)
+        for batch in slices(batches, "text"):
+            ids, ends = encoder(batch.column(1))
+            raw, bounds = ids.astype("<u4").tobytes(), (4 * ends).tolist()
+            texts = decoder(ids.astype(np.int64), ends)
+            plain = pc.replace_substring(batch.column(1), MARK, " ").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.diff(ends)), pa.array([zlib.crc32(raw[a:b]) for a, b in zip(bounds, bounds[1:])], pa.int64()),
+                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()), pa.array([t == p for t, p in zip(texts, plain)], pa.bool_())],
+                ["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "same_text"])
+
+    out = "n_ids long, ids_crc32 long, decoded_sha256 string, same_text boolean"
+    rows = docs.select("doc_id", "text")
+    return rows.mapInArrow(each, StructType([rows.schema["doc_id"], *StructType.fromDDL(out).fields]))
