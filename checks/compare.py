@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+import os
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -26,6 +28,7 @@ def session(cpus: int = 8) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("SCRATCH_DIR") or tempfile.mkdtemp(prefix="tidings-"))
         .getOrCreate()
     )
 

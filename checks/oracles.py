@@ -60,7 +60,8 @@ def dotted(column: str) -> str:
 
 
 REFERENCE = "concat('[', coalesce(site_name, 'None'), ']. ', coalesce(title, 'None'), '. ', coalesce({date}, 'None'))"
-PROMPT = """concat('Analyze the following news article. Output only the result in JSON format.', chr(10), chr(10),
+PROMPT = """concat('Which companies does this article report on, and what kind of event is it? Answer with one JSON object: ',
+  '{"results": {"id", "company_names", "classification", "category", "summary"}}.', chr(10), chr(10),
   'ID: ', CAST(seq AS VARCHAR), chr(10), 'Date: ', coalesce(basc_dt, 'None'), chr(10),
   'Title: ', coalesce(title, 'None'), chr(10), 'Content: ', coalesce(content, 'None'), chr(10))"""
 
@@ -175,6 +176,43 @@ ORACLES = {
     + """SELECT CAST(seq AS VARCHAR) AS seq, CAST(p_seq AS VARCHAR) AS p_seq, channel, site_name, basc_dt,
         coalesce(title, '') AS title, content, coalesce(doc_sentiment, '') AS doc_sentiment,
         coalesce(part_basc_dt, '') AS part_basc_dt FROM v_news""",
+    "delimited_layouts": with_(
+        view("v_news"),
+        """scan AS (SELECT CAST(seq AS VARCHAR) AS seq, CAST(p_seq AS VARCHAR) AS p_seq, channel, site_name, basc_dt,
+        coalesce(title, '') AS title, content, coalesce(doc_sentiment, '') AS doc_sentiment,
+        coalesce(part_basc_dt, '') AS part_basc_dt FROM v_news)""",
+    ) + "SELECT *, 'known' AS layout FROM scan UNION ALL SELECT *, 'own' FROM scan",
+    "stream_overlap": with_(view("v_news"))
+    + f"""SELECT seq, site_name, basc_dt, title, content, coalesce(doc_sentiment, '') AS doc_sentiment, part_basc_dt
+        FROM v_news WHERE {LATER_RUN} AND part_basc_dt IS NOT NULL""",
+    "numeric_keys": """SELECT o_orderkey, CAST(concat('10000000000', lpad(CAST(o_orderkey AS VARCHAR), 8, '0')) AS BIGINT) AS number,
+        o_orderkey % 2 = 0 AS same FROM orders""",
+    "vector_near_copies": f"""WITH cosines AS (SELECT q.vec_id AS query_id, x.vec_id AS item_id, list_cosine_similarity(
+            list_transform(q.embedding, lambda e, i: CAST(e AS DOUBLE) + CASE WHEN i - 1 = q.vec_id % 64 THEN (q.vec_id % 10) * 0.0002::DOUBLE ELSE 0 END),
+            CAST(x.embedding AS DOUBLE[])) AS cos FROM embeddings q, embeddings x),
+        best AS (SELECT query_id, item_id, round({RELEVANCE}, 4) AS score, max(cos) OVER (PARTITION BY query_id) AS top FROM cosines
+          QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(cos, 6) DESC, item_id) = 1)
+        SELECT query_id, item_id, score, cells FROM best, (VALUES ('small'), ('default')) t(cells)
+        WHERE round({RELEVANCE.replace('cos', 'top')}, 6) >= 1.0""",
+    "catalog_insert": with_(
+        view("v_target"),
+        """loads AS (SELECT 0 AS load, * FROM v_target UNION ALL SELECT 1, * REPLACE (seq + 1000000000 AS seq) FROM v_target)""",
+    ) + """SELECT row_number() OVER (ORDER BY load, seq, etct_cust_no, news_tite) AS news_mppg_id, seq, etct_cust_no,
+        replace(replace(news_tite, chr(10), ' '), chr(13), ' ') AS news_tite,
+        concat(replace(replace(news_tite, chr(10), ' '), chr(13), ' '), '  end') AS news_ctt, basc_dt FROM loads""",
+    "cursor_state": with_(view("v_news"))
+    + """SELECT seq AS last_seq, coalesce(part_basc_dt, 'None') AS last_part_basc_dt, n AS last_id, n AS published_id
+        FROM v_news, (SELECT count(*) + count(*) FILTER (WHERE seq % 3 = 0) AS n FROM v_news) c
+        ORDER BY seq DESC, part_basc_dt DESC NULLS LAST LIMIT 1""",
+    "vector_refresh": with_(view("v_company"), CLEAN_COMPANY)
+    + f"""SELECT clean_cust_nm, 'char-bigram-256' AS encoder_id, CAST(256 AS BIGINT) AS dim,
+        CAST(min(CASE WHEN std_inds_clas_nm = 'ECONOMY' THEN 0 ELSE 1 END) AS BIGINT) AS turn FROM company GROUP BY clean_cust_nm""",
+    "resume_run": with_(*RUN) + "SELECT * FROM target",
+    "dry_run_preview": with_(*RUN)
+    + """SELECT seq, site_nm, news_tite, news_clas, doc_sentiment, etct_cust_nm, etct_cust_no FROM target
+        ORDER BY seq, etct_cust_no LIMIT 5""",
+    "serving_after_failed_publish": with_(*RUN)
+    + f"SELECT CAST(seq AS VARCHAR) AS seq, etct_cust_no, news_clas, basc_dt FROM target WHERE {SERVED}",
     "daily_news_sql": with_(view("v_news"))
     + f"SELECT {NEWS_COLS} FROM v_news WHERE part_basc_dt >= '20260105' AND seq > 10 AND {ROOT_NEWS}",
     "recent_n_days": with_(view("v_news")) + f"SELECT {NEWS_COLS} FROM v_news WHERE part_basc_dt >= '20260125' AND {ROOT_NEWS}",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
+from unittest import mock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +28,14 @@ from tidings.operators import (
     state,
 )
 from tidings.plans import daily
-from tidings.schema import NEWS_SCHEMA, TARGET_SCHEMA
+from tidings.schema import NAME_VECTOR_SCHEMA, NEWS_SCHEMA, TARGET_SCHEMA
 from tidings.sources import company, delimited, files, news, warehouse
 from tidings.streaming import incremental
 
 from .views import table, view
 
 CURSOR = (10, "20260105")
+# The columns of the news feed.
 NEWS_FEED_COLUMNS = [
     "seq", "p_seq", "channel", "site_name", "basc_dt", "title", "content", "doc_sentiment", "part_basc_dt",
 ]
@@ -120,6 +123,32 @@ def delimited_scan(spark: SparkSession, sf: str) -> DataFrame:
     return delimited.read_delimited(spark, _news_files(spark, sf) + "/part=*")
 
 
+def delimited_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two column orders, read with the known layout and without."""
+    path = storage.scratch_path(spark, "layouts")
+    feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS)
+    _write_delimited(feed.where("seq % 2 = 0"), f"{path}/forward", 3)
+    _write_delimited(feed.where("seq % 2 = 1").select(NEWS_FEED_COLUMNS[::-1]), f"{path}/backward", 2)
+    paths = [f"{path}/forward/part=*", f"{path}/backward/part=*"]
+    known = delimited.read_delimited(spark, paths, NEWS_FEED_COLUMNS).withColumn("layout", F.lit("known"))
+    return known.unionByName(delimited.read_delimited(spark, paths).withColumn("layout", F.lit("own")))
+
+
+def stream_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Two drains of a folder; before the second, every article comes again in other files."""
+    source = _news_files(spark, sf)
+    landed, state_path = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "stream-state")
+    drain = lambda cursor: incremental.land_new_articles(
+        spark, source + "/part=*", NEWS_FEED_COLUMNS, landed, state_path, cursor, max_files_per_trigger=3)
+    first = drain(CURSOR)
+    last = first.agg(F.max("seq")).first()[0]
+    _write_delimited(view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS[::-1]), f"{source}/again", 2)
+    for part in ("0", "1"):
+        spark.read.option("lineSep", delimited.RECORD_SEP).text(f"{source}/again/part={part}").coalesce(1).write.option(
+            "lineSep", delimited.RECORD_SEP).text(f"{source}/part=1{part}")
+    return drain((last, CURSOR[1]))
+
+
 def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     source = _news_files(spark, sf)
     return incremental.land_new_articles(
@@ -160,10 +189,17 @@ def date_normalize(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "v_news").select("seq", text.normalize_date("basc_dt").alias("basc_dt"))
 
 
+def numeric_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of 19 digits, given as text, and their neighbours."""
+    key = lambda c: F.concat(F.lit("10000000000"), F.lpad(c.cast("string"), 8, "0"))
+    own, other = key(F.col("o_orderkey")), key(F.col("o_orderkey") + F.col("o_orderkey") % 2)
+    return table(spark, sf, "orders").select("o_orderkey", text.to_long(own).alias("number"), text.same_number(own, other).alias("same"))
+
+
 def context_text(spark: SparkSession, sf: str) -> DataFrame:
     articles = view(spark, sf, "v_news").select(
         F.lit("article").alias("kind"), F.col("seq").alias("id"),
-        text.article_context("title", "content", content_chars=None).alias("context"),
+        text.article_context("title", "content").alias("context"),
     )
     companies = view(spark, sf, "v_company").select(
         F.lit("company"), F.col("cust_no").cast("bigint"),
@@ -341,6 +377,20 @@ def vector_threshold(spark: SparkSession, sf: str) -> DataFrame:
     return _hits(nearest.nearest(*_vector_sides(spark, sf), threshold=0.2, cell_rows=100))
 
 
+def vector_near_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors with one entry moved a little, searched at the highest threshold in small and in large cells."""
+    e = table(spark, sf, "embeddings")
+    step = F.col("vec_id") % 10 * F.lit(0.0002)
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + F.when(i == F.col("vec_id") % 64, step).otherwise(F.lit(0.0)))
+    queries = storage.materialize(e.select(F.col("vec_id").alias("query_key"), moved.alias("query_vec")), label="moved")
+    index = _vector_sides(spark, sf)[1]
+    found = [
+        _hits(nearest.nearest(queries, index, 1.0, **cells)).withColumn("cells", F.lit(name))
+        for name, cells in (("small", {"cell_rows": 20}), ("default", {}))
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _embedded(df: DataFrame, column: str) -> DataFrame:
     return storage.materialize(
         inference.embed(df, column, vectors.bigram_encoder, vectors.BIGRAM_ENCODER_ID), label="vectors"
@@ -461,6 +511,41 @@ def idempotent_append(spark: SparkSession, sf: str) -> DataFrame:
     return storage.read_or_empty(spark, path, TARGET_SCHEMA).select("news_mppg_id", "seq", "etct_cust_no", "news_tite")
 
 
+def catalog_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two inserts into a catalog table."""
+    name = f"target_{uuid.uuid4().hex}"
+    load.create_target_table(spark, name, storage.scratch_path(spark, "catalog"))
+    rows = align.align(view(spark, sf, "v_target"), TARGET_SCHEMA).withColumn("news_ctt", F.concat("news_tite", F.lit("\r\nend")))
+    load.insert_with_ids(spark, rows, name, _LOAD_ORDER)
+    load.insert_with_ids(spark, _second_load(rows), name, _LOAD_ORDER)
+    return spark.table(name).select("news_mppg_id", "seq", "etct_cust_no", "news_tite", "news_ctt", "basc_dt")
+
+
+def cursor_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The state after two loads, the second of them published."""
+    path = storage.scratch_path(spark, "state")
+    news_rows = view(spark, sf, "v_news")
+    for rows in (news_rows.where("seq % 3 = 0"), news_rows):
+        top = state.next_cursor(rows).first()
+        state.save_cursor(spark, path, top.last_seq, top.last_part_basc_dt or "None", state.load_last_id(spark, path) + rows.count())
+    state.save_published_id(spark, path, state.load_last_id(spark, path))
+    last_seq, last_day = state.load_cursor(spark, path)
+    row = (last_seq, last_day, state.load_last_id(spark, path), state.load_published_id(spark, path))
+    return spark.createDataFrame([row], "last_seq bigint, last_part_basc_dt string, last_id bigint, published_id bigint")
+
+
+def vector_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Name vectors after the companies of one industry, and after all; names of both are embedded once."""
+    path = storage.scratch_path(spark, "name-vectors")
+    companies = storage.materialize(_clean_company(spark, sf), label="companies")
+    for turn, rows in enumerate((companies.where("std_inds_clas_nm = 'ECONOMY'"), companies)):
+        stored = storage.read_or_empty(spark, path, NAME_VECTOR_SCHEMA)
+        save = lambda new, n=turn: new.write.mode("append").parquet(f"{path}/turn={n}")
+        master.refresh_name_vectors(rows, stored, vectors.bigram_encoder, vectors.BIGRAM_ENCODER_ID, save)
+    return spark.read.parquet(path).select(
+        "clean_cust_nm", "encoder_id", F.size("embedding").cast("bigint").alias("dim"), F.col("turn").cast("bigint").alias("turn"))
+
+
 def row_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return ids.with_chunk_index(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 1000)
 
@@ -488,16 +573,63 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 # --- whole run -----------------------------------------------------------------------------------
 
 
-def _run(spark: SparkSession, sf: str) -> daily.Layout:
+def _inputs(spark: SparkSession, sf: str) -> str:
     root = storage.scratch_path(spark, "run")
-    layout = daily.Layout(f"{root}/warehouse")
     view(spark, sf, "v_news").write.parquet(f"{root}/news")
     view(spark, sf, "v_company_hist").drop("tie1", "tie2").write.parquet(f"{root}/company")
-    daily.run_daily(
-        spark, layout, f"{root}/news", f"{root}/company", daily.Models(_reply), "20260128",
-        threshold=0.5, content_chars=None,
-    )
-    return layout
+    return root
+
+
+def _day(spark: SparkSession, root: str, run_dt: str = "20260128", news_folder: str = "news", **settings) -> tuple[daily.Layout, daily.Summary]:
+    layout = daily.Layout(f"{root}/warehouse")
+    summary = daily.run_daily(
+        spark, layout, f"{root}/{news_folder}", f"{root}/company", daily.Models(_reply), run_dt, threshold=0.5, **settings)
+    return layout, summary
+
+
+def _run(spark: SparkSession, sf: str) -> daily.Layout:
+    return _day(spark, _inputs(spark, sf))[0]
+
+
+class _Lost(Exception):
+    """What a query raises on purpose, to fail a run at one place."""
+
+
+def _failing(name: str):
+    return mock.patch.object(daily, name, side_effect=_Lost)
+
+
+def resume_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that is lost before the append, and called again."""
+    root = _inputs(spark, sf)
+    try:
+        with _failing("append_with_ids"):
+            _day(spark, root)
+    except _Lost:
+        pass
+    return storage.read_or_empty(spark, _day(spark, root)[0].target, TARGET_SCHEMA)
+
+
+def serving_after_failed_publish(spark: SparkSession, sf: str) -> DataFrame:
+    """Three days: the second one's publishing fails, the third has nothing new."""
+    root = _inputs(spark, sf)
+    # One partition, so that the cursor's day excludes nothing.
+    feed = spark.read.parquet(f"{root}/news").withColumn("part_basc_dt", F.lit("20260105"))
+    middle = feed.agg(F.max("seq")).first()[0] // 2
+    feed.where(F.col("seq") <= middle).write.parquet(f"{root}/day1")
+    feed.write.parquet(f"{root}/day2")
+    _day(spark, root, "20260126", "day1")
+    try:
+        with _failing("export_serving"):
+            _day(spark, root, "20260127", "day2")
+    except _Lost:
+        pass
+    layout, _ = _day(spark, root, "20260128", "day2")
+    return spark.read.schema(_text_target()).parquet(layout.serving).select("seq", "etct_cust_no", "news_clas", "basc_dt")
+
+
+def dry_run_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return _day(spark, _inputs(spark, sf), dry_run=True)[1].preview
 
 
 def daily_run(spark: SparkSession, sf: str) -> DataFrame:
@@ -515,6 +647,7 @@ def company_mentions(spark: SparkSession, sf: str) -> DataFrame:
     companies = master.with_clean_name(
         master.company_columns(master.latest_per_customer(view(spark, sf, "v_company_hist"), ties=["tie1", "tie2"]))
     )
+    companies = storage.materialize(companies, label="companies")  # ranked once for both uses
     found = matching.exact_match(_mentions(spark, sf), master.name_directory(companies))
     rows = matching.essential(found).withColumn("mapping_method", F.lit(matching.EXACT))
     once = matching.one_per_customer(rows).select("seq", "cust_no", "cust_nm")
@@ -532,6 +665,8 @@ QUERIES = {
         batch_inference, embed_texts, exact_name_match, vector_top1, vector_threshold, cascade_match,
         match_enrich, duplicate_flag, homonym_resolve, distinct_rows, dedup_keep_first, essential_filter,
         mapping_rate, serving_filter, serving_export, append_with_ids, idempotent_append, row_chunks,
-        retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving,
+        retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving, numeric_keys, vector_near_copies,
+        delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
+        serving_after_failed_publish,
     )
 }

@@ -63,7 +63,7 @@ def setting(spark, tmp_path):
     def run(run_dt="20260106", **kwargs):
         return daily.run_daily(
             spark, layout, str(tmp_path / "news.csv"), str(tmp_path / "company.csv"), models, run_dt,
-            threshold=0.6, **{"remove_input": False, **kwargs},
+            **{"remove_input": False, "threshold": 0.6, **kwargs},
         )
 
     run.models = models
@@ -155,6 +155,57 @@ def test_crash_between_append_and_cursor_loads_nothing_twice(spark, setting, mon
     assert loaded(spark, layout) == EXPECTED and load_cursor(spark, layout.state) == (7, "20260106")
 
 
+def served(spark, layout):
+    return sorted(int(r.seq) for r in spark.read.parquet(layout.serving).collect())
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_a_later_run_publishes_what_a_failed_one_left_out(spark, setting, monkeypatch, empty):
+    run, layout, _, folder = setting
+    run()
+    put(folder / "news.csv", NEWS_HEAD, news((8, "20260107", "Beta Motors", "cars")))
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(daily, "export_serving", crash)
+        with pytest.raises(RuntimeError, match="lost"):
+            run("20260107")
+    assert served(spark, layout) == [1, 2, 3, 4]
+    put(folder / "news.csv", NEWS_HEAD, DAY_ONE if empty else news((9, "20260108", "Beta Motors", "cars")))
+    assert run("20260108").loaded == (0 if empty else 1)
+    assert served(spark, layout) == [1, 2, 3, 4, 8] + [9] * (not empty)
+    assert run("20260109").served == 0
+
+
+def test_input_that_no_run_has_read_stays(spark, setting):
+    run, layout, _, folder = setting
+    run(remove_input=True)
+    assert not (folder / "news.csv").exists()
+    # A second file on a day whose stages are stored: not read, so not deleted, and loaded by the next run.
+    put(folder / "news.csv", NEWS_HEAD, news((20, "20260106", "Beta Motors", "cars")))
+    put(folder / "company.csv", COMPANY_HEAD, COMPANIES)
+    assert run(remove_input=True).appended == 0
+    assert (folder / "news.csv").exists() and (folder / "company.csv").exists()
+    assert run("20260107", remove_input=True).appended == 1
+    assert not (folder / "news.csv").exists() and served(spark, layout)[-1] == 20
+
+
+def test_counts_and_settings_of_a_run(spark, setting):
+    run, layout, _, folder = setting
+    text = (folder / "news.csv").read_text(encoding="utf-8")
+    (folder / "news.csv").write_text(text + "||cut off||9", encoding="utf-8")
+    summary = run()
+    assert (summary.bad_records, summary.late, summary.refreshed) == (2, 0, True)
+    assert (summary.considered, summary.served) == (4, 4)
+    assert run().bad_records is None
+    with pytest.raises(ValueError, match="threshold"):
+        run(threshold=0.7)
+    put(folder / "news.csv", NEWS_HEAD, DAY_ONE + news((9, "20260107", "Beta Motors", "cars")))
+    assert run("20260107", threshold=0.7).late == 7
+
+
 def test_dry_run_previews_and_changes_nothing(spark, setting):
     run, layout, _, folder = setting
     summary = run(dry_run=True, remove_input=True)

@@ -77,7 +77,7 @@ def test_serving_rows(spark, tmp_path):
     before = read()
     assert {s for s, _ in before} == kept
     # Only the named day is replaced.
-    serving.export_serving(df.withColumn("seq", F.col("seq") + 100), path, ["2026.01.01"])
+    serving.export_serving(df.withColumn("seq", F.col("seq") + 100), path, spark.createDataFrame([("2026.01.01",)], "basc_dt string"))
     assert read() == {(s + 100 if d == "2026.01.01" else s, d) for s, d in before}
 
 
@@ -85,7 +85,7 @@ def test_articles_without_a_day_are_served_too(spark, tmp_path):
     schema = "seq bigint, news_clas string, doc_sentiment string, basc_dt string"
     path = str(tmp_path / "s")
     df = spark.createDataFrame([(1, "RISK", "1", "2026.01.01"), (2, "RISK", "1", None)], schema)
-    serving.export_serving(df, path, ["2026.01.01", None])
+    serving.export_serving(df, path, spark.createDataFrame([("2026.01.01",), (None,)], "basc_dt string"))
     assert sorted(r.seq for r in spark.read.parquet(path).collect()) == ["1", "2"]
 
 
@@ -95,6 +95,10 @@ def test_cursor(spark, tmp_path):
     state.save_cursor(spark, path, 10, "20260105")
     state.save_cursor(spark, path, 5, "20260106")
     assert state.load_cursor(spark, path) == (5, "20260106") and state.load_last_id(spark, path) == 0
+    state.save_published_id(spark, path, 3)
+    assert state.load_cursor(spark, path) == (5, "20260106") and state.load_published_id(spark, path) == 3
+    state.save_cursor(spark, path, 6, "20260107", 9)
+    assert (state.load_published_id(spark, path), state.load_last_id(spark, path)) == (3, 9)
     df = spark.createDataFrame([(1, "20260109"), (7, "20260103"), (7, "20260104")], "seq bigint, part_basc_dt string")
     assert tuple(state.next_cursor(df).first()) == (7, "20260104")
 

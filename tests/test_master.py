@@ -62,6 +62,12 @@ def test_only_new_names_are_embedded_and_old_vectors_survive_a_failure(spark, ro
     with pytest.raises(Exception, match="down"):
         master.refresh_name_vectors(companies, stored, broken, "e", save, on_failure="raise")
 
+    def unwritable(df):
+        raise PermissionError("no space")
+
+    with pytest.raises(PermissionError):  # not the encoder's failure
+        master.refresh_name_vectors(companies, stored, lambda t: [[2.0]] * len(t), "e", unwritable)
+
 
 def test_duplicate_flags_include_null_keys_and_hot_keys(spark):
     hot = spark.range(3000).select(F.lit(1).alias("k"), "id")

@@ -52,6 +52,7 @@ def test_cells_without_index_rows_give_nothing(spark):
     right = spark.createDataFrame([(2, "a", [1.0])], "cell int, item_key string, item_vec array<float>")
     assert nearest.best_in_cells(left, right).count() == 0
     assert nearest.nearest(left.drop("cell"), right.drop("cell").limit(0), threshold=0.9).count() == 0
+    assert nearest.nearest(left.drop("cell").limit(0), right.drop("cell")).count() == 0
 
 
 @pytest.mark.parametrize("threshold", [0.95, 0.9, 0.5, 0.1, -0.4])
@@ -79,8 +80,37 @@ def test_far_cells_are_skipped(spark):
     bundle = lambda axis, n: np.eye(4)[axis] + 0.01 * rng.normal(size=(n, 4))
     pivots = np.eye(4)[:2]
     queries = frame(spark, np.concatenate([bundle(0, 5), bundle(1, 5)]), "query_key", "query_vec")
-    reached = nearest._reachable_cells(queries, pivots, [0, 1], np.zeros(2), np.full(2, 0.1), math.acos(0.93))
-    assert reached.count() == 10
+    own = nearest._assign_cells(queries, "query_vec", pivots).withColumn("floor", F.lit(0.93))
+    assert nearest._reachable_cells(own, pivots, [0, 1], np.zeros(2), np.full(2, 0.1)).count() == 0
+
+
+@pytest.mark.parametrize("cell_rows", [10, 100000])
+def test_near_copies_do_not_depend_on_the_cells(spark, cell_rows):
+    """Scores that just round to the threshold are found whichever cell they are in."""
+    rng = np.random.default_rng(4)
+    index = unit(rng, 400, 8)
+    moved = index + 5e-5 * rng.normal(size=index.shape)
+    queries = (moved / np.linalg.norm(moved, axis=1, keepdims=True)).astype(np.float32)
+    found = nearest.nearest(frame(spark, queries, "query_key", "query_vec"), frame(spark, index, "item_key", "item_vec"), 1.0, cell_rows=cell_rows)
+    top = (queries.astype(float) / np.linalg.norm(queries.astype(float), axis=1, keepdims=True)) @ (index.astype(float) / np.linalg.norm(index.astype(float), axis=1, keepdims=True)).T
+    assert {r.query_key for r in found.collect()} == set(np.flatnonzero(np.round(1 - math.sqrt(2) * (1 - top.max(axis=1)), 6) >= 1.0).tolist())
+
+
+def test_clustered_vectors_visit_few_cells(spark):
+    rng = np.random.default_rng(5)
+    centres = unit(rng, 40, 256)
+    near = lambda n: np.concatenate([c + 0.02 * rng.normal(size=(n, 256)) for c in centres])
+    index, queries = near(25).astype(np.float32), near(5).astype(np.float32)
+    rows, wanted = frame(spark, index, "item_key", "item_vec"), frame(spark, queries, "query_key", "query_vec")
+    pivots = nearest._choose_pivots(rows, 10, 1024)
+    assigned = nearest._assign_cells(rows, "item_vec", pivots)
+    own = nearest._assign_cells(wanted, "query_vec", pivots).drop("angle")
+    found = nearest.best_in_cells(own, assigned.drop("angle"), one_cell=True)
+    visits = nearest.cells_to_visit(own, found, assigned, pivots, -1.0)
+    assert len(pivots) == 100 and visits.count() < 0.2 * len(queries) * len(pivots)
+    got = {r.query_key: r.item_key for r in nearest.nearest(wanted, rows, cell_rows=10).collect()}
+    scaled = lambda x: x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    assert got == dict(enumerate(np.round(scaled(queries) @ scaled(index).T, 6).argmax(axis=1).tolist()))
 
 
 def test_scores():

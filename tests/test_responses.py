@@ -69,7 +69,46 @@ def test_one_failed_call_spoils_only_its_row(spark):
 
 def test_unknown_slot_falls_back_to_the_default_prompt(spark):
     df = spark.createDataFrame([(1, "d", "t", "c")], "seq bigint, basc_dt string, title string, content string")
-    assert df.select(inference.article_prompt("{nothing}").alias("p")).first().p.startswith("Analyze the following")
+    assert df.select(inference.article_prompt("{nothing}").alias("p")).first().p.startswith("Which companies")
+
+
+def test_calls_are_spread_and_bounded(spark):
+    from pyspark import TaskContext
+
+    prompts = spark.range(60).selectExpr("concat('p', id) AS prompt").coalesce(1)
+    lock_free = spark.sparkContext.accumulator(0)
+
+    def call(prompt):
+        import threading
+        import time
+
+        lock_free.add(1)
+        time.sleep(0.02)
+        here = sum(t.name.startswith("ThreadPoolExecutor") for t in threading.enumerate())
+        return f"{TaskContext.get().partitionId() if TaskContext.get() else -1} {here}"
+
+    out = inference.complete(prompts, "prompt", call, concurrency=8, tasks=4)
+    assert out.rdd.getNumPartitions() == 4
+    most = max(int(r.raw_content.split()[1]) for r in out.collect())
+    assert most <= 2 and lock_free.value == 60  # eight calls over four tasks
+    assert inference.complete(prompts, "prompt", call, concurrency=3, tasks=100).rdd.getNumPartitions() == 3
+
+
+def test_many_short_names_are_embedded_in_all_tasks(spark):
+    from pyspark import TaskContext
+
+    names = spark.range(80000).selectExpr("concat('n', id) AS t").coalesce(1)
+    encode = lambda texts: [[float(TaskContext.get().partitionId())]] * len(texts)
+    rows = inference.embed(names, "t", encode, "e", tasks=16).select("embedding").collect()
+    sizes = [sum(r.embedding[0] == k for r in rows) for k in range(16)]
+    assert sum(sizes) == 80000 and min(sizes) > 4000
+
+
+def test_windows_of_a_long_text_all_count(rows):
+    encode = lambda texts: [[float(len(t)), float(t.count("x"))] for t in texts]
+    df = rows("t string", ("x" * 10 + "y" * 5,), ("",), (None,))
+    got = [list(r.embedding) for r in inference.embed(df, "t", encode, "e", window_chars=10, tasks=1).collect()]
+    assert sorted(got) == [[0.0, 0.0], [0.0, 0.0], [pytest.approx((10 * 10 + 5 * 5) / 15), pytest.approx(100 / 15)]]
 
 
 @pytest.mark.parametrize("batch_size", [1, 2, 64])

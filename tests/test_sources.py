@@ -48,6 +48,31 @@ def test_known_layout_needs_no_header_pass_and_counts_bad_records(spark, tmp_pat
     assert seen.get == {"bad_records": 1, "good_records": 2}
 
 
+def test_a_known_layout_is_mapped_by_each_files_header(spark, tmp_path):
+    put(tmp_path, "1.csv", f"title{SEP}seq||hello{SEP}7")
+    put(tmp_path, "2.csv", f"seq{SEP}title||8{SEP}there||bad")
+    put(tmp_path, "3.csv", "")
+    seen = Observation()
+    df = delimited.read_delimited(spark, str(tmp_path / "*.csv"), ["seq", "title"], observation=seen)
+    assert sorted(map(tuple, df.collect())) == [("7", "hello"), ("8", "there")] and seen.get["bad_records"] == 1
+    put(tmp_path, "4.csv", f"seq{SEP}other||1{SEP}x")
+    with pytest.raises(ValueError, match="other"):
+        delimited.read_delimited(spark, str(tmp_path), ["seq", "title"])
+
+
+def test_each_byte_is_scanned_once(spark, tmp_path):
+    put(tmp_path, "1.csv", f"a{SEP}b||1{SEP}x")
+    for columns in (None, ["b", "a"]):
+        plan = delimited.read_delimited(spark, str(tmp_path), columns)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_a_long_header_is_found(spark, tmp_path):
+    names = [f"column_{k}" for k in range(9000)]
+    path = put(tmp_path, "f.csv", "||\n||" + SEP.join(names) + "||" + SEP.join("v" * 9000))
+    assert delimited.file_layouts(spark, path) == {SEP.join(names): [f"file:{path}"]}
+
+
 def test_files_of_different_layouts_are_united_by_name(spark, tmp_path):
     put(tmp_path, "1.csv", f"a{SEP}b||1{SEP}x||bad")
     put(tmp_path, "2.csv", f"b{SEP}a||y{SEP}2")
@@ -169,7 +194,9 @@ def test_stream_takes_each_file_once_and_equals_the_batch(spark, tmp_path):
     head = SEP.join(columns)
     line = lambda n, day: SEP.join([str(n), str(n), "NEWS", f"t{n}", day])
     put(feed, "1.csv", "||".join([head, line(9, "20260105"), line(11, "20260105")]))
-    put(feed, "2.csv", "||".join([head, line(12, "20260106"), line(13, "20260104")]))
+    # The second file has its columns in another order.
+    turned = lambda text: SEP.join(reversed(text.split(SEP)))
+    put(feed, "2.csv", "||".join(map(turned, [head, line(12, "20260106"), line(13, "20260104")])))
     args = (spark, str(feed), columns, str(tmp_path / "landed"), str(tmp_path / "state"))
     landed = incremental.land_new_articles(*args, (10, "20260105"), max_files_per_trigger=1)
     batch = news.load_new_articles(spark, str(feed), 10, "20260105")
@@ -178,6 +205,9 @@ def test_stream_takes_each_file_once_and_equals_the_batch(spark, tmp_path):
     put(feed, "3.csv", "||".join([head, line(12, "20260106"), line(14, "20260106")]))
     again = incremental.land_new_articles(*args, (12, "20260106"))
     assert sorted(r.seq for r in again.collect()) == [11, 12, 14]
+    # Batches wholly behind the cursor go, but for the newest.
+    assert incremental.prune_landed(spark, str(tmp_path / "landed"), (12, "20260106")) == ["batch_id=0", "batch_id=1"]
+    assert incremental.prune_landed(spark, str(tmp_path / "landed"), (14, "20260106")) == []
 
 
 def test_catalog_table(spark, tmp_path):

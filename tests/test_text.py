@@ -60,6 +60,20 @@ def test_same_number(rows):
     assert values(df.select(text.same_number("a", "b").alias("o")), "o") == [True, False, None, None]
 
 
+def test_long_keys_are_exact(rows):
+    df = rows("a string, b string", ("1000000000000000001", "1000000000000000002"), ("1000000000000000001", " +01000000000000000001 "),
+              ("9" * 30, "9" * 29 + "8"), ("9" * 30, "9" * 30), ("0", "-0"), ("-7", "7"), ("007", "7.0"))
+    assert values(df.select(text.same_number("a", "b").alias("o")), "o") == [False, True, False, True, True, False, True]
+    assert values(df.select(text.to_long("a").alias("o")), "o")[:3] == [1000000000000000001, 1000000000000000001, None]
+
+
+def test_each_letter_is_read_as_written(rows):
+    readings = ["에이", "비", "씨", "디", "이", "에프", "지", "에이치", "아이", "제이", "케이", "엘", "엠", "엔", "오", "피", "큐", "알", "에스",
+                "티", "유", "브이", "더블유", "엑스", "와이", "제트"]
+    df = rows("s string", *((f"{chr(65 + k)}가",) for k in range(26)), ("(주)가",), ("주식회사 가",), ("가 Inc.",), ("가 Co., Ltd.",))
+    assert values(df.select(text.normalize_company_name("s").alias("o")), "o") == [r + "가" for r in readings] + ["가"] * 4
+
+
 def test_blank_and_strip(rows):
     df = rows("s string", (None,), ("",), ("  ",), ("　\t\n",), (" a ",))
     assert values(df.select(text.is_blank("s").alias("o")), "o") == [True, True, True, True, False]
@@ -79,8 +93,7 @@ def test_reference_and_newlines(rows):
 def test_contexts(rows):
     long = "x" * 700
     df = rows("title string, content string", ("t", long))
-    assert df.select(text.article_context("title", "content").alias("o")).first().o == "t " + "x" * 500
-    assert df.select(text.article_context("title", "content", None).alias("o")).first().o == "t " + long
+    assert df.select(text.article_context("title", "content").alias("o")).first().o == "t " + long
     companies = rows("i string, p string, n string", ("a", "b", "n"), (None, "b", "n"), ("", "", "n"), (None, None, "n"))
     assert values(companies.select(text.company_context("i", "p", "n").alias("o")), "o") == ["a b", "b", "n", "n"]
 

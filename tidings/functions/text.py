@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 # Casts ignore blanks around a number, so the patterns allow them.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
+_INTEGER = r"^\s*[+-]?\d+\s*$"
 
 # Corporate-form markers dropped from a name, in this order.
 CORPORATE_FORMS = ["(주)", "주식회사", "INC.", "CO., LTD."]
@@ -59,20 +59,21 @@ def to_number(c: Column | str) -> Column:
 
 
 def to_long(c: Column | str) -> Column:
-    """Whole part of numeric text as bigint; digit-only text never goes through a double."""
+    """Whole part of numeric text as bigint, null beyond its range; digit-only text never goes through a double."""
     text = _col(c).cast("string")
-    return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(
-        to_number(c).try_cast("bigint")
-    )
+    return F.when(text.rlike(_INTEGER), text.try_cast("bigint")).otherwise(to_number(c).try_cast("bigint"))
 
 
 def same_number(a: Column | str, b: Column | str) -> Column:
-    """Numeric equality of two text columns; text that is no number equals nothing."""
+    """Numeric equality of two text columns; text that is no number equals nothing.
+
+    Digits are compared as digits, however many there are, and as doubles only against other spellings.
+    """
+    digits = lambda c: F.concat(
+        F.when(F.regexp_extract(c, r"^\s*-0*[1-9]", 0) != "", "-").otherwise(""), F.regexp_extract(c, r"^\s*[+-]?0*(\d+)\s*$", 1))
     left, right = _col(a).cast("string"), _col(b).cast("string")
-    return F.when(
-        left.rlike(_INTEGER) & right.rlike(_INTEGER),
-        left.try_cast("bigint") == right.try_cast("bigint"),
-    ).otherwise(to_number(a) == to_number(b))
+    whole = left.rlike(_INTEGER) & right.rlike(_INTEGER)
+    return F.when(whole, digits(left) == digits(right)).otherwise(to_number(a) == to_number(b))
 
 
 def _bare_name(c: Column | str) -> Column:
@@ -122,12 +123,9 @@ def reference_text(title: Column | str, basc_dt: Column | str, site: Column | st
     return F.concat(F.lit("["), or_none_text(site), F.lit("]. "), tail)
 
 
-def article_context(title: Column | str, content: Column | str, content_chars: int | None = 500) -> Column:
-    """Title and article body. The body is the 500-character model window, or whole with ``None``."""
-    body = _col(content)
-    if content_chars is not None:
-        body = F.substring(body, 1, content_chars)
-    return F.concat_ws(" ", _col(title), body)
+def article_context(title: Column | str, content: Column | str) -> Column:
+    """Title and whole article body."""
+    return F.concat_ws(" ", _col(title), _col(content))
 
 
 def company_context(industry: Column | str, product: Column | str, name: Column | str) -> Column:

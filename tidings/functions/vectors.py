@@ -41,9 +41,12 @@ def bigram_encoder(texts: list[str], dim: int = BIGRAM_DIM) -> np.ndarray:
     """
     if not texts:
         return np.zeros((0, dim), dtype=np.float32)
-    counts = np.zeros((len(texts), dim), dtype=np.float64)
-    for i, text in enumerate(texts):
-        codes = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
-        counts[i] = np.bincount((31 * codes[:-1] + codes[1:]) % dim, minlength=dim)
+    codes = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+    ends = np.cumsum([len(t) + 2 for t in texts])
+    row = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+    pair = np.ones(len(codes) - 1, dtype=bool)
+    pair[ends[:-1] - 1] = False  # no pair reaches into the next text
+    buckets = (row[:-1] * dim + (31 * codes[:-1] + codes[1:]) % dim)[pair]
+    counts = np.bincount(buckets, minlength=len(texts) * dim).reshape(len(texts), dim).astype(np.float64)
     norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
     return (counts / norms).astype(np.float32)

@@ -14,9 +14,9 @@ def context_key(context: Column | str) -> Column:
     return F.sha2(context, 256)
 
 
-def article_contexts(articles: DataFrame, content_chars: int | None = 500) -> DataFrame:
+def article_contexts(articles: DataFrame) -> DataFrame:
     """``seq, context_key, context`` of articles; copies of an article share a key."""
-    text = articles.select("seq", article_context("title", "content", content_chars).alias("context"))
+    text = articles.select("seq", article_context("title", "content").alias("context"))
     return text.select("seq", context_key("context").alias("context_key"), "context")
 
 
@@ -65,17 +65,19 @@ def resolve_homonyms(
     offered = company_keys.groupBy(F.col("clean_cust_nm").alias("cell"), "context_key").agg(
         F.min("cust_no").alias("item_key")
     )
+    wanted = storage.materialize(wanted, label="article-contexts")
+    offered = storage.materialize(offered, label="company-contexts")
     queries = (
-        storage.materialize(wanted, label="article-contexts")
-        .join(vectors, "context_key")
+        wanted.join(vectors, "context_key")
         .select("query_key.cell", "query_key", F.col("embedding").alias("query_vec"))
     )
     index = (
-        storage.materialize(offered, label="company-contexts")
-        .join(vectors, "context_key")
+        offered.join(vectors, "context_key")
         .select("cell", "item_key", F.col("embedding").alias("item_vec"))
     )
-    best = best_in_cells(queries, index, one_cell=True).join(
+    # Rows per name are counted on the stored keys, so that vectors are joined once.
+    cells = wanted.select("query_key.cell"), offered.select("cell")
+    best = best_in_cells(queries, index, one_cell=True, counted=cells).join(
         names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key"
     )
     resolved = unclear.join(best, "query_key", "left").select(

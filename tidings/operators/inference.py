@@ -18,9 +18,10 @@ from pyspark.sql.types import ArrayType, FloatType, StringType
 from ..functions.responses import FAILURE_PREFIX, parse_responses
 from ..functions.text import normalize_date, reference_text, render_prompt
 
-# The prompt used when the caller brings no template.
+# The prompt used when the caller brings no template.
 DEFAULT_TEMPLATE = (
-    "Analyze the following news article. Output only the result in JSON format.\n\n"
+    "Which companies does this article report on, and what kind of event is it? Answer with one JSON object: "
+    '{{"results": {{"id", "company_names", "classification", "category", "summary"}}}}.\n\n'
     "ID: {Id}\nDate: {date}\nTitle: {title}\nContent: {content}\n"
 )
 
@@ -40,11 +41,16 @@ def complete(
     call: Callable[[str], str],
     out: str = "raw_content",
     concurrency: int = 50,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Add the model's answer to each prompt; ``concurrency`` calls run at once in each task.
+    """Add the model's answer to each prompt; at most ``concurrency`` calls run at once in all tasks together.
 
-    A call that raises gives the text ``Failure: API calling: ...`` for its own row only.
+    Rows are spread evenly over ``tasks`` tasks (the session's parallelism unless given, and never more than calls
+    may run), each of which has its share of the calls. A call that raises gives the text
+    ``Failure: API calling: ...`` for its own row only.
     """
+    tasks = max(1, min(tasks or df.sparkSession.sparkContext.defaultParallelism, concurrency))
+    share = max(1, concurrency // tasks)
 
     def answer(text: str) -> str:
         try:
@@ -54,11 +60,11 @@ def complete(
 
     @F.pandas_udf(StringType())
     def answers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        with ThreadPoolExecutor(concurrency) as pool:
+        with ThreadPoolExecutor(share) as pool:
             for texts in batches:
                 yield pd.Series(list(pool.map(answer, texts)), dtype=object)
 
-    return df.withColumn(out, answers.asNondeterministic()(F.col(prompt)))
+    return df.repartition(tasks).withColumn(out, answers.asNondeterministic()(F.col(prompt)))
 
 
 def extract_articles(
@@ -71,13 +77,11 @@ def extract_articles(
     """Articles with company names, class, category and summary from the model.
 
     One answer per article row, also where a number occurs twice. Dates are normalised and the
-    reference line is built here. ``tasks`` spreads the calls evenly over that many tasks; a model call
-    takes far longer than moving its article.
+    reference line is built here. Calls are spread and bounded as in :func:`complete`; a model call takes far
+    longer than moving its article.
     """
-    if tasks is not None:
-        articles = articles.repartition(tasks)
     prompted = articles.withColumn("_prompt", article_prompt(template))
-    parsed = parse_responses(complete(prompted, "_prompt", call, concurrency=concurrency).drop("_prompt"))
+    parsed = parse_responses(complete(prompted, "_prompt", call, concurrency=concurrency, tasks=tasks).drop("_prompt"))
     return parsed.withColumn("basc_dt", normalize_date("basc_dt")).withColumn(
         "reference", reference_text("title", "basc_dt", "site_name")
     )
@@ -90,17 +94,36 @@ def embed(
     encoder_id: str,
     out: str = "embedding",
     batch_size: int = 64,
+    tasks: int | None = None,
+    window_chars: int | None = None,
 ) -> DataFrame:
-    """Add the embedding of a text column and the id of the encoder that made it; null counts as ''."""
+    """Add the embedding of a text column and the id of the encoder that made it; null counts as ''.
+
+    Rows are spread evenly over ``tasks`` tasks (the session's parallelism unless given). For a model that reads
+    only so many characters, ``window_chars`` cuts a text into consecutive windows of that size, and its vector is
+    the mean of theirs weighted by length, so all of the text counts.
+    """
+
+    def windows(text: str) -> list[str]:
+        size = window_chars or max(len(text), 1)
+        return [text[k : k + size] for k in range(0, max(len(text), 1), size)]
 
     @F.pandas_udf(ArrayType(FloatType()))
     def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            values = ["" if t is None else t for t in texts]
+            cut = [windows("" if t is None else t) for t in texts]
+            values = [w for ws in cut for w in ws]
             rows: list[np.ndarray] = []
             for start in range(0, len(values), batch_size):
                 rows.extend(np.asarray(encode(values[start : start + batch_size]), dtype=np.float32))
-            yield pd.Series(rows, dtype=object)
-
+            made, at = [], 0
+            for ws in cut:
+                part = rows[at : at + len(ws)]
+                weight = [max(len(w), 1) for w in ws]
+                made.append(part[0] if len(ws) == 1 else np.average(part, axis=0, weights=weight).astype(np.float32))
+                at += len(ws)
+            yield pd.Series(made, dtype=object)
+
+    df = df.repartition(max(1, tasks or df.sparkSession.sparkContext.defaultParallelism))
     embedded = df.withColumn(out, vectors.asNondeterministic()(F.col(text)))
     return embedded.withColumn("encoder_id", F.lit(encoder_id))

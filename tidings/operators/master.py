@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from .inference import embed
 
 log = logging.getLogger(__name__)
 
+# Tells a failure of the encoder from others in what Spark reports.
+_ENCODER_FAILED = "the encoder failed"
+
 
 def latest_per_customer(df: DataFrame, date_col: str = ASSESSED_ON, ties: list[str] | None = None) -> DataFrame:
     """The newest record of each customer; rows without a customer number or a numeric date are dropped.
@@ -75,20 +79,29 @@ def refresh_name_vectors(
     encoder_id: str,
     save: Callable[[DataFrame], None],
     on_failure: str = "keep_previous",
+    tasks: int | None = None,
 ) -> bool:
     """Embed the normalised names this encoder has not seen and hand them to ``save``.
 
-    A name is embedded once however many companies share it. If the encoder fails, stored vectors stay
-    in use (``keep_previous``) unless there are none; returns whether the refresh went through.
+    A name is embedded once however many companies share it, in ``tasks`` tasks. If the encoder fails, stored
+    vectors stay in use (``keep_previous``) unless there are none; returns whether the refresh went through. Any
+    other failure, of storage for instance, is raised.
     """
     known = stored.where(F.col("encoder_id") == encoder_id)
     names = master.select("clean_cust_nm").distinct()
     todo = unseen_rows(names, known, ["clean_cust_nm"])
+
+    def marked(texts: list[str]) -> object:
+        try:
+            return encode(texts)
+        except Exception as error:
+            raise RuntimeError(f"{_ENCODER_FAILED}: {error}") from error
+
     try:
-        save(embed(todo, "clean_cust_nm", encode, encoder_id))
+        save(embed(todo, "clean_cust_nm", marked, encoder_id, tasks=tasks))
         return True
-    except Exception:
-        if on_failure != "keep_previous" or known.isEmpty():
+    except PySparkException as error:
+        if _ENCODER_FAILED not in str(error) or on_failure != "keep_previous" or known.isEmpty():
             raise
         log.warning("name vectors not refreshed, the stored ones stay in use", exc_info=True)
         return False

@@ -2,7 +2,11 @@
 
 Queries and index rows are put into cells, and each query meets only the index rows of its cells. A
 cell is cut into tiles of bounded size on both sides, so a cell that holds a third of all rows is
-spread over many tasks. A tile yields one best row per query, never the pairs it compared.
+spread over many tasks; small cells share a tile. A tile yields one best row per query, never the
+pairs it compared.
+
+The nearest row is sought in the query's own cell first. What is found there is the least that a row
+of another cell has to reach, and only cells that can hold such a row are visited afterwards.
 """
 
 from __future__ import annotations
@@ -24,14 +28,13 @@ QUERY_ROWS = 16384
 # Queries compared at once.
 _STRIDE = 1024
 
-# Pivots are the only vectors that go through the driver: at most this many, whatever the index holds.
+# Pivots are the only vectors that go through the driver. More of them make cells smaller; results don't depend on it.
 MAX_PIVOTS = 1024
 
-# Cells of more than one tile whose part counts are broadcast: two integers and a key each.
-MAX_LARGE_CELLS = 50_000
-
 # Vectors are single precision, so scores are compared at this many places; the smallest key wins a tie.
 _PLACES = 6
+# Rows whose rounded cosines are equal differ by less than this.
+_ROUNDING = 2 * 10.0**-_PLACES
 
 _CELL = T.StructField("cell", T.IntegerType())
 
@@ -46,27 +49,44 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     return rows / np.where(norms > 0, norms, 1.0)
 
 
-def _best_in_tile(queries: pa.Table, index: pa.Table) -> pa.Table:
-    """Best index row of each query of one tile; the smallest key wins a tie."""
-    if queries.num_rows == 0 or index.num_rows == 0:
-        return pa.table({"query_key": queries["query_key"].slice(0, 0),
-                         "item_key": index["item_key"].slice(0, 0),
-                         "cos": pa.array([], pa.float64())})
-    index = index.sort_by("item_key")
-    items = _matrix(index["item_vec"], index.num_rows).T
-    wanted = _matrix(queries["query_vec"], queries.num_rows)
-    best = np.empty(len(wanted), dtype=np.int64)
-    cos = np.empty(len(wanted))
+def _best_in_cell(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position and cosine of the best of ``items``, which are sorted by key, for each row of ``wanted``; the highest cosine."""
+    best, cos, top = np.empty(len(wanted), dtype=np.int64), np.empty(len(wanted)), np.empty(len(wanted))
     for start in range(0, len(wanted), _STRIDE):
-        part = wanted[start : start + _STRIDE] @ items
+        part = wanted[start : start + _STRIDE] @ items.T
         first = np.round(part, _PLACES).argmax(axis=1)
         best[start : start + _STRIDE] = first
         cos[start : start + _STRIDE] = part[np.arange(len(part)), first]
+        top[start : start + _STRIDE] = part.max(axis=1)
+    return best, cos, top
+
+
+def _best_in_tile(queries: pa.Table, index: pa.Table) -> pa.Table:
+    """Best index row of each query among those of its cell; the smallest key wins a tie."""
+    index = index.sort_by([("cell", "ascending"), ("item_key", "ascending")])
+    queries = queries.sort_by("cell")
+    items, wanted = _matrix(index["item_vec"], index.num_rows), _matrix(queries["query_vec"], queries.num_rows)
+    both = pa.chunked_array([*index["cell"].chunks, *queries["cell"].chunks], index["cell"].type)
+    codes = both.combine_chunks().dictionary_encode().indices.to_numpy()
+    ours, theirs = codes[index.num_rows :], codes[: index.num_rows]
+    # Both sides are sorted by cell, so a cell is one range on either side.
+    starts = {int(c): k for c, k in zip(*np.unique(theirs, return_index=True))}
+    sizes = dict(zip(*(x.tolist() for x in np.unique(theirs, return_counts=True))))
+    rows, found, cosines, tops = [], [], [], []
+    for cell, at, n in zip(*(x.tolist() for x in np.unique(ours, return_index=True, return_counts=True))):
+        if cell in starts:
+            best, cos, top = _best_in_cell(wanted[at : at + n], items[starts[cell] : starts[cell] + sizes[cell]])
+            rows.append(np.arange(at, at + n))
+            found.append(best + starts[cell])
+            cosines.append(cos)
+            tops.append(top)
+    rows, found = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, found))
     return pa.table(
         {
-            "query_key": queries["query_key"],
-            "item_key": index["item_key"].take(pa.array(best)),
-            "cos": pa.array(cos),
+            "query_key": queries["query_key"].take(pa.array(rows)),
+            "item_key": index["item_key"].take(pa.array(found)),
+            "cos": pa.array(np.concatenate(cosines) if cosines else np.zeros(0)),
+            "top": pa.array(np.concatenate(tops) if tops else np.zeros(0)),
         }
     )
 
@@ -81,76 +101,69 @@ def _large_cells(rows: DataFrame, limit: int, name: str) -> DataFrame:
     )
 
 
-def _cell_parts(queries: DataFrame, index: DataFrame, index_rows: int, query_rows: int) -> DataFrame | None:
-    """Parts per side of each cell that needs more than one tile; None when no cell does.
-
-    There are at most as many such cells as full tiles. Up to ``MAX_LARGE_CELLS`` of them are
-    broadcast; more are joined like any other table.
-    """
-    large = _large_cells(index, index_rows, "index_parts").join(
-        _large_cells(queries, query_rows, "query_parts"), "cell", "full_outer"
-    )
-    rows = large.limit(MAX_LARGE_CELLS + 1).collect()
-    if not rows:
-        return None
-    if len(rows) > MAX_LARGE_CELLS:
-        return large
-    return F.broadcast(queries.sparkSession.createDataFrame(rows, large.schema))
-
-
 def best_in_cells(
     queries: DataFrame,
     index: DataFrame,
     index_rows: int = INDEX_ROWS,
     query_rows: int = QUERY_ROWS,
     one_cell: bool = False,
+    counted: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """``(query_key, item_key, cos)``: the index row of highest cosine among each query's cells.
+    """``(query_key, item_key, cos, top)``: the index row of highest cosine among each query's cells.
+
+    Of rows whose cosines are equal to six places the smallest key is taken; ``top`` is the highest of them all.
 
     ``queries`` has ``cell, query_key, query_vec`` (a query may be in several cells, unless ``one_cell``
-    says that none is), ``index`` has ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent. Rows per cell are
-    counted first, so ``cell`` should come from a stored table; vectors are not read for that.
+    says that none is), ``index`` has ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent.
+    Rows per cell are counted first, on ``counted`` if given: the cells of both sides, from stored tables.
     """
-    parts = _cell_parts(queries, index, index_rows, query_rows)
+    query_cells, index_cells = counted or (queries, index)
+    large = _large_cells(index_cells, index_rows, "index_parts").join(
+        _large_cells(query_cells, query_rows, "query_parts"), "cell", "full_outer"
+    )
+    # As many rows as full tiles at most; Spark decides how to join them.
+    parts = storage.materialize(large, label="large-cells")
+    # Cells of one tile share as many tiles as keep them small, and all tasks busy.
+    packs = max(queries.sparkSession.sparkContext.defaultParallelism, -(-index_cells.count() // max(index_rows // 4, 1)))
 
     def tiled(rows: DataFrame, own: str, key: str, other: str) -> DataFrame:
         """Each row in its own part, once for every part of the other side."""
-        if parts is None:
-            return rows.withColumns({"own": F.lit(0), "other": F.lit(0)})
+        is_large = F.col("index_parts").isNotNull() | F.col("query_parts").isNotNull()
         mine, others = F.coalesce(own, F.lit(1)), F.coalesce(other, F.lit(1))
         return (
             rows.join(parts, "cell", "left")
+            .withColumn("alone", F.when(is_large, F.col("cell")))
+            .withColumn("pack", F.when(is_large, -1).otherwise(F.pmod(F.xxhash64("cell"), F.lit(packs))).cast("int"))
             .withColumn("own", F.pmod(F.xxhash64(key), mine).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
         )
 
     left = tiled(queries, "query_parts", "query_key", "index_parts").select(
-        "cell", F.col("own").alias("qp"), F.col("other").alias("ip"), "query_key", "query_vec"
+        "alone", "pack", F.col("own").alias("qp"), F.col("other").alias("ip"), "cell", "query_key", "query_vec"
     )
     right = tiled(index, "index_parts", "item_key", "query_parts").select(
-        "cell", F.col("other").alias("qp"), F.col("own").alias("ip"), "item_key", "item_vec"
+        "alone", "pack", F.col("other").alias("qp"), F.col("own").alias("ip"), "cell", "item_key", "item_vec"
     )
     key_type = lambda df, c: df.schema[c].dataType.simpleString()
-    schema = f"query_key {key_type(queries, 'query_key')}, item_key {key_type(index, 'item_key')}, cos double"
-    tiles = ["cell", "qp", "ip"]
+    schema = f"query_key {key_type(queries, 'query_key')}, item_key {key_type(index, 'item_key')}, cos double, top double"
+    tiles = ["alone", "pack", "qp", "ip"]
     found = left.groupBy(*tiles).cogroup(right.groupBy(*tiles)).applyInArrow(_best_in_tile, schema)
-    if one_cell and parts is None:
+    if one_cell and parts.isEmpty():
         return found  # each query was in a single tile
-    return (
-        found.groupBy("query_key")
-        .agg(F.min(F.struct((-F.round("cos", _PLACES)).alias("order"), "item_key", "cos")).alias("best"))
-        .select("query_key", "best.item_key", "best.cos")
-    )
+    return _best_of(found)
 
 
-def _choose_pivots(index: DataFrame, cell_rows: int) -> np.ndarray:
-    """A repeatable choice of at most ``MAX_PIVOTS`` index vectors, as unit rows.
+def _best_of(found: DataFrame) -> DataFrame:
+    """The best row of each query; the smallest key wins a tie."""
+    order = F.struct((-F.round("cos", _PLACES)).alias("order"), "item_key", "cos")
+    best = found.groupBy("query_key").agg(F.min(order).alias("best"), F.max("top").alias("top"))
+    return best.select("query_key", "best.item_key", "best.cos", "top")
 
-    One pivot per ``cell_rows`` index rows: even if no cell can be skipped, a query then meets no more
-    tiles than it would without cells. None for an index that fits one cell, where nothing can be skipped.
-    """
-    wanted = min(MAX_PIVOTS, math.ceil(index.count() / cell_rows))
-    if wanted <= 1:
+
+def _choose_pivots(index: DataFrame, cell_rows: int, max_pivots: int) -> np.ndarray:
+    """A repeatable choice of at most ``max_pivots`` index vectors, as unit rows: one per ``cell_rows`` index rows."""
+    wanted = min(max_pivots, math.ceil(index.count() / cell_rows))
+    if not wanted:
         return np.zeros((0, 0))
     # item_key breaks hash ties; TakeOrdered keeps `wanted` rows per task, not the index.
     rows = index.orderBy(F.xxhash64("item_key"), "item_key").limit(wanted).select("item_vec").collect()
@@ -159,14 +172,14 @@ def _choose_pivots(index: DataFrame, cell_rows: int) -> np.ndarray:
     return pivots / np.where(norms > 0, norms, 1.0)
 
 
-def _assign_cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Index rows with the number of their nearest pivot and the angle to it."""
-    schema = T.StructType([*index.schema.fields, _CELL, T.StructField("angle", T.DoubleType())])
+def _assign_cells(rows: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame:
+    """``rows`` with the number of their nearest pivot and the angle to it."""
+    schema = T.StructType([*rows.schema.fields, _CELL, T.StructField("angle", T.DoubleType())])
 
     def assign(batches):
         for batch in batches:
-            rows = _matrix(pa.chunked_array([batch.column("item_vec")]), batch.num_rows)
-            near = np.clip(rows @ pivots.T, -1.0, 1.0)
+            unit = _matrix(pa.chunked_array([batch.column(vector)]), batch.num_rows)
+            near = np.clip(unit @ pivots.T, -1.0, 1.0)
             cell = near.argmax(axis=1)
             angle = np.arccos(near[np.arange(len(cell)), cell])
             yield pa.RecordBatch.from_arrays(
@@ -174,43 +187,54 @@ def _assign_cells(index: DataFrame, pivots: np.ndarray) -> DataFrame:
                 names=[*batch.schema.names, "cell", "angle"],
             )
 
-    return index.mapInArrow(assign, schema)
+    return rows.mapInArrow(assign, schema)
 
 
-def _reachable_cells(
-    queries: DataFrame, pivots: np.ndarray, cells: list[int], low: np.ndarray, high: np.ndarray, radius: float
-) -> DataFrame:
-    """``(query_key, cell)``: each query once per cell that may hold an index row within ``radius`` of it.
+def _reachable_cells(queries: DataFrame, pivots: np.ndarray, cells: list[int], low: np.ndarray, high: np.ndarray) -> DataFrame:
+    """``(query_key, cell)``: each query once per cell, other than its own, that may hold an index row of cosine ``floor`` or more.
 
-    ``radius`` is below a right angle. A cell is skipped only when geometry rules it out: by the triangle inequality on angles to its
-    pivot, or because the query is further than ``radius`` beyond the plane halfway to its own pivot.
+    ``queries`` has query_key, query_vec, cell and floor. A cell is skipped only when geometry rules it out: by the
+    triangle inequality on angles to its pivot, or because the query is further beyond the plane halfway to its own
+    pivot than such a row can be. The second test holds for radii below a right angle.
     """
     schema = T.StructType([queries.schema["query_key"], _CELL])
     numbers = np.asarray(cells, dtype=np.int32)
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots[numbers].T)))
-    # Wider than the rounding of a score that just reaches the threshold.
-    slack = 1e-5
+    slack = 1e-7  # rounding of the angles themselves; that of scores is in the floor
 
-    def keep(near: np.ndarray) -> np.ndarray:
+    def keep(near: np.ndarray, own: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        radius = np.arccos(np.clip(floor, -1.0, 1.0))[:, None]
         angle = np.arccos(near[:, numbers])
-        own = near.argmax(axis=1)
         ahead = near[np.arange(len(own)), own][:, None] - near[:, numbers]
-        return (
-            (angle - radius <= high + slack)
-            & (angle + radius >= low - slack)
-            & (ahead <= math.sin(radius) * gaps[own] + slack)
-        )
+        behind = (ahead <= np.sin(radius) * gaps[own] + slack) | (radius >= math.pi / 2)
+        return (angle - radius <= high + slack) & (angle + radius >= low - slack) & behind & (numbers[None, :] != own[:, None])
 
     def reach(batches):
         for whole in batches:
             for start in range(0, whole.num_rows, _STRIDE):
                 batch = whole.slice(start, _STRIDE)
                 rows = _matrix(pa.chunked_array([batch.column("query_vec")]), batch.num_rows)
-                row, col = np.nonzero(keep(np.clip(rows @ pivots.T, -1.0, 1.0)))
+                own, floor = np.asarray(batch.column("cell")).astype(np.int64), np.asarray(batch.column("floor"))
+                row, col = np.nonzero(keep(np.clip(rows @ pivots.T, -1.0, 1.0), own, floor))
                 keys = batch.column("query_key").take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(numbers[col])], names=["query_key", "cell"])
 
-    return queries.mapInArrow(reach, schema)
+    return queries.select("query_key", "query_vec", "cell", "floor").mapInArrow(reach, schema)
+
+
+def cells_to_visit(own: DataFrame, found: DataFrame, assigned: DataFrame, pivots: np.ndarray, least: float) -> DataFrame:
+    """The cells, beyond its own, that each query has to visit, stored.
+
+    A row there must reach the best of the query's own cell and the cosine ``least``; both are lowered by what
+    rounding can hide.
+    """
+    # At most as many rows as there are pivots.
+    extent = assigned.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).orderBy("cell").collect()
+    floor = F.greatest(F.coalesce("top", F.lit(-1.0)), F.lit(least)) - _ROUNDING
+    wanted = own.join(found.select("query_key", "top"), "query_key", "left").withColumn("floor", floor)
+    # Only keys are stored: a query may be in many cells, its vector is stored once.
+    low, high = (np.asarray([r[k] for r in extent]) for k in ("low", "high"))
+    return storage.materialize(_reachable_cells(wanted, pivots, [r.cell for r in extent], low, high), label="query-cells")
 
 
 def nearest(
@@ -219,43 +243,31 @@ def nearest(
     threshold: float | None = None,
     score: str = "relevance",
     cell_rows: int = INDEX_ROWS,
+    max_pivots: int = MAX_PIVOTS,
 ) -> DataFrame:
     """``(query_key, item_key, cos, score)``: each query's nearest index row, smallest key on a tie.
 
     ``queries`` has ``query_key, query_vec``, ``index`` has ``item_key, item_vec``. ``score`` is
     ``relevance`` (1 - sqrt(2) (1 - cos)) or ``cosine``. With a ``threshold`` only neighbours of at
-    least that score are returned and index cells out of its reach are never visited; without one
-    every query meets the whole index, tile by tile. Both are exact.
+    least that score, rounded to six places, are returned; the highest cosine decides that, before a tie goes to a
+    smaller key. The result is exact whatever ``cell_rows`` and
+    ``max_pivots`` are; they set how many cells there are, at most ``max_pivots``, and so how many can be passed over.
 
     Both inputs are read more than once: pass stored tables, not fresh model output.
     """
     to_score = relevance if score == "relevance" else (lambda c: c)
-    floor = -1.0 if threshold is None else cosine_for_relevance(threshold) if score == "relevance" else threshold
-    # At a right angle or beyond, hardly any cell could be skipped.
-    pivots = _choose_pivots(index, cell_rows) if floor > 0 else []
-    if len(pivots) == 0:
-        found = best_in_cells(
-            queries.withColumn("cell", F.lit(0)), index.withColumn("cell", F.lit(0)), one_cell=True
-        )
-        scored = found.withColumn("score", to_score(F.col("cos")))
-        return scored if threshold is None else scored.where(F.round("score", _PLACES) >= threshold)
-
-    radius = math.acos(min(1.0, floor))
-    assigned = storage.materialize(_assign_cells(index.select("item_key", "item_vec"), pivots), label="index-cells")
-    # At most MAX_PIVOTS rows.
-    extent = assigned.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).collect()
-    extent.sort(key=lambda r: r.cell)
-    # Only keys are stored here: a query may be in many cells, its vector is stored once.
-    cells = storage.materialize(
-        _reachable_cells(
-            queries.select("query_key", "query_vec"),
-            pivots,
-            [r.cell for r in extent],
-            np.asarray([r.low for r in extent]),
-            np.asarray([r.high for r in extent]),
-            radius,
-        ),
-        label="query-cells",
-    )
-    found = best_in_cells(cells.join(queries, "query_key"), assigned.drop("angle"))
-    return found.withColumn("score", to_score(F.col("cos"))).where(F.round("score", _PLACES) >= threshold)
+    least = -1.0 if threshold is None else cosine_for_relevance(threshold) if score == "relevance" else threshold
+    pivots = _choose_pivots(index, cell_rows, max_pivots)
+    if not len(pivots):
+        empty = f"query_key {queries.schema['query_key'].dataType.simpleString()}, item_key {index.schema['item_key'].dataType.simpleString()}, cos double, score double"
+        return queries.sparkSession.createDataFrame([], empty)
+    assigned = storage.materialize(_assign_cells(index.select("item_key", "item_vec"), "item_vec", pivots), label="index-cells")
+    own = storage.materialize(_assign_cells(queries.select("query_key", "query_vec"), "query_vec", pivots).drop("angle"), label="own-cells")
+    rows = assigned.drop("angle")
+    found = storage.materialize(best_in_cells(own, rows, one_cell=True), label="own-best")
+    visits = cells_to_visit(own, found, assigned, pivots, least)
+    beyond = best_in_cells(visits.join(queries, "query_key"), rows, counted=(visits, rows))
+    best = _best_of(found.unionByName(beyond)).withColumn("score", to_score(F.col("cos")))
+    if threshold is not None:
+        best = best.where(F.round(to_score(F.col("top")), _PLACES) >= threshold)
+    return best.drop("top")

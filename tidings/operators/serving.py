@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -19,9 +19,13 @@ def _says_something(name: str, excluded: list[str]):
     return text.isNotNull() & ~text.isin("", *excluded)
 
 
+def is_served() -> Column:
+    """A real news class other than noise, and a real sentiment."""
+    return _says_something("news_clas", _CLASS_EXCLUDED) & _says_something("doc_sentiment", _MISSING)
+
+
 def serving_filter(target: DataFrame) -> DataFrame:
-    """Rows with a real news class other than noise and a real sentiment."""
-    return target.where(_says_something("news_clas", _CLASS_EXCLUDED) & _says_something("doc_sentiment", _MISSING))
+    return target.where(is_served())
 
 
 def serving_rows(target: DataFrame) -> DataFrame:
@@ -29,16 +33,27 @@ def serving_rows(target: DataFrame) -> DataFrame:
     return all_text(align(serving_filter(target), TARGET_SCHEMA), TARGET_COLUMNS)
 
 
-def export_serving(target: DataFrame, path: str, days: list[str | None] | None = None) -> None:
-    """Replace the serving copy, or only the day partitions ``days`` of it.
+def of_days(target: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of the target whose day is in ``days``, a stored table of the partition column; null is a day like others.
+
+    The days are joined, not gathered: when they are few, Spark reads only their partitions.
+    """
+    named = target.join(days.where(F.col(PARTITION_COLUMN).isNotNull()), PARTITION_COLUMN, "left_semi")
+    if days.where(F.col(PARTITION_COLUMN).isNull()).isEmpty():
+        return named
+    return named.unionByName(target.where(F.col(PARTITION_COLUMN).isNull()))
+
+
+def export_serving(target: DataFrame, path: str, days: DataFrame | None = None, counts: Observation | None = None) -> None:
+    """Replace the serving copy, or only the day partitions in ``days`` (a stored table) of it.
 
     Rows are sorted by customer and article inside each file, so that lookups by either skip row
-    groups; this takes the place of indexes.
+    groups; this takes the place of indexes. ``counts`` gets the rows ``considered`` and ``served``.
     """
     if days is not None:
-        day = F.col(PARTITION_COLUMN)
-        named = day.isin([d for d in days if d is not None])
-        target = target.where(named | day.isNull() if None in days else named)
+        target = of_days(target, days)
+    if counts is not None:
+        target = target.observe(counts, F.count("*").alias("considered"), F.count_if(is_served()).alias("served"))
     mode = "static" if days is None else "dynamic"
     (
         serving_rows(target)

@@ -2,7 +2,8 @@
 
 Every stage is a table below the run's own folder. A stage whose write was committed is read back, so
 a run that failed is resumed by calling it again with the same ``run_dt``: model calls are not repeated.
-The cursor is saved after the append, and the append skips rows that are already in the target.
+The cursor is saved after the append, and the append skips rows that are already in the target. Publishing goes by the
+largest published id, which is saved last, so that what a failed run left out is made up by the next one.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.vectors import BIGRAM_ENCODER_ID, bigram_encoder
-from ..operators import homonyms, matching, quality
+from ..operators import homonyms, matching
 from ..operators.align import keep_present, to_target
 from ..operators.dedup import keep_first
 from ..operators.inference import DEFAULT_TEMPLATE, embed, extract_articles
@@ -30,9 +31,17 @@ from ..operators.master import (
 )
 from ..operators.retention import RETENTION_DAYS, remove_expired
 from ..operators.serving import export_serving
-from ..operators.state import load_cursor, load_last_id, next_cursor, save_cursor
-from ..schema import NAME_VECTOR_SCHEMA, PARTITION_COLUMN, TARGET_SCHEMA
+from ..operators.state import (
+    load_cursor,
+    load_last_id,
+    load_published_id,
+    next_cursor,
+    save_cursor,
+    save_published_id,
+)
+from ..schema import ID_COLUMN, NAME_VECTOR_SCHEMA, PARTITION_COLUMN, TARGET_SCHEMA
 from ..sources.company import load_companies
+from ..sources.files import is_delimited
 from ..sources.news import load_new_articles
 
 # Article columns carried to the target.
@@ -66,7 +75,9 @@ class Layout:
 class Models:
     """The model calls of a run, and what goes with them.
 
-    ``concurrency`` calls run at once in each of ``tasks`` tasks (as many as the input has, unless given).
+    At most ``concurrency`` calls run at once, spread over ``tasks`` tasks (the session's parallelism unless given);
+    texts are embedded in as many tasks. ``window_chars`` is how many characters of a text the encoder reads at once,
+    if it can't read all.
     """
 
     complete: Callable[[str], str]
@@ -75,11 +86,22 @@ class Models:
     template: str = DEFAULT_TEMPLATE
     concurrency: int = 50
     tasks: int | None = None
+    window_chars: int | None = None
+
+    def embed(self, df: DataFrame, text: str) -> DataFrame:
+        return embed(df, text, self.encode, self.encoder_id, tasks=self.tasks, window_chars=self.window_chars)
 
 
 @dataclass
 class Summary:
+    """Counts of a run. ``bad_records`` and ``late`` are None unless this try has read a delimited feed."""
+
     loaded: int = 0
+    bad_records: int | None = None
+    late: int | None = None
+    refreshed: bool | None = None
+    considered: int = 0
+    served: int = 0
     extracted: int = 0
     mapped: int = 0
     appended: int = 0
@@ -94,6 +116,10 @@ def _stage(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> Da
     return storage.materialize(build(), path)
 
 
+_INPUT_SCHEMA = "path string, length bigint, modified bigint"
+_SETTING_SCHEMA = "name string, value string"
+
+
 def prepare_master(feed: DataFrame) -> DataFrame:
     return with_clean_name(company_columns(latest_per_customer(feed)))
 
@@ -111,19 +137,16 @@ def match_mentions(
     models: Models,
     threshold: float,
     stage: Callable[[str, Callable[[], DataFrame]], DataFrame],
-    content_chars: int | None = 500,
 ) -> DataFrame:
     """One row per article and target name with its company, method and scores: the match audit.
 
     ``stage`` stores an intermediate table; model output always goes through it.
     """
-    directory = name_directory(master)
+    directory = stage("directory", lambda: name_directory(master))
     mentions = stage("mentions", lambda: essential_mentions(extracted))
     searched = stage(
         "mention_vectors",
-        lambda: embed(
-            matching.unmatched_names(mentions, directory), "clean_target_company", models.encode, models.encoder_id
-        ),
+        lambda: models.embed(matching.unmatched_names(mentions, directory), "clean_target_company"),
     )
     hits = matching.vector_match(searched, name_vectors, directory, models.encoder_id, threshold)
     named = stage("named", lambda: matching.cascade(mentions, directory, hits))
@@ -131,9 +154,7 @@ def match_mentions(
     # Contexts only of articles and companies that a shared name brings into question.
     unclear = homonyms.ambiguous(named)
     articles = keep_first(
-        homonyms.article_contexts(
-            extracted.join(unclear.select("seq").distinct(), "seq", "left_semi"), content_chars
-        ),
+        homonyms.article_contexts(extracted.join(unclear.select("seq").distinct(), "seq", "left_semi")),
         ["seq"],
         ["context_key"],
     )
@@ -144,9 +165,7 @@ def match_mentions(
     )
     vectors = stage(
         "context_vectors",
-        lambda: embed(
-            homonyms.distinct_contexts(articles, companies), "context", models.encode, models.encoder_id
-        ).select("context_key", "embedding"),
+        lambda: models.embed(homonyms.distinct_contexts(articles, companies), "context").select("context_key", "embedding"),
     )
     return homonyms.resolve_homonyms(named, articles, companies, master.select("cust_no", "cust_nm"), vectors)
 
@@ -170,48 +189,74 @@ class _Run:
     models: Models
     folder: str
     threshold: float
-    content_chars: int | None
     dry_run: bool
 
     def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         return _stage(self.spark, f"{self.folder}/{name}", build)
 
-    def name_vectors(self, master: DataFrame) -> DataFrame:
+    def counted_stage(self, name: str, build: Callable[[], DataFrame], **counts) -> tuple[DataFrame, dict[str, int]]:
+        """A stage and aggregates of its rows, observed as they are written, or read from the stage of an earlier try."""
+        path = f"{self.folder}/{name}"
+        if storage.is_complete(self.spark, path):
+            stored = self.spark.read.parquet(path)
+            return stored, stored.agg(*(c.alias(n) for n, c in counts.items())).first().asDict()
+        seen = Observation()
+        stored = storage.materialize(build().observe(seen, *(c.alias(n) for n, c in counts.items())), path)
+        return stored, seen.get
+
+    def check_settings(self) -> None:
+        """Note what stages depend on; an earlier try of the day with other settings is not resumed."""
+        models = self.models
+        mine = {"threshold": self.threshold, "encoder_id": models.encoder_id, "template": models.template, "window_chars": models.window_chars}
+        rows = [(k, repr(v)) for k, v in mine.items()]
+        stored = self.stage("settings", lambda: self.spark.createDataFrame(rows, _SETTING_SCHEMA).coalesce(1)).collect()
+        other = [r.name for r in stored if (r.name, r.value) not in rows]
+        if other:
+            raise ValueError(f"the stages in {self.folder} were made with another {', '.join(sorted(other))}; use another run_dt")
+
+    def note_inputs(self, *paths: str | None) -> DataFrame:
+        """Length and time of the input files as they are before they are read; kept from the first try on."""
+        states = [(p, *s) for p in paths if p and (s := storage.file_state(self.spark, p))]
+        return self.stage("inputs", lambda: self.spark.createDataFrame(states, _INPUT_SCHEMA).coalesce(1))
+
+    def name_vectors(self, master: DataFrame, summary: Summary) -> DataFrame:
         """Stored vectors, after embedding the names they lack; a dry run keeps new ones to itself."""
         read = lambda path: storage.read_or_empty(self.spark, path, NAME_VECTOR_SCHEMA)
         path = f"{self.folder}/name_vectors" if self.dry_run else self.layout.name_vectors
         stored = read(self.layout.name_vectors)
-        refresh_name_vectors(
+        summary.refreshed = refresh_name_vectors(
             master,
             stored,
             self.models.encode,
             self.models.encoder_id,
             lambda rows: rows.write.mode("append").parquet(path),
+            tasks=self.models.tasks,
         )
         return read(path).unionByName(stored) if self.dry_run else read(path)
 
     def extract_and_map(self, raw: DataFrame, load_master: Callable[[], DataFrame], summary: Summary) -> DataFrame:
         """New articles to target rows, with the counts entered in ``summary``."""
         models = self.models
-        extracted = self.stage(
+        extracted, counts = self.counted_stage(
             "extracted",
             lambda: extract_articles(
                 raw.drop("part_basc_dt"), models.complete, models.template, models.concurrency, models.tasks
             ),
+            n=F.count_if(F.size("company_names") > 0),
         )
-        summary.extracted = quality.extraction_rate(extracted).first().n_with_names
+        summary.extracted = counts["n"]
         master = self.stage("master", lambda: prepare_master(load_master()))
-        vectors = self.name_vectors(master)
+        vectors = self.name_vectors(master, summary)
         matches = self.stage(
             "matches",
-            lambda: match_mentions(extracted, master, vectors, models, self.threshold, self.stage, self.content_chars),
+            lambda: match_mentions(extracted, master, vectors, models, self.threshold, self.stage),
         )
-        mapped = self.stage("mapped", lambda: to_target(mapped_rows(extracted, matches, master)))
-        summary.mapped = mapped.count()
+        mapped, counts = self.counted_stage("mapped", lambda: to_target(mapped_rows(extracted, matches, master)), n=F.count("*"))
+        summary.mapped = counts["n"]
         return mapped
 
     def load(self, raw: DataFrame, mapped: DataFrame, last_seq: int) -> int:
-        """Append, then move the cursor, then publish the touched days; returns the rows appended."""
+        """Append, then move the cursor; returns the rows appended."""
         spark, layout = self.spark, self.layout
         appended, last_id = append_with_ids(
             spark,
@@ -223,14 +268,29 @@ class _Run:
         cursor = next_cursor(raw).first()
         if cursor.last_seq >= last_seq:  # repeating an older day does not move the cursor back
             save_cursor(spark, layout.state, cursor.last_seq, cursor.last_part_basc_dt or "None", last_id)
-        if storage.exists(spark, layout.target):
-            # As many days as the feed's window has, plus stragglers.
-            days = [r[0] for r in mapped.select(PARTITION_COLUMN).distinct().collect()]
-            first = not storage.exists(spark, layout.serving)
-            target = storage.read_or_empty(spark, layout.target, TARGET_SCHEMA)
-            export_serving(target, layout.serving, None if first else days)
         return appended
 
+    def publish(self, summary: Summary) -> None:
+        """Rewrite the serving copy of every day that has rows beyond the largest published id, then save that id.
+
+        Days of this run and days that an earlier run failed to publish are alike.
+        """
+        spark, layout = self.spark, self.layout
+        if not storage.exists(spark, layout.target):
+            return
+        target = storage.read_or_empty(spark, layout.target, TARGET_SCHEMA)
+        published = load_published_id(spark, layout.state)
+        beyond = target.where(F.col(ID_COLUMN) > published)  # statistics leave out older files
+        last_id = beyond.agg(F.max(ID_COLUMN)).first()[0]
+        if last_id is None:
+            return
+        first = not storage.exists(spark, layout.serving)
+        days = None if first else storage.materialize(beyond.select(PARTITION_COLUMN).distinct(), label="days")
+        seen = Observation()
+        export_serving(target, layout.serving, days, seen)
+        summary.considered, summary.served = seen.get["considered"], seen.get["served"]
+        save_published_id(spark, layout.state, last_id)
+
 
 def run_daily(
     spark: SparkSession,
@@ -245,12 +305,12 @@ def run_daily(
     dry_run: bool = False,
     remove_input: bool = True,
     retention_days: int | None = RETENTION_DAYS,
-    content_chars: int | None = 500,
     load_news: Callable[[int, str], DataFrame] | None = None,
 ) -> Summary:
     """Run, or resume, the batch of day ``run_dt``.
 
-    New articles come from ``news_path``, or from ``load_news`` called with the cursor.
+    New articles come from ``news_path``, or from ``load_news`` called with the cursor. Input files are removed at the
+    end only if they are as they were when they were read.
 
     A dry run returns a preview of what would be loaded. Its stages go to the scratch folder, and it
     changes neither target, cursor, vectors nor inputs.
@@ -258,16 +318,23 @@ def run_daily(
     started = time.monotonic()
     summary = Summary()
     folder = storage.scratch_path(spark, "dry-run") if dry_run else f"{layout.runs}/{run_dt}"
-    run = _Run(spark, layout, models, folder, threshold, content_chars, dry_run)
+    run = _Run(spark, layout, models, folder, threshold, dry_run)
     if retention_days is not None and not dry_run:
         remove_expired(spark, layout.runs, run_dt, retention_days)
 
     with storage.scratch_below(f"{folder}/scratch"):
         last_seq, last_day = load_cursor(spark, layout.state)
+        run.check_settings()
+        inputs = run.note_inputs(news_path, company_path)
+        # Bad records and late articles have to be read to be counted, as a delimited feed is in any case.
+        counted = load_news is None and is_delimited(spark, news_path) and not storage.is_complete(spark, f"{folder}/raw")
+        records, articles = (Observation(), Observation()) if counted else (None, None)
         if load_news is None:
-            load_news = lambda seq, day: load_new_articles(spark, news_path, seq, day, news_columns)
-        raw = run.stage("raw", lambda: load_news(last_seq, last_day))
-        summary.loaded = raw.count()
+            load_news = lambda seq, day: load_new_articles(spark, news_path, seq, day, news_columns, records, articles)
+        raw, counts = run.counted_stage("raw", lambda: load_news(last_seq, last_day), n=F.count("*"))
+        summary.loaded = counts["n"]
+        if counted:
+            summary.bad_records, summary.late = records.get["bad_records"], articles.get["late"]
         if summary.loaded:
             mapped = run.extract_and_map(
                 raw, lambda: load_companies(spark, company_path, company_feed_columns), summary
@@ -279,16 +346,25 @@ def run_daily(
         else:
             # Nothing to resume: a later try of this day reads its input again.
             storage.delete(spark, f"{folder}/raw", recursive=True)
-    if remove_input and not dry_run:
-        remove_delimited_inputs(spark, news_path, company_path)
+        if not dry_run:
+            run.publish(summary)
+            if remove_input:
+                remove_delimited_inputs(spark, inputs)
+        if not summary.loaded:
+            storage.delete(spark, f"{folder}/inputs", recursive=True)
     summary.seconds = time.monotonic() - started
     return summary
 
 
-def remove_delimited_inputs(spark: SparkSession, *paths: str | None) -> list[str]:
-    """Delete processed ``.csv`` files; parquet files and folders are left alone."""
+def remove_delimited_inputs(spark: SparkSession, inputs: DataFrame) -> list[str]:
+    """Delete processed ``.csv`` files that are as ``inputs`` has them; parquet files and folders are left alone.
+
+    A file that came, or was written anew, after the run had read its input stays.
+    """
     return [
-        p
-        for p in paths
-        if p and p.lower().endswith(".csv") and not storage.is_folder(spark, p) and storage.delete(spark, p)
+        r.path
+        for r in inputs.collect()  # two files
+        if r.path.lower().endswith(".csv")
+        and storage.file_state(spark, r.path) == (r.length, r.modified)
+        and storage.delete(spark, r.path)
     ]

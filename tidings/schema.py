@@ -11,7 +11,6 @@ COMPANY_CLASS_SOURCE = "sglr_ases_modl_clas_cd_nm"
 ASSESSED_ON = "lst_ases_dt"
 ID_COLUMN = "news_mppg_id"
 PARTITION_COLUMN = "basc_dt"
-NEWS_CLASSES = ["FINANCE", "BUSINESS", "MANAGEMENT", "INDUSTRY", "RISK", "NOISE"]
 
 # Article / match column -> target column.
 TARGET_RENAMES = {
@@ -34,9 +33,7 @@ NEWS_SCHEMA = T.StructType(
     [T.StructField("seq", T.LongType()), *_strings(*NEWS_COLUMNS[1:])]
 )
 
-COMPANY_SCHEMA = T.StructType(_strings(*COMPANY_COLUMNS))
-
-# Partition column last, so that positional inserts line up with the table.
+# The target's columns. Partition column last, so that positional inserts line up with the table.
 TARGET_SCHEMA = T.StructType(
     [
         T.StructField(ID_COLUMN, T.LongType()),
@@ -57,6 +54,7 @@ STATE_SCHEMA = T.StructType(
         T.StructField("last_seq", T.LongType()),
         T.StructField("last_part_basc_dt", T.StringType()),
         T.StructField("last_id", T.LongType()),
+        T.StructField("published_id", T.LongType()),
     ]
 )
 

@@ -7,19 +7,22 @@ file names its columns; every column is text.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import storage
 
 # Fixed values of the export format: the separator is four printable characters, not one control byte.
 FIELD_SEP = "\\x01"
 RECORD_SEP = "||"
+_FITS = "_fits"
 
-# The header of each file is one small row; up to this many are broadcast.
-MAX_BROADCAST_FILES = 100_000
+# Bytes of a file read at first to find its header; more only if the first record is longer.
+HEADER_BYTES = 1 << 16
 
 
 def _record_text(value: Column) -> Column:
@@ -32,51 +35,61 @@ def split_fields(value: Column, field_sep: str = FIELD_SEP) -> Column:
     return F.split(value, re.escape(field_sep), -1)
 
 
-def _records(spark: SparkSession, paths: str | list[str], record_sep: str) -> DataFrame:
-    return (
-        spark.read.option("lineSep", record_sep)
-        .text(paths)
-        .select(
-            _record_text(F.col("value")).alias("value"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-        )
-        .where(F.col("value") != "")
-    )
+def _records(reader, paths: str | list[str]) -> DataFrame:
+    return reader.text(paths).select(_record_text(F.col("value")).alias("value")).where(F.col("value") != "")
 
 
-def file_headers(records: DataFrame) -> DataFrame:
-    """One row per file: its first record. Only one record per file leaves the map side."""
-    return (
-        records.where(F.col("block_start") == 0)
-        .withColumn("pos", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "pos").alias("header"))
-    )
+def file_header(spark: SparkSession, path: str, record_sep: str = RECORD_SEP) -> str | None:
+    """The first non-empty record of a file, from its first bytes; None for a file without records."""
+    size = HEADER_BYTES
+    while True:
+        raw = storage.first_bytes(spark, path, size)
+        *whole, rest = raw.split(record_sep.encode())
+        if len(raw) < size:  # the file ends here, and so does its last record
+            whole.append(rest)
+        for record in whole:
+            text = record.decode("utf-8", "replace").replace("\r\n", "\n").replace("\r", "\n").rstrip("\n")
+            if text:
+                return text
+        if len(raw) < size:
+            return None
+        size *= 16
 
 
-def fields_to_columns(
-    records: DataFrame,
-    columns: list[str],
-    field_sep: str = FIELD_SEP,
-    observation: Observation | None = None,
-) -> DataFrame:
-    """Records of one known layout to columns.
+def file_layouts(spark: SparkSession, paths: str | list[str], record_sep: str = RECORD_SEP) -> dict[str, list[str]]:
+    """Header -> files that have it, in the order of the files; files without records are left out.
 
-    Header records are dropped by comparison; records with another number of fields are dropped and,
-    with an ``observation``, counted as ``bad_records``.
+    One small read per file, several at a time, as listing the files takes.
     """
-    body = records.where(F.col("value") != field_sep.join(columns)).select(
-        split_fields(F.col("value"), field_sep).alias("f")
+    named = [f for p in ([paths] if isinstance(paths, str) else paths) for f in storage.files_at(spark, p)]
+    with ThreadPoolExecutor(16) as pool:
+        headers = list(pool.map(lambda f: file_header(spark, f, record_sep), named))
+    out: dict[str, list[str]] = {}
+    for file, header in zip(named, headers):
+        if header is not None:
+            out.setdefault(header, []).append(file)
+    return out
+
+
+def fields_to_columns(records: DataFrame, header: str, columns: list[str], field_sep: str = FIELD_SEP) -> DataFrame:
+    """Records of files with one ``header`` to ``columns`` by name, and whether a record has as many fields as the header.
+
+    Header records are dropped by comparison; a column the header lacks is null.
+    """
+    names = header.split(field_sep)
+    body = records.where(F.col("value") != header).select(split_fields(F.col("value"), field_sep).alias("f"))
+    value = {n: F.get("f", F.lit(k)) for k, n in reversed(list(enumerate(names)))}
+    return body.select(
+        *[value.get(c, F.lit(None).cast("string")).alias(c) for c in columns], (F.size("f") == len(names)).alias(_FITS)
     )
-    fits = F.size("f") == len(columns)
+
+
+def counted_records(rows: DataFrame, observation: Observation | None, fits: Column | None = None) -> DataFrame:
+    """``rows`` that fit, with ``bad_records`` and ``good_records`` counted by the ``observation`` as they are read."""
+    fits = F.lit(True) if fits is None else fits
     if observation is not None:
-        body = body.observe(
-            observation,
-            F.count_if(~fits).alias("bad_records"),
-            F.count_if(fits).alias("good_records"),
-        )
-    return body.where(fits).select(*[F.col("f")[i].alias(c) for i, c in enumerate(columns)])
+        rows = rows.observe(observation, F.count_if(~fits).alias("bad_records"), F.count_if(fits).alias("good_records"))
+    return rows
 
 
 def read_delimited(
@@ -87,43 +100,23 @@ def read_delimited(
     record_sep: str = RECORD_SEP,
     observation: Observation | None = None,
 ) -> DataFrame:
-    """Scan delimited files.
+    """Scan delimited files, each byte once, after a look at the first bytes of each.
 
-    With ``columns`` (the feed's known layout) the files are read once. Without, a first pass finds
-    the header of every file; files of different layouts are united by column name.
+    Fields are mapped by the header of their own file, so files may differ in the order of their columns. Without
+    ``columns`` files of different layouts are united by column name. With ``columns`` (the feed's known layout) a
+    file that has other names is an error. Records with another number of fields than their header are dropped and,
+    with an ``observation``, counted as ``bad_records``.
     """
-    records = _records(spark, paths, record_sep)
+    layouts = file_layouts(spark, paths, record_sep)
     if columns is not None:
-        return fields_to_columns(records, columns, field_sep, observation)
-
-    headers = storage.materialize(file_headers(records), label="headers")
-    layouts = headers.groupBy("header").agg(F.count("*").alias("n_files"), F.min("file").alias("first")).collect()
+        for header, named in layouts.items():
+            if sorted(header.split(field_sep)) != sorted(columns):
+                raise ValueError(f"{named[0]} has the columns {header.split(field_sep)} instead of {columns}")
+    names = columns or list(dict.fromkeys(c for header in layouts for c in header.split(field_sep)))
     if not layouts:
-        return spark.createDataFrame([], StructType([]))
-    if len(layouts) == 1:
-        return fields_to_columns(records, layouts[0].header.split(field_sep), field_sep, observation)
-
-    # Columns in the order of the files that bring them.
-    layouts.sort(key=lambda r: r.first)
-    names = list(dict.fromkeys(c for r in layouts for c in r.header.split(field_sep)))
-    if sum(r.n_files for r in layouts) <= MAX_BROADCAST_FILES:
-        headers = F.broadcast(headers)
-    tagged = (
-        records.join(headers, "file")
-        .where(F.col("value") != F.col("header"))
-        .select(
-            split_fields(F.col("value"), field_sep).alias("f"),
-            split_fields(F.col("header"), field_sep).alias("h"),
-        )
-    )
-    fits = F.size("f") == F.size("h")
-    if observation is not None:
-        tagged = tagged.observe(
-            observation,
-            F.count_if(~fits).alias("bad_records"),
-            F.count_if(fits).alias("good_records"),
-        )
-    # array_position is 0 for a column the file lacks; get() then reads index -1, which is null.
-    return tagged.where(fits).select(
-        *[F.get("f", (F.array_position("h", c) - 1).cast("int")).alias(c) for c in names]
-    )
+        empty = StructType([StructField(c, StringType()) for c in names])
+        return counted_records(spark.createDataFrame([], empty), observation)
+    reader = lambda: spark.read.option("lineSep", record_sep)
+    parts = [fields_to_columns(_records(reader(), named), header, names, field_sep) for header, named in layouts.items()]
+    united = reduce(DataFrame.unionByName, parts)
+    return counted_records(united, observation, F.col(_FITS)).where(_FITS).drop(_FITS)

@@ -19,6 +19,13 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def is_delimited(spark: SparkSession, path: str) -> bool:
+    """Whether :func:`read_feed` reads delimited files there."""
+    if storage.is_folder(spark, path):
+        return storage.matches(spark, f"{path}/*.csv")
+    return path.lower().endswith(".csv") and storage.exists(spark, path)
+
+
 def read_feed(
     spark: SparkSession,
     path: str,
@@ -28,7 +35,8 @@ def read_feed(
     """A folder reads all its ``.csv`` files if it has any, else its ``.parquet`` files.
 
     A ``.csv`` file is in delimited-record form, any other file is parquet; a missing path has no
-    rows and no columns.
+    rows and no columns. An ``observation`` counts the records of delimited files only (see :func:`is_delimited`):
+    parquet has no bad ones, and counting would keep filters from its scan.
     """
     if storage.is_folder(spark, path):
         if storage.matches(spark, f"{path}/*.csv"):

@@ -60,8 +60,10 @@ def load_new_articles(
     last_part_basc_dt: str,
     columns: list[str] | None = None,
     observation: Observation | None = None,
+    late: Observation | None = None,
 ) -> DataFrame:
+    """New articles of a feed; ``observation`` counts its good and bad records, ``late`` the articles the cursor excludes."""
     feed = read_feed(spark, path, columns, observation)
     if not feed.columns:
-        return spark.createDataFrame([], NEWS_SCHEMA)
-    return new_articles(feed, last_seq, last_part_basc_dt)
+        feed = spark.createDataFrame([], NEWS_SCHEMA)
+    return new_articles(feed, last_seq, last_part_basc_dt, observation=late)

@@ -53,21 +53,47 @@ def delete(spark: SparkSession, path: str, recursive: bool = False) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: the session's ``spark.checkpoint.dir``.
+    """The folder all executors can reach: the session's ``spark.checkpoint.dir``, which has to be set.
 
-    A local session without that setting gets a temporary folder, which is set on it.
+    In a local session, where one machine does everything, a folder set with ``setCheckpointDir`` or else a
+    temporary one serves as well.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-"))
-        current = sc.getCheckpointDir()
-    return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """Length and modification time of a file; None for a folder and for what doesn't exist."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    status = fs.getFileStatus(p)
+    return None if status.isDirectory() else (status.getLen(), status.getModificationTime())
+
+
+def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
+    """At most the first ``n`` bytes of a file."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readNBytes(n))
+    finally:
+        stream.close()
+
+
+def files_at(spark: SparkSession, pattern: str) -> list[str]:
+    """The files that a path or glob names, or that stand in a folder it names, as Spark would read them."""
+    fs, p = _fs(spark, pattern)
+    out = []
+    for status in fs.globStatus(p) or []:
+        found = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        out += [s.getPath().toString() for s in found if not s.isDirectory() and s.getPath().getName()[0] not in "._"]
+    return sorted(out)
 
 
 _scratch: ContextVar[str | None] = ContextVar("scratch", default=None)

@@ -15,26 +15,27 @@ from pyspark.sql import functions as F
 from .. import storage
 from ..plans.daily import Layout, Models, Summary, run_daily
 from ..schema import NEWS_SCHEMA
-from ..sources.delimited import RECORD_SEP, _record_text, fields_to_columns
+from ..sources.delimited import RECORD_SEP, read_delimited
 from ..sources.news import new_articles
 
 
-def stream_delimited(
+def stream_files(
     spark: SparkSession,
     folder: str,
-    columns: list[str],
     max_files_per_trigger: int | None = None,
     clean_source: str = "off",
     archive: str | None = None,
 ) -> DataFrame:
-    """Delimited files of a known layout as a streaming DataFrame."""
+    """New delimited files as a streaming DataFrame of their paths.
+
+    The stream says which files are new; each batch reads them with :func:`read_delimited`, by their own headers.
+    """
     reader = spark.readStream.option("lineSep", RECORD_SEP).option("cleanSource", clean_source)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    records = reader.text(folder).select(_record_text(F.col("value")).alias("value"))
-    return fields_to_columns(records.where(F.col("value") != ""), columns)
+    return reader.text(folder).select(F.col("_metadata.file_path").alias("path"))
 
 
 def run_available(
@@ -64,14 +65,41 @@ def land_new_articles(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        new_articles(batch, *cursor).write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}")
+        # As many paths as a batch has files.
+        paths = sorted(batch.inputFiles()) or sorted(r.path for r in batch.distinct().collect())
+        rows = new_articles(read_delimited(spark, paths, columns), *cursor) if paths else spark.createDataFrame([], NEWS_SCHEMA)
+        rows.write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}")
 
-    run_available(
-        stream_delimited(spark, folder, columns, max_files_per_trigger, clean_source), checkpoint, land
-    )
+    run_available(stream_files(spark, folder, max_files_per_trigger, clean_source), checkpoint, land)
     return storage.read_or_empty(spark, landed, NEWS_SCHEMA)
 
 
+def prune_landed(spark: SparkSession, landed: str, cursor: tuple[int, str]) -> list[str]:
+    """Delete landed batches wholly behind the cursor; returns their names.
+
+    Rows per batch are counted from the file footers' statistics, as only the article number is read.
+    """
+    names = storage.folder_names(spark, landed)
+    if not names:
+        return []
+    rows = spark.read.schema(NEWS_SCHEMA).option("basePath", landed).parquet(landed)
+    ahead = {r.batch_id for r in new_articles_with_batch(rows, cursor).select("batch_id").distinct().collect()}
+    gone = [n for n in names if n.startswith("batch_id=") and int(n.split("=")[1]) not in ahead]
+    # The newest batch stays, so that the folder never looks as if nothing had landed yet.
+    newest = max(names, key=lambda n: int(n.split("=")[1]))
+    gone = [n for n in gone if n != newest]
+    for name in gone:
+        storage.delete(spark, f"{landed}/{name}", recursive=True)
+    return gone
+
+
+def new_articles_with_batch(rows: DataFrame, cursor: tuple[int, str]) -> DataFrame:
+    """Landed rows ahead of the cursor, with the number of their batch."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/batch_id=(\d+)/", 1).cast("bigint")
+    reached = (F.col("part_basc_dt") >= F.lit(cursor[1])) | F.col("part_basc_dt").isNull()
+    return rows.select("seq", "part_basc_dt", folder.alias("batch_id")).where((F.col("seq") > F.lit(cursor[0])) & reached)
+
+
 def run_daily_stream(
     spark: SparkSession,
     layout: Layout,
@@ -87,10 +115,12 @@ def run_daily_stream(
     """:func:`run_daily` with the files of ``folder`` taken as a stream.
 
     Files are landed once. What is landed but not yet behind the cursor is processed, so a run that
-    failed after landing is made good by the next one.
+    failed after landing is made good by the next one. Batches wholly behind the cursor are removed first.
     """
 
     def load(last_seq: int, last_day: str) -> DataFrame:
+        if not settings.get("dry_run"):
+            prune_landed(spark, layout.landed, (last_seq, last_day))
         landed = land_new_articles(
             spark, folder, columns, layout.landed, layout.stream, (last_seq, last_day), max_files_per_trigger, clean_source
         )
