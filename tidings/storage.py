@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -61,7 +62,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidings-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
