@@ -264,10 +264,13 @@ def nearest(
     assigned = storage.materialize(_assign_cells(index.select("item_key", "item_vec"), "item_vec", pivots), label="index-cells")
     own = storage.materialize(_assign_cells(queries.select("query_key", "query_vec"), "query_vec", pivots).drop("angle"), label="own-cells")
     rows = assigned.drop("angle")
-    found = storage.materialize(best_in_cells(own, rows, one_cell=True), label="own-best")
-    visits = cells_to_visit(own, found, assigned, pivots, least)
-    beyond = best_in_cells(visits.join(queries, "query_key"), rows, counted=(visits, rows))
-    best = _best_of(found.unionByName(beyond)).withColumn("score", to_score(F.col("cos")))
+    best = best_in_cells(own, rows, one_cell=True)
+    if len(pivots) > 1:  # there are other cells
+        found = storage.materialize(best, label="own-best")
+        visits = cells_to_visit(own, found, assigned, pivots, least)
+        beyond = best_in_cells(visits.join(queries, "query_key"), rows, counted=(visits, rows))
+        best = _best_of(found.unionByName(beyond))
+    best = best.withColumn("score", to_score(F.col("cos")))
     if threshold is not None:
         best = best.where(F.round(to_score(F.col("top")), _PLACES) >= threshold)
     return best.drop("top")
