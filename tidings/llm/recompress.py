@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..storage import materialize
-from .batches import bytes_and_offsets, join_words, ranges, slices, split_words
+from .batches import bytes_and_offsets, join_words, slices, split_words
 
 ROUNDS = 2
 #: Words that the rounds reach from the end of a window, and the longest symbol after them.
@@ -199,12 +199,15 @@ def shared_places(rows: DataFrame, window: int) -> DataFrame:
     a smaller id has.
 
     ``rows`` has id (not null), h and text. Keys are combined to their smallest and largest text before they are joined
-    back, so an anchor that many texts share is one row there.
+    back, so an anchor that many texts share is one row there. The shared keys are written, as Spark splits a hot key of a
+    join between shuffled tables, but not of one with an aggregate right below.
     """
     found = rows.select("id", "h", "text").mapInArrow(_anchor_rows(window), "key long, id long, h long, at int")
     shared = found.groupBy("key").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo < hi").select("key")
+    shared = materialize(shared, label="shared-anchors")
     texts = rows.select("id", "h", F.md5(F.col("text").cast("binary")).alias("m"))
     first = texts.groupBy("m").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    first = materialize(first, label="first-copies")
     copies = texts.join(first, "m").where("lo < id").select("id", F.lit(None).cast("int").alias("at"), "h")
     places = found.select("key", "id", "at").join(shared, "key").select("id", "at", F.lit(None).cast("long").alias("h"))
     return places.union(copies).groupBy("id").agg(F.collect_set("at").alias("places"), F.collect_set("h").alias("copies"))
