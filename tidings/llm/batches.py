@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def bytes_and_offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -53,7 +53,7 @@ def fingerprints(texts: pa.Array, width: int = 3) -> np.ndarray:
     hashes = np.fromiter((digest(raw[s:e], SEED) for s, e in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
     votes = np.zeros((len(full), 64), np.int64)
     firsts = np.cumsum(shingles) - shingles
-    step = 1 << 18  # shingles at a time, so that the bit matrix stays small
+    step = 1 << 17  # shingles at a time, so that the bit matrix stays small
     text_of = np.repeat(np.arange(len(texts)), shingles)
     place = np.full(len(texts), -1)
     place[full] = np.arange(len(full))
