@@ -93,3 +93,33 @@ def test_edge_documents(docs, none):
 def test_no_python_in_the_plan(docs):
     plan = imatch.report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def hot_rows(spark, hot, n=400):
+    """Every third text is ``hot(k)``; the others share words in groups, so that these lie in the band."""
+    fill = lambda k: " ".join(f"g{k % 40}w{j}" for j in range(30)) + f" own{k}"
+    return spark.createDataFrame([(k, hot(k) if k % 3 == 0 else fill(k)) for k in range(n)], "doc_id long, text string")
+
+
+def test_copies_do_not_push_their_terms_out(spark):
+    text = " ".join(f"g{k % 40}w{j}" for k, j in zip(range(80), range(80)) if j < 30) + " " + " ".join(f"g7w{j}" for j in range(30))
+    rows = hot_rows(spark, lambda k: text)
+    got = [r for r in imatch.report(rows).collect() if r["doc_id"] % 3 == 0]
+    assert len({r["fingerprint"] for r in got}) == 1 and len(got[0]["fingerprint"]) > 16
+    assert len(imatch.lexicon(imatch.distinct_texts(rows))) > len(imatch.lexicon(rows)) > 0
+
+
+def test_near_copies_in_a_large_group_are_alike(spark):
+    base = [f"hot{j}" for j in range(100)]
+    got = imatch.report(hot_rows(spark, lambda k: " ".join([*base[:50], f"edit{k}", *base[50:]]))).collect()
+    near = {r["doc_id"]: r["near_edited"] for r in got if r["doc_id"] % 3 == 0}
+    assert min(near.values()) > 0
+    same = imatch.report(hot_rows(spark, lambda k: " ".join([*base[:50], f"edit{k}", *base[50:]])).where("doc_id % 3 = 0 OR doc_id < 9")).collect()
+    assert min(r["near_next"] for r in same if r["doc_id"] % 3 == 0 and 9 <= r["doc_id"] < 399) > 0.4
+
+
+def test_texts_of_a_rare_language_are_alike(spark):
+    rare = " ".join(f"selten{j}" for j in range(100))
+    rows = [(k, f"{rare} einmal{k}" if k < 2 else " ".join(f"g{k % 40}w{j}" for j in range(30))) for k in range(1200)]
+    got = {r["doc_id"]: r for r in imatch.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got[0]["fingerprint"]) > 16 and got[0]["near_next"] > 0.5 and got[0]["near_edited"] > 0 and got[1]["near_next"] < 0.1
