@@ -58,3 +58,34 @@ def test_table(spark):
     assert {r["n_chars"] for r in html_paths.report(rows).collect()} == {0, len(text(PAGE))}
     with pytest.raises(ValueError):
         html_paths.extract(rows, name="url")
+
+
+ITEM = "An item of the list, in two sentences. The second one, too, has a stop."
+SECTIONS = f'<section class="intro"><p>{PROSE}</p></section><section class="body"><h2>Part</h2><p>{PROSE} {PROSE}</p><div><p>{PROSE}</p></div></section>'
+ROWS = "<table>" + f"<tr><td>{ITEM}</td><td>7</td></tr>" * 20 + "</table>"
+PARTS = {
+    "list": (f"<h1>Title</h1><p>{PROSE}</p><ul>" + f"<li>{ITEM}</li>" * 20 + "</ul>", " ".join(["Title", PROSE, *[ITEM] * 20])),
+    "table": (f"<h1>Title</h1><p>{PROSE}</p>{ROWS}<p>End.</p>", " ".join(["Title", PROSE, *[f"{ITEM} 7"] * 20, "End."])),
+    "lead": (f"<h1>Title</h1><p>{PROSE}</p><section>" + f"<p>{PROSE}</p>" * 6 + "<p>End.</p></section>", " ".join(["Title", *[PROSE] * 7, "End."])),
+    "sections": (f"<h1>Title</h1>{SECTIONS}", " ".join(["Title", PROSE, "Part", *[PROSE] * 3])),
+}
+
+
+@pytest.mark.parametrize("part", PARTS)
+@pytest.mark.parametrize("around", ["article", "main", "div", 'div id="story"'])
+def test_parts_of_an_article_are_kept_whole(part, around):
+    page, want = PARTS[part]
+    menu = "".join(f"<div><div>Menu {k}</div></div>" for k in range(8))
+    shut = around.split()[0]
+    assert text(f"<body><div>{menu}</div><{around}>{page}</{shut}><div><span>Imprint</span></div></body>") == want
+
+
+def test_parts_right_in_the_body_are_kept():
+    menu = "".join(f"<div><div>Menu {k}</div></div>" for k in range(8))
+    page = f"<body><div>{menu}</div><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><ul><li>one<li>two</ul>{SECTIONS}<div><span>Imprint</span></div></body>"
+    assert text(page) == " ".join(["Title", PROSE, PROSE, "one", "two", PROSE, "Part", *[PROSE] * 3])
+
+
+def test_columns_of_a_layout_table_are_told_apart():
+    menu = "".join(f"<div>Menu {k}</div>" for k in range(8))
+    assert text(f"<table><tr><td>{menu}</td><td><h2>Title</h2>" + f"<p>{PROSE}</p>" * 4 + "<p>Of.</p></td></tr></table>") == " ".join(["Title", *[PROSE] * 4, "Of."])

@@ -4,8 +4,9 @@ A page is read into blocks: runs of text between block-level tags, each with its
 root (class, id and role are part of a step, inline elements are not). Blocks on a path through an element whose tag or
 class says that it isn't article text (navigation, adverts, comments and the like) are set aside. For each other path
 the ratios of text length and of punctuation to the number of blocks are taken; both are smoothed over neighbouring
-blocks in page order and fused by their product. Paths above the threshold are content, and so is what else stands
-in the content's container, such as headings and short paragraphs.
+blocks in page order and fused by their product. Paths above the threshold are content, and so is all else that stands
+in the elements that hold them, such as headings, short paragraphs, lists and tables: the article or main element, or
+without one the elements around the paragraphs and what is between these.
 """
 
 from __future__ import annotations
@@ -41,6 +42,9 @@ ASIDE_NAMES = set(
 HEAD_NAMES = {"header"}
 #: A path is content if its fused ratio is at least this share of the heaviest path's.
 THRESHOLD = 0.2
+#: These are parts of a text, so what holds the text is further out. A cell is one only for the words right in it.
+LISTS = set("ul ol li dl dt dd blockquote figure figcaption".split())
+TABLES = set("table caption colgroup thead tbody tfoot tr td th".split())
 #: Characters of a block that is shorter than a sentence.
 SHORT = 25
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -55,7 +59,7 @@ _NAMES = r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 class Blocks:
-    """The blocks of a page: (path, text, aside)."""
+    """The blocks of a page: (path, text, aside, the numbers of the path's elements)."""
 
     def __init__(self):
         self.token, self.names = re.compile(_TOKEN, re.S | re.I), re.compile(_NAMES, re.I)
@@ -68,9 +72,10 @@ class Blocks:
             aside = aside or not any(t in ("article", "main") for t, _, _ in stack)
         return tag, ".".join([tag, *named]), aside
 
-    def __call__(self, page: str) -> list[tuple[tuple[str, ...], str, bool]]:
-        out: list[tuple[tuple[str, ...], str, bool]] = []
+    def __call__(self, page: str) -> list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]]:
+        out: list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]] = []
         stack: list[tuple[str, str, bool]] = []
+        numbers: list[int] = []
         held: list[str] = []
         at = 0
 
@@ -78,7 +83,7 @@ class Blocks:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((tuple(s for _, s, _ in stack), text, bool(stack and stack[-1][2])))
+                out.append((tuple(s for _, s, _ in stack), text, bool(stack and stack[-1][2]), tuple(numbers)))
 
         for m in self.token.finditer(page):
             if m.start() > at:
@@ -95,7 +100,7 @@ class Blocks:
                 flush()
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
-                        del stack[k:]
+                        del stack[k:], numbers[k:]
                         break
                 continue
             step = self._step(tag, m["rest"], stack)
@@ -104,6 +109,7 @@ class Blocks:
             flush()
             if stack and stack[-1][0] == "p" and tag not in INLINE:
                 stack.pop()
+                numbers.pop()
                 step = self._step(tag, m["rest"], stack)
             if tag in CLOSES:
                 same, ends = CLOSES[tag]
@@ -111,11 +117,12 @@ class Blocks:
                     if stack[k][0] in ends:
                         break
                     if stack[k][0] in same:
-                        del stack[k:]
+                        del stack[k:], numbers[k:]
                         step = self._step(tag, m["rest"], stack)
                         break
             if not m["rest"].endswith("/"):
                 stack.append(step)
+                numbers.append(m.start())
         if at < len(page):
             held.append(page[at:])
         flush()
@@ -128,9 +135,27 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(x, 2, mode="edge"), weight / weight.sum(), "valid")
 
 
-def content(blocks: list[tuple[tuple[str, ...], str, bool]]) -> list[str]:
+def _home(path: tuple[str, ...]) -> int:
+    """How many steps of a block's path lead to the element that holds the text it is part of."""
+    tags = [step.split(".")[0] for step in path]
+    for kind in ("article", "main"):
+        if kind in tags:
+            return tags.index(kind) + 1
+    n = len(tags)
+    while n and tags[n - 1] in INLINE:
+        n -= 1
+    own = tags[n - 1] if n else ""
+    if own not in LISTS | TABLES:
+        n -= bool(n)
+    while n and tags[n - 1] in (LISTS | TABLES if own in TABLES else LISTS):
+        n -= 1
+    return n
+
+
+def content(blocks: list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]]) -> list[str]:
     """The texts of the content blocks, in page order."""
-    rest = [(path, text) for path, text, aside in blocks if not aside]
+    kept = [(path, text, numbers) for path, text, aside, numbers in blocks if not aside]
+    rest = [(path, text) for path, text, _ in kept]
     if not rest:
         return []
     totals: dict[tuple[str, ...], list[float]] = {}
@@ -151,10 +176,20 @@ def content(blocks: list[tuple[tuple[str, ...], str, bool]]) -> list[str]:
     # Neighbours may lift a heading, but not a label: that has no punctuation and a few words at most.
     label = {p for p, (n, size, marks) in totals.items() if not marks and size < SHORT * n and not (p and p[-1][:2] in HEADINGS)}
     chosen = {p for p, s in score.items() if s >= threshold and (p == best or p not in label)}
-    container = best[:-1]
-    # A plain div may stand anywhere in the page; an article, or a step with a name of its own, is one place.
-    named = bool(container) and ("." in container[-1] or container[-1] in ("article", "main"))
-    return [text for path, text in rest if path in chosen and path[: len(container)] == container or named and path[: len(container)] == container]
+    is_text = [path in chosen for path, _ in rest]
+    size = {p: _home(p) for p in totals}
+    kind = {p: p[size[p] - 1].split(".")[0] if size[p] else "" for p in totals}
+    # An article element says where the article is; without one, a text may go on from one element to the next.
+    marked = kind[best] in ("article", "main")
+    homes = {numbers[: size[p]] for (p, _, numbers), t in zip(kept, is_text) if t and kind[p] not in ("", "html", "body") and (not marked or kind[p] in ("article", "main"))}
+    depths = {len(h) for h in homes}
+    within = [any(numbers[:d] in homes for d in depths if d <= len(numbers)) for _, _, numbers in kept]
+    if marked:
+        return [text for (_, text), w in zip(rest, within) if w]
+    first, last = is_text.index(True), len(is_text) - 1 - is_text[::-1].index(True)
+    while first and rest[first - 1][0] and rest[first - 1][0][-1][:2] in HEADINGS:
+        first -= 1
+    return [text for k, ((_, text), w) in enumerate(zip(rest, within)) if w or first <= k <= last]
 
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:
