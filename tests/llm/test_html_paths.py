@@ -89,3 +89,24 @@ def test_parts_right_in_the_body_are_kept():
 def test_columns_of_a_layout_table_are_told_apart():
     menu = "".join(f"<div>Menu {k}</div>" for k in range(8))
     assert text(f"<table><tr><td>{menu}</td><td><h2>Title</h2>" + f"<p>{PROSE}</p>" * 4 + "<p>Of.</p></td></tr></table>") == " ".join(["Title", *[PROSE] * 4, "Of."])
+
+
+@pytest.mark.parametrize("names", ["single no-sidebar", "right-sidebar has-banner", "search-results", "header"])
+@pytest.mark.parametrize("tag", ["html", "body", "main", "article", "div"])
+def test_names_of_the_whole_page_set_nothing_aside(tag, names):
+    story = f"<h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p><p>Of.</p><div class=ad>Buy, now. Really, now.</div><div id=comments><p>{PROSE} I said, so.</p></div>"
+    page = f"<html><body><div>Menu</div><main><article>{story}</article></main><footer>Site, all rights.</footer></body></html>"
+    page = f'<html><body><div class="{names}">{page[12:-14]}</div></body></html>' if tag == "div" else page.replace(f"<{tag}>", f'<{tag} class="{names}">')
+    assert text(page) == f"Title {PROSE} {PROSE} Of."
+
+
+def test_a_wrapper_without_an_article_is_judged_by_its_ratios():
+    menu = "".join(f"<div><div>Menu {k}</div></div>" for k in range(8))
+    page = f'<body><div id="page" class="left-sidebar"><div>{menu}</div><div>' + f"<p>{PROSE}</p>" * 5 + f'<p>Of.</p></div><div class="comments"><p>{PROSE}</p></div></div></body>'
+    assert text(page) == " ".join([*[PROSE] * 5, "Of."])
+
+
+def test_many_comments_do_not_replace_a_short_article():
+    comments = "<div id=comments>" + f"<p>{PROSE} I said, so.</p>" * 50 + "</div>"
+    assert text(f"<article><p>{PROSE}</p></article>{comments}") == PROSE
+    assert text(f"<div id=post><h1>Title</h1><p>{PROSE}</p></div>{comments}") == f"Title {PROSE}"

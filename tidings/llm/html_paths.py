@@ -2,7 +2,8 @@
 
 A page is read into blocks: runs of text between block-level tags, each with its path of block-level elements from the
 root (class, id and role are part of a step, inline elements are not). Blocks on a path through an element whose tag or
-class says that it isn't article text (navigation, adverts, comments and the like) are set aside. For each other path
+class says that it isn't article text (navigation, adverts, comments and the like) are set aside; classes of the page, the
+body, main and article elements say nothing of that, and classes that would set nearly all text aside are passed over. For each other path
 the ratios of text length and of punctuation to the number of blocks are taken; both are smoothed over neighbouring
 blocks in page order and fused by their product. Paths above the threshold are content, and so is all else that stands
 in the elements that hold them, such as headings, short paragraphs, lists and tables: the article or main element, or
@@ -38,6 +39,12 @@ ASIDE_NAMES = set(
     "newsletter subscribe signup sidebar widget menu nav navbar navigation breadcrumb breadcrumbs masthead topbar footer comment comments disqus replies "
     "respond share sharing social related recommended pagination pager login search".split()
 )
+#: Classes of these tell the kind of page, such as no-sidebar.
+PAGE = {"html", "body", "main", "article"}
+#: Set aside by the kind of element, whatever names it has.
+BY_KIND = 1 << 20
+#: If names set aside this share of what kinds don't, they don't tell furniture from text.
+NEARLY_ALL = 0.9
 #: These mark page furniture unless they stand inside an article.
 HEAD_NAMES = {"header"}
 #: A path is content if its fused ratio is at least this share of the heaviest path's.
@@ -59,22 +66,28 @@ _NAMES = r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 class Blocks:
-    """The blocks of a page: (path, text, aside, the numbers of the path's elements)."""
+    """The blocks of a page: (path, text, aside, the numbers of the path's elements).
+
+    Aside is the number of elements around the block whose names set it aside, and from ``BY_KIND`` on if a tag does.
+    """
 
     def __init__(self):
         self.token, self.names = re.compile(_TOKEN, re.S | re.I), re.compile(_NAMES, re.I)
         self.part = re.compile(r"[^a-z0-9]+")
 
-    def _step(self, tag: str, rest: str, stack: list[tuple[str, str, bool]]) -> tuple[str, str, bool]:
+    def _step(self, tag: str, rest: str, stack: list[tuple[str, str, int]]) -> tuple[str, str, int]:
         named = sorted({p for v in self.names.findall(rest) for p in self.part.split(v.lower()) if p}) if "=" in rest else []
-        aside = bool(stack and stack[-1][2]) or tag in NO_CONTENT or not ASIDE_NAMES.isdisjoint(named)
-        if tag == "header" or not HEAD_NAMES.isdisjoint(named):
-            aside = aside or not any(t in ("article", "main") for t, _, _ in stack)
+        aside = stack[-1][2] if stack else 0
+        outside = not any(t in ("article", "main") for t, _, _ in stack)
+        if tag in NO_CONTENT or tag == "header" and outside:
+            aside += BY_KIND
+        elif tag not in PAGE and (not ASIDE_NAMES.isdisjoint(named) or outside and not HEAD_NAMES.isdisjoint(named)):
+            aside += 1
         return tag, ".".join([tag, *named]), aside
 
-    def __call__(self, page: str) -> list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]]:
-        out: list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]] = []
-        stack: list[tuple[str, str, bool]] = []
+    def __call__(self, page: str) -> list[tuple[tuple[str, ...], str, int, tuple[int, ...]]]:
+        out: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
+        stack: list[tuple[str, str, int]] = []
         numbers: list[int] = []
         held: list[str] = []
         at = 0
@@ -83,7 +96,7 @@ class Blocks:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((tuple(s for _, s, _ in stack), text, bool(stack and stack[-1][2]), tuple(numbers)))
+                out.append((tuple(s for _, s, _ in stack), text, stack[-1][2] if stack else 0, tuple(numbers)))
 
         for m in self.token.finditer(page):
             if m.start() > at:
@@ -104,7 +117,7 @@ class Blocks:
                         break
                 continue
             step = self._step(tag, m["rest"], stack)
-            if tag in INLINE and step[2] == bool(stack and stack[-1][2]):
+            if tag in INLINE and step[2] == (stack[-1][2] if stack else 0):
                 continue
             flush()
             if stack and stack[-1][0] == "p" and tag not in INLINE:
@@ -152,9 +165,28 @@ def _home(path: tuple[str, ...]) -> int:
     return n
 
 
-def content(blocks: list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]]) -> list[str]:
+def _passed_over(blocks: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]]) -> int:
+    """How many names around a block don't set it aside: as few as leave some of the page's text, or its article."""
+    sizes: dict[int, int] = {}
+    for _, text, aside, _ in blocks:
+        if aside < BY_KIND:
+            sizes[aside] = sizes.get(aside, 0) + len(text)
+    tags = [({step.split(".")[0] for step in path}, text, aside) for path, text, aside, _ in blocks if aside < BY_KIND]
+    article = min((aside for t, _, aside in tags if t & {"article", "main"}), default=BY_KIND)
+    title = min((aside for t, _, aside in tags if t & {"h1", "h2"}), default=BY_KIND)
+    prose = min((aside for _, text, aside in tags if len(text) >= SHORT and _PUNCTUATION.search(text)), default=BY_KIND)
+    total, left = sum(sizes.values()), 0
+    for names in sorted(sizes):
+        left += sizes[names]
+        if left > (1 - NEARLY_ALL) * total or min(article, max(title, prose)) <= names:
+            return names
+    return 0
+
+
+def content(blocks: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]]) -> list[str]:
     """The texts of the content blocks, in page order."""
-    kept = [(path, text, numbers) for path, text, aside, numbers in blocks if not aside]
+    names = _passed_over(blocks)
+    kept = [(path, text, numbers) for path, text, aside, numbers in blocks if aside <= names]
     rest = [(path, text) for path, text, _ in kept]
     if not rest:
         return []
