@@ -91,3 +91,37 @@ def test_edge_documents(spark, docs, none):
     assert licenses.with_notices(docs, {"empty": "!!", "same": "same text again"}).where("size(notices) > 0").count() == 3
     assert licenses.report(none).collect() == []
     assert {tuple(r)[2:] for r in licenses.report(docs).collect()} == {(0, "", 0.0, None)}
+
+
+GNU = (
+    "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free "
+    "Software Foundation; either version {} of the License, or (at your option) any later version."
+)
+OTHERS = {
+    GNU.format("program", "", "2"): "GPL-2.0", GNU.format("program", "", "3"): "GPL-3.0", GNU.format("library", "Lesser ", "2.1"): "LGPL-2.1",
+    GNU.format("library", "Library ", "2"): "LGPL-2.0", GNU.format("program", "Lesser ", "3"): "LGPL-3.0", GNU.format("program", "Affero ", "3"): "AGPL-3.0",
+    "It is licensed under the GNU General Public License, version 2.": "GPL-2.0", "Licensed under the MIT License": "MIT",
+    "licensed under the GNU General Public License, version 3": "GPL-3.0", "You may use it under the terms of the GNU Lesser General Public License v2.1": "LGPL-2.1",
+    "This work is licensed under the GNU General Public License, version 2": "GPL-2.0", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0",
+    "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "CC-BY-NC-SA-4.0", "made available under CC BY-SA 3.0.": "CC-BY-SA-3.0",
+    "Eclipse Public License - v 2.0 and so on, or the Eclipse Public License, Version 2.0": "EPL-2.0", "CC0 1.0 Universal": "CC0-1.0",
+    "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.": "GPL-2.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+}
+
+
+def test_customary_wordings_have_the_right_name():
+    for text, want in OTHERS.items():
+        got = found([f"Some words before. {text} Some words after."])
+        assert got and all(m[1] == want or m[1].startswith(f"{want}-") for m in got), (text, got)
+
+
+def test_telling_words_must_match():
+    one = {"GPL-3.0-header": licenses.TEMPLATES["GPL-3.0-header"]}
+    for kind, version, n in (("", "3", 1), ("", "2", 0), ("Lesser ", "3", 0), ("Affero ", "3", 0)):
+        assert len(found([GNU.format("program", kind, version)], one)) == n
+
+
+def test_one_name_where_templates_overlap():
+    got = [m[1] for m in found([licenses.TEMPLATES["Apache-2.0-header"], licenses.TEMPLATES["GPL-3.0"], "Released under the MIT License"])]
+    assert got == ["Apache-2.0-header", "GPL-3.0", "MIT"]

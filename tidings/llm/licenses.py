@@ -4,6 +4,9 @@ A text and a template are aligned on the words that occur once in each: the long
 (by a longest increasing subsequence) is kept, and the gaps between them are aligned in the same way. A gap without such
 words is aligned by its longest common subsequence. The coverage is the share of the template's words that are matched.
 
+Words that tell one licence from another (version numbers, Lesser, Affero, NC, SA, ND) must all match, and the text may not
+have more of the named ones in between. Where matches overlap, the best covered one is kept, and of those the longest.
+
 Only places that can reach the coverage are aligned: a match stretches over at most ``STRETCH`` times the template's
 length, and holds all but a few of its longer words.
 """
@@ -25,7 +28,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from .batches import ranges, slices
 from .decontaminate import SPACE, normal_form
 
-#: Customary licence notices.
+#: Customary licence notices. Whole licence texts are told by their title and their first lines.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
@@ -46,7 +49,60 @@ TEMPLATES = {
     "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
     "following conditions",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "Apache-2.0-name": "Apache License, Version 2.0",
+    "Apache-2.0-name-2": "Apache License 2.0",
+    "Apache-2.0-name-3": "Apache License v2.0",
+    "Apache-2.0-name-4": "Apache 2.0 License",
+    "Apache-2.0-title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ Terms and conditions for use, reproduction, and distribution",
+    "BSD-name": "under the BSD License",
+    "BSD-2-Clause-name": "BSD 2-Clause License",
+    "BSD-3-Clause-name": "BSD 3-Clause License",
+    "BSD-3-Clause-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission",
+    "CC0-1.0": "CC0 1.0 Universal",
+    "CC0-1.0-header": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "EPL-1.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies "
+    "this distribution",
+    "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "GPL-2.0-only-header": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free "
+    "Software Foundation",
+    "GPL-3.0-only-header": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free "
+    "Software Foundation",
+    "ISC-name": "under the ISC License",
+    "MIT-name": "under the MIT License",
+    "MIT-title": "The MIT License (MIT)",
+    "MIT-title-2": "MIT License Copyright (c)",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "Unlicense-header": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a "
+    "compiled binary, for any purpose, commercial or non-commercial, and by any means",
 }
+for _family, _kind, _version, _date in (
+    ("GPL", "", "2", "June 1991"), ("GPL", "", "3", "29 June 2007"), ("LGPL", "Library ", "2", "June 1991"), ("LGPL", "Lesser ", "2.1", "February 1999"),
+    ("LGPL", "Lesser ", "3", "29 June 2007"), ("AGPL", "Affero ", "3", "19 November 2007"),
+):
+    _id, _full = f"{_family}-{_version if '.' in _version else _version + '.0'}", f"GNU {_kind}General Public License"
+    TEMPLATES |= {
+        f"{_id}-name": f"{_full}, version {_version}", f"{_id}-name-2": f"{_full} v{_version}", f"{_id}-name-3": f"version {_version} of the {_full}",
+        f"{_id}-name-4": f"under the {_family}v{_version}", f"{_id}-name-5": f"under the {_family} version {_version}",
+        f"{_id}-title": f"{_full} Version {_version}, {_date} Copyright (C)",
+    }
+    TEMPLATES.setdefault(f"{_id}-header", f"This {'library' if _version in ('2', '2.1') and _kind else 'program'} is free software: you can redistribute it and/or "
+                         f"modify it under the terms of the {_full} as published by the Free Software Foundation, either version {_version} of the License, or (at "
+                         "your option) any later version")
+for _parts in ("", "-NC", "-SA", "-ND", "-NC-SA", "-NC-ND"):
+    _full = "Attribution" + _parts.replace("-NC", "-NonCommercial").replace("-SA", "-ShareAlike").replace("-ND", "-NoDerivatives")
+    for _version in ("3.0", "4.0"):
+        TEMPLATES |= {f"CC-BY{_parts}-{_version}-name": f"CC BY{_parts} {_version}", f"CC-BY{_parts}-{_version}-name-2": f"Creative Commons {_full} {_version}"}
+for _name, _versions in (("Mozilla", ("1.1", "2.0")), ("Eclipse", ("1.0", "2.0"))):
+    for _version in _versions:
+        _id = f"{_name[0]}PL-{_version}"
+        TEMPLATES |= {f"{_id}-name": f"{_name} Public License {_version}", f"{_id}-name-2": f"{_name} Public License, version {_version}",
+                      f"{_id}-name-3": f"{_name} Public License v{_version}", f"{_id}-name-4": f"{_name} Public License, v. {_version}"}
+for _id in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+            "AGPL-3.0", "ISC", "MIT", "MPL-2.0", "Unlicense"):
+    TEMPLATES[f"{_id}-spdx"] = f"SPDX-License-Identifier: {_id}"
+#: Words, beside those with a digit, by which licences of nearly the same wording differ.
+TELLING = set("lesser affero nc sa nd noncommercial sharealike noderivatives noderivs".split())
 COVERAGE = 0.9
 LONG_WORD = 5
 
@@ -136,9 +192,12 @@ class Notices:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.names = sorted(templates)
         words = [_words(pa.array([templates[n]]))[0].to_pylist() for n in self.names]
-        self.vocabulary = sorted({w for ws in words for w in ws})
+        self.vocabulary = sorted({w for ws in words for w in ws} | TELLING)
         code = {w: k for k, w in enumerate(self.vocabulary)}
         self.coverage, self.codes = coverage, [[code[w] for w in ws] for ws in words]
+        self.telling = {code[w] for w in TELLING}
+        #: The places in each template of words that must match.
+        self.must = [{j for j, w in enumerate(ws) if w in TELLING or any(c.isdigit() for c in w)} for ws in words]
         self.needed, self.is_key = [], []
         for ws in words:
             spare = len(ws) - math.ceil(len(ws) * coverage - 1e-9)  # words that may be missing
@@ -149,11 +208,29 @@ class Notices:
             table[[code[w] for w in keys]] = True
             self.is_key.append(table)
 
+    def _told(self, codes: list[int], pairs: list[tuple[int, int]], must: set[int]) -> bool:
+        """Whether all telling words match."""
+        matched = {i for i, _ in pairs}
+        return must <= {j for _, j in pairs} and not any(codes[i] in self.telling and i not in matched for i in range(pairs[0][0], pairs[-1][0]))
+
     def matches(self, codes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, str, int, int, float]]:
-        """(text, name, first word, last word, coverage) of all matches; codes are -1 for words of no template."""
+        """(text, name, first word, last word, coverage) of the matches, the best where some overlap; codes are -1 for words of
+        no template."""
+        best: list[tuple[int, str, int, int, float]] = []
+        taken: dict[int, list[tuple[int, int]]] = {}
+        for match in sorted(self._all_matches(codes, bounds), key=lambda m: (m[0], -m[4], m[2] - m[3], m[2], m[1])):
+            spans = taken.setdefault(match[0], [])  # apart from each other, in order
+            k = bisect.bisect_right(spans, (match[3], match[3]))
+            if (not k or spans[k - 1][1] < match[2]) and (k == len(spans) or spans[k][0] > match[3]):
+                spans.insert(k, (match[2], match[3]))
+                best.append(match)
+        return sorted(best, key=lambda m: (m[0], m[2]))
+
+    def _all_matches(self, codes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, str, int, int, float]]:
+        """The matches of each template, one after the other."""
         out = []
         text_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        for name, template, needed, is_key in zip(self.names, self.codes, self.needed, self.is_key):
+        for name, template, needed, is_key, must in zip(self.names, self.codes, self.needed, self.is_key, self.must):
             if not template:
                 continue
             reach = math.floor(len(template) / self.coverage + 1e-9)
@@ -175,6 +252,8 @@ class Notices:
                     more = trimmed(align(codes[again : min(hi, again + reach)].tolist(), template), len(template))
                     if covered(more, len(template)) > share:
                         start, pairs, share = again, more, covered(more, len(template))
+                    if not self._told(codes[start : start + pairs[-1][0] + 1].tolist(), pairs, must):
+                        continue
                     first, last = start + pairs[0][0], start + pairs[-1][0]
                     out.append((t, name, first - lo, last - lo, share))
                     free = last + 1
@@ -200,9 +279,9 @@ def with_notices(
 ) -> DataFrame:
     """``docs`` with its number of words and the notices found in the whole text: license, first and last word, coverage.
 
-    Words are as in benchmark decontamination. A template may match several times, one match after the other, and
-    different templates may match the same words. A null or wordless text has none, and a template without words never
-    matches. Notices are in the order of their first word, then of their names. Rows stay as they are; a column named
+    Words are as in benchmark decontamination. A template may match several times, one match after the other; of
+    templates that match the same words the best covered one is given. A null or wordless text has none, and a template without words never
+    matches. Notices are in the order of their first word. Rows stay as they are; a column named
     like one of ``names`` is an error.
     """
     if clash := set(names) & set(docs.columns):
