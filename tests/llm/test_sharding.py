@@ -40,3 +40,20 @@ def test_seed_decides_and_runs_repeat(docs):
 
 def test_empty_table(none):
     assert sharding.interleave(none, 3).collect() == []
+
+
+def test_no_window_grows_with_the_table(spark, docs, monkeypatch):
+    n = 200
+    counts = spark.range(2 * n).selectExpr("id % 2 AS key", "id div 2 AS at", "id % 7 + 1 AS n").where("at % 5 != 3")
+    want, rows = {}, sorted(counts.collect())
+    for r in rows:
+        mine = [x["n"] for x in rows if x["key"] == r["key"]]
+        want[r["key"], r["at"]] = (sum(x["n"] for x in rows if x["key"] == r["key"] and x["at"] < r["at"]), sum(mine))
+    place = lambda: sorted((str(r["doc_id"]), r["text_crc32"], r["shard"], r["slot"]) for r in sharding.interleave(docs, 4).collect())
+    whole = place()
+    for block in (3, 16, 1024):
+        monkeypatch.setattr(sharding, "BLOCK", block)
+        got = {(r["key"], r["at"]): (r["below"], r["of_all"]) for r in sharding._below(counts, ["key"], "at", n).collect()}
+        assert got == want
+    monkeypatch.setattr(sharding, "BLOCK", 4)
+    assert place() == whole

@@ -5,7 +5,8 @@ and the order by fractional rank is cut into shards of equal row counts. So each
 corpus, give or take a row.
 
 No window holds a whole source or the whole table: rows are ranked in small buckets, and the row counts of the
-buckets before (one row for each bucket and source) give the offset.
+buckets before (one row for each bucket and source) give the offset. Those are summed in blocks, and the blocks in blocks of their
+own, so that no window grows with the table.
 """
 
 from __future__ import annotations
@@ -16,16 +17,21 @@ from pyspark.sql import functions as F
 from ..storage import materialize
 
 BUCKET_ROWS = 2048
+#: Buckets, or blocks of them, in one window.
+BLOCK = 1024
 
 
-def _below(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Rows in the buckets before each bucket, and in all buckets, per ``keys``."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return counts.select(
-        *keys, order,
-        (F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("below"),
-        F.sum("n").over(Window.partitionBy(*keys)).alias("of_all"),
-    )
+def _below(counts: DataFrame, keys: list[str], order: str, size: int) -> DataFrame:
+    """Rows in the buckets before each bucket, and in all buckets, per ``keys``; ``order`` is from 0 to ``size`` - 1."""
+    before = lambda w: F.sum("n").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    if size <= BLOCK:
+        w = Window.partitionBy(*keys)
+        return counts.select(*keys, order, before(w).alias("below"), F.sum("n").over(w).alias("of_all"))
+    block = f"{order}_block"
+    counts = counts.withColumn(block, F.expr(f"{order} div {BLOCK}"))
+    blocks = _below(counts.groupBy(*keys, block).agg(F.sum("n").alias("n")), keys, block, -(-size // BLOCK))
+    inside = counts.select(*keys, order, block, before(Window.partitionBy(*keys, block)).alias("inside"))
+    return inside.join(blocks, [*keys, block]).select(*keys, order, (F.col("below") + F.col("inside")).alias("below"), "of_all")
 
 
 def interleave(
@@ -50,7 +56,7 @@ def interleave(
     stratum = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
     base = base.select("*", stratum.alias("stratum"), F.pmod("h", F.lit(buckets)).alias("b"))
 
-    below = _below(base.groupBy("stratum", "b").agg(F.count("*").alias("n")), ["stratum"], "b")
+    below = _below(base.groupBy("stratum", "b").agg(F.count("*").alias("n")), ["stratum"], "b", buckets)
     within = F.row_number().over(Window.partitionBy("stratum", "b").orderBy("h", "doc_id", "size", "text_crc32"))
     # Each source starts at its own point of the first step, so that small sources don't all meet at one place.
     start = (F.pmod(F.xxhash64(F.lit(seed + 1), "stratum"), F.lit(1 << 20)) + 0.5) / float(1 << 20)
@@ -62,9 +68,9 @@ def interleave(
     )
     ranked = materialize(ranked, label="shard-ranks")
 
-    # One row per place, 16 for each 2,048 documents: few enough for one window.
+    # One row per place, 16 for each 2,048 documents.
     placed = ranked.groupBy("place").agg(F.count("*").alias("n")).withColumn("one", F.lit(0))
-    offsets = _below(placed, ["one"], "place").select("place", "below")
+    offsets = _below(placed, ["one"], "place", buckets).select("place", "below")
     at = F.col("below") + F.row_number().over(Window.partitionBy("place").orderBy("rank", "stratum", "nth")) - 1
     return (
         ranked.join(offsets, "place")
