@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, html_paths, imatch, language, licenses, pieces, recompress, sharding, simhash
+from . import bitpack, decontaminate, html_paths, imatch, language, licenses, pieces, quality_rules, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.report(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op2_byte_network": op2_byte_network,
@@ -68,9 +72,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_patience": op8_patience,
     "op9_tag_paths": op9_tag_paths,
     "op10_transducer": op10_transducer,
+    "op11_rules": op11_rules,
 }
 ORACLES: dict[str, str] = {
     "op5_wu_manber": decontaminate.REPORT_SQL,
     "op6_recompress": recompress.REPORT_SQL,
     "op9_tag_paths": html_paths.REPORT_SQL,
+    "op11_rules": quality_rules.REPORT_SQL,
 }
