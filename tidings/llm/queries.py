@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, html_paths, imatch, language, licenses, pieces, quality_rules, recompress, sharding, simhash
+from . import bitpack, decontaminate, html_paths, imatch, importance, language, licenses, pieces, quality_rules, recompress, sharding, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_read(spark, sf_dir, "documents"))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_interleave": op1_interleave,
     "op2_byte_network": op2_byte_network,
@@ -73,10 +77,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_tag_paths": op9_tag_paths,
     "op10_transducer": op10_transducer,
     "op11_rules": op11_rules,
+    "op13_importance": op13_importance,
 }
 ORACLES: dict[str, str] = {
     "op5_wu_manber": decontaminate.REPORT_SQL,
     "op6_recompress": recompress.REPORT_SQL,
     "op9_tag_paths": html_paths.REPORT_SQL,
     "op11_rules": quality_rules.REPORT_SQL,
+    "op13_importance": importance.REPORT_SQL,
 }
