@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitpack, decontaminate, html_paths, imatch, importance, language, licenses, pieces, quality_rules, recompress, sharding, simhash
+from . import bitpack, decontaminate, html_paths, imatch, importance, language, licenses, pieces, quality_rules, recompress, sharding, simhash, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_read(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_read(spark, sf_dir, "embeddings"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_tag_paths": op9_tag_paths,
     "op10_transducer": op10_transducer,
     "op11_rules": op11_rules,
+    "op12_whitening": op12_whitening,
     "op13_importance": op13_importance,
 }
 ORACLES: dict[str, str] = {
