@@ -157,6 +157,12 @@ RUN = (
   FROM extracted e JOIN picked p ON p.seq = e.seq JOIN company c ON c.cust_no = p.cust_no)""",
 )
 
+# What a streamed run reads: empty fields instead of nulls, and an empty day excludes.
+STREAMED = tuple(
+    f"raw AS (SELECT * REPLACE (coalesce(doc_sentiment, '') AS doc_sentiment) FROM v_news WHERE {FIRST_RUN} AND part_basc_dt IS NOT NULL)"
+    if c.startswith("raw AS") else c for c in RUN
+)
+
 TARGET_COLS = """news_mppg_id, seq, site_nm, news_tite, news_ctt, news_clas, doc_sentiment, {summ} AS news_summ, {ref} AS news_ref,
   etct_cust_no, {nm} AS etct_cust_nm, {cl} AS sglr_ases_modl_clas_cd, {ind} AS std_inds_clas_nm, {prod} AS primy_prod_nm, basc_dt"""
 NO_TEXT = "CAST(NULL AS VARCHAR)"
@@ -185,6 +191,21 @@ ORACLES = {
     "stream_overlap": with_(view("v_news"))
     + f"""SELECT seq, site_name, basc_dt, title, content, coalesce(doc_sentiment, '') AS doc_sentiment, part_basc_dt
         FROM v_news WHERE {LATER_RUN} AND part_basc_dt IS NOT NULL""",
+    "stream_windows": with_(
+        view("v_news"),
+        "copies AS (SELECT least(CAST(substr(part_basc_dt, 7, 2) AS INT) + 3, 28) - CAST(substr(part_basc_dt, 7, 2) AS INT) + 1 AS n FROM v_news WHERE part_basc_dt IS NOT NULL)",
+    ) + """SELECT seq, site_name, basc_dt, title, content, coalesce(doc_sentiment, '') AS doc_sentiment, part_basc_dt,
+        CAST((SELECT sum(n) + 28 FROM copies) AS BIGINT) AS records, CAST(28 AS BIGINT) AS bad_records,
+        CAST(0 AS BIGINT) AS undated, CAST(0 AS BIGINT) AS late
+        FROM v_news WHERE upper(channel) = 'NEWS' AND seq = p_seq AND trim(title) <> '' AND part_basc_dt IS NOT NULL""",
+    "stream_counts": with_(view("v_news"))
+    + f"""SELECT count(*) + count(*) FILTER (WHERE seq % 10 = 0) AS records, count(*) FILTER (WHERE seq % 10 = 0) AS bad_records,
+        count(*) FILTER (WHERE upper(channel) = 'NEWS' AND seq = p_seq AND trim(title) <> '') AS articles,
+        count(*) FILTER (WHERE upper(channel) = 'NEWS' AND seq = p_seq AND trim(title) <> ''
+          AND NOT (seq > 10 AND coalesce(part_basc_dt, '') >= '20260105')) AS late FROM v_news""",
+    "stream_target": with_(*STREAMED)
+    + """SELECT * EXCLUDE (news_mppg_id), CAST(2 AS BIGINT) AS batches, (SELECT count(*) FROM v_news) AS records,
+        (SELECT count(*) FROM raw) AS loaded, (SELECT count(*) FROM target) AS mapped, (SELECT count(*) FROM target) AS appended FROM target""",
     "numeric_keys": """SELECT o_orderkey, CAST(concat('10000000000', lpad(CAST(o_orderkey AS VARCHAR), 8, '0')) AS BIGINT) AS number,
         o_orderkey % 2 = 0 AS same FROM orders""",
     "vector_near_copies": f"""WITH cosines AS (SELECT q.vec_id AS query_id, x.vec_id AS item_id, list_cosine_similarity(

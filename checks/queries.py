@@ -6,6 +6,7 @@ import re
 import uuid
 from unittest import mock
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +31,7 @@ from tidings.operators import (
 from tidings.plans import daily
 from tidings.schema import NAME_VECTOR_SCHEMA, NEWS_SCHEMA, TARGET_SCHEMA
 from tidings.sources import company, delimited, files, news, warehouse
-from tidings.streaming import incremental
+from tidings.streaming import appending, incremental, ledger, windows
 
 from .views import table, view
 
@@ -149,6 +150,59 @@ def stream_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return drain((last, CURSOR[1]))
 
 
+def _set_day(spark: SparkSession, folder: str, n: int) -> None:
+    """Give the files of ``part=1`` to ``part=n`` modification times in that order, in which a stream then takes them."""
+    fs, root = storage._fs(spark, folder)
+    for k in range(1, n + 1):
+        for status in fs.globStatus(storage._fs(spark, f"{folder}/part={k}/*.txt")[1]):
+            fs.setTimes(status.getPath(), 1_700_000_000_000 + 1000 * k, -1)
+
+
+def _daily_files(spark: SparkSession, sf: str, first: int, last: int, path: str) -> None:
+    """A file for each day of the month, with the articles of that day and of the three before, and one short record."""
+    feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS).where("part_basc_dt IS NOT NULL")
+    day = F.substring("part_basc_dt", 7, 2).cast("int")
+    copies = feed.withColumn("part", F.explode(F.sequence(day, F.least(day + 3, F.lit(28))))).where(F.col("part").between(first, last))
+    line = F.concat_ws(delimited.FIELD_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in NEWS_FEED_COLUMNS])
+    days = spark.range(first, last + 1).select(F.col("id").cast("int").alias("part"))
+    head = days.select("part", F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
+    short = days.select("part", F.lit(2).alias("pos"), F.lit(f"1{delimited.FIELD_SEP}1").alias("value"))
+    rows = head.unionByName(copies.select("part", F.lit(1).alias("pos"), line.alias("value"))).unionByName(short)
+    (
+        rows.repartition("part").sortWithinPartitions("part", "pos").select("part", "value")
+        .write.mode("append").option("lineSep", delimited.RECORD_SEP).partitionBy("part").text(path)
+    )
+    _set_day(spark, path, last)
+
+
+def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of overlapping days, drained in several triggers, and again from the checkpoint when the later ones are there."""
+    folder = storage.scratch_path(spark, "daily-files")
+    landed, checkpoint = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "state")
+    out = None
+    for first, last in ((1, 14), (15, 28)):
+        _daily_files(spark, sf, first, last, folder)
+        out = windows.land_distinct(spark, f"{folder}/part=*", NEWS_FEED_COLUMNS, landed, checkpoint, max_files_per_trigger=7)
+    counts = windows.read_counts(spark, windows.counts_path(landed)).agg(*(F.sum(c).alias(c) for c in ("records", "bad_records", "undated", "late"))).first()
+    return out.select("*", *(F.lit(n).cast("bigint").alias(c) for c, n in counts.asDict().items()))
+
+
+def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of landed files, some with short records, after the last micro-batch has run twice."""
+    source = _news_files(spark, sf)
+    short = view(spark, sf, "v_news").where("seq % 10 = 0").select("seq", "p_seq", "channel")
+    line = F.concat_ws(delimited.FIELD_SEP, "seq", "p_seq", "channel")
+    head = spark.range(1).select(F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
+    rows = head.unionByName(short.select(F.lit(1).alias("pos"), line.alias("value"))).repartition(1).sortWithinPartitions("pos")
+    rows.select("value").write.option("lineSep", delimited.RECORD_SEP).text(f"{source}/part=9")
+    landed, checkpoint = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "stream-state")
+    for turn in range(2):
+        incremental.land_new_articles(spark, source + "/part=*", NEWS_FEED_COLUMNS, landed, checkpoint, CURSOR, max_files_per_trigger=3)
+        if not turn:
+            storage.delete(spark, f"{checkpoint}/commits/1")
+    return incremental.landed_counts(spark, landed, CURSOR)
+
+
 def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     source = _news_files(spark, sf)
     return incremental.land_new_articles(
@@ -610,6 +664,34 @@ def resume_run(spark: SparkSession, sf: str) -> DataFrame:
     return storage.read_or_empty(spark, _day(spark, root)[0].target, TARGET_SCHEMA)
 
 
+def stream_target(spark: SparkSession, sf: str) -> DataFrame:
+    """Two micro-batches through the whole run; the first one's append isn't committed, and is done again."""
+    root = _inputs(spark, sf)
+    feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS)
+    for k in range(2):
+        _write_delimited(feed.where(F.col("seq") % 2 == k), f"{root}/files{k}", 1)
+    layout = daily.Layout(f"{root}/warehouse")
+
+    def drain() -> DataFrame:
+        return appending.stream_to_target(
+            spark, layout, f"{root}/files*/part=0", NEWS_FEED_COLUMNS, f"{root}/company", daily.Models(_reply), threshold=0.5, max_files_per_trigger=1)
+
+    real = ledger.commit
+    lost = lambda s, path, stream, *args: real(s, path, stream, *args) if stream == "opening" else _lose()
+    try:
+        with mock.patch.object(ledger, "commit", side_effect=lost):
+            drain()
+    except StreamingQueryException:
+        pass
+    counts = drain().first().asDict()
+    rows = ledger.read_committed(spark, layout.target, layout.ledger)
+    return rows.drop("news_mppg_id").select("*", *(F.lit(counts[c]).cast("bigint").alias(c) for c in ("batches", "records", "loaded", "mapped", "appended")))
+
+
+def _lose() -> None:
+    raise _Lost
+
+
 def serving_after_failed_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Three days: the second one's publishing fails, the third has nothing new."""
     root = _inputs(spark, sf)
@@ -667,6 +749,6 @@ QUERIES = {
         mapping_rate, serving_filter, serving_export, append_with_ids, idempotent_append, row_chunks,
         retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving, numeric_keys, vector_near_copies,
         delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
-        serving_after_failed_publish,
+        serving_after_failed_publish, stream_windows, stream_counts, stream_target,
     )
 }

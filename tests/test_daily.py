@@ -133,10 +133,12 @@ def test_stream_and_batch_load_the_same(spark, setting):
             max_files_per_trigger=1, threshold=0.6, remove_input=False,
         )
 
-    assert take("20260106").appended == 4
+    first = take("20260106")
+    assert (first.appended, first.bad_records, first.late) == (4, 0, 0)
     assert loaded(spark, other) == loaded(spark, layout)
     put(feed / "3.csv", NEWS_HEAD, DAY_ONE + news((9, "20260107", "Beta Motors", "cars")))
-    assert take("20260107").appended == 1
+    second = take("20260107")
+    assert (second.appended, second.bad_records, second.late) == (1, 0, len(DAY_ONE))
     assert take("20260108").loaded == 0
 
 

@@ -16,7 +16,7 @@ from tidings.schema import TARGET_SCHEMA
 
 SF_DIR = "/root/testdata/sf0.001"
 # Stages of a whole run are also the stages of these, which repeat runs.
-REPEATED = {"resume_run", "serving_after_failed_publish", "dry_run_preview", "daily_run_serving"}
+REPEATED = {"resume_run", "serving_after_failed_publish", "dry_run_preview", "daily_run_serving", "stream_target"}
 
 
 def plan_of(df):

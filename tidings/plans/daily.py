@@ -65,9 +65,11 @@ class Layout:
     runs: str = field(init=False)
     landed: str = field(init=False)
     stream: str = field(init=False)
+    batches: str = field(init=False)
+    ledger: str = field(init=False)
 
     def __post_init__(self) -> None:
-        for name in ("target", "serving", "name_vectors", "state", "runs", "landed", "stream"):
+        for name in ("target", "serving", "name_vectors", "state", "runs", "landed", "stream", "batches", "ledger"):
             setattr(self, name, f"{self.root.rstrip('/')}/{name}")
 
 

@@ -25,7 +25,7 @@ _FITS = "_fits"
 HEADER_BYTES = 1 << 16
 
 
-def _record_text(value: Column) -> Column:
+def record_text(value: Column) -> Column:
     """Line ends as ``\\n``, and none at the end of a record (the file's own final line end)."""
     unix = F.replace(F.replace(value, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     return F.rtrim(unix, F.lit("\n"))
@@ -36,7 +36,7 @@ def split_fields(value: Column, field_sep: str = FIELD_SEP) -> Column:
 
 
 def _records(reader, paths: str | list[str]) -> DataFrame:
-    return reader.text(paths).select(_record_text(F.col("value")).alias("value")).where(F.col("value") != "")
+    return reader.text(paths).select(record_text(F.col("value")).alias("value")).where(F.col("value") != "")
 
 
 def file_header(spark: SparkSession, path: str, record_sep: str = RECORD_SEP) -> str | None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, StructType
 
 from ..functions.text import is_blank, same_number, to_long
 from ..operators.align import align
@@ -22,6 +24,7 @@ def new_articles(
     last_part_basc_dt: str,
     null_partition_passes: bool = True,
     observation: Observation | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Root news articles after the cursor ``(last_seq, last_part_basc_dt)``.
 
@@ -30,7 +33,7 @@ def new_articles(
     A null partition compares as the text ``None``, which sorts after every date and so passes.
 
     An ``observation`` counts the ``articles`` seen and the ``late`` ones that the cursor excludes. The
-    cursor is then not pushed down, since late rows must be read to be counted.
+    cursor is then not pushed down, since late rows must be read to be counted. Columns ``carried`` stay beside the feed's.
     """
     if "channel" in df.columns:
         df = df.where(F.upper("channel") == "NEWS")
@@ -41,7 +44,8 @@ def new_articles(
             df = df.where(same_number("seq", "p_seq"))
     if "seq" in df.columns and not _is_integral(df, "seq"):
         df = df.withColumn("seq", to_long("seq"))
-    rows = align(df, NEWS_SCHEMA).where(~is_blank("title") & F.col("seq").isNotNull())
+    extra = [df.schema[c] for c in carried]
+    rows = align(df, StructType([*NEWS_SCHEMA.fields, *extra])).where(~is_blank("title") & F.col("seq").isNotNull())
     reached = F.col("part_basc_dt") >= F.lit(last_part_basc_dt)
     if null_partition_passes and "None" >= last_part_basc_dt:
         reached = reached | F.col("part_basc_dt").isNull()

@@ -87,6 +87,22 @@ def first_bytes(spark: SparkSession, path: str, n: int) -> bytes:
         stream.close()
 
 
+def create_once(spark: SparkSession, path: str, data: bytes, replace: bool = False) -> None:
+    """Make a small file, whole or not at all; one that exists is an error unless it may be replaced."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and not replace:
+        raise FileExistsError(path)
+    _, draft = _fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, True)
+    stream.write(bytearray(data))
+    stream.close()
+    if replace and fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(draft, p):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
+
+
 def files_at(spark: SparkSession, pattern: str) -> list[str]:
     """The files that a path or glob names, or that stand in a folder it names, as Spark would read them."""
     fs, p = _fs(spark, pattern)

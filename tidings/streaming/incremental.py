@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .. import storage
 from ..plans.daily import Layout, Models, Summary, run_daily
@@ -19,6 +20,12 @@ from ..sources.delimited import RECORD_SEP, read_delimited
 from ..sources.news import new_articles
 
 
+COUNTS = ["records", "bad_records", "articles", "late"]
+COUNTS_SCHEMA = StructType(
+    [StructField("batch_id", LongType()), StructField("last_seq", LongType()), StructField("last_part_basc_dt", StringType()), *(StructField(c, LongType()) for c in COUNTS)]
+)
+
+
 def stream_files(
     spark: SparkSession,
     folder: str,
@@ -48,6 +55,40 @@ def run_available(
     query.start().awaitTermination()
 
 
+def counts_path(landed: str) -> str:
+    return f"{landed}-counts"
+
+
+def counted_articles(spark: SparkSession, batch: DataFrame, columns: list[str], cursor: tuple[int, str]) -> tuple[DataFrame, Callable[[], tuple[int, int, int, int]]]:
+    """The new articles in the files of a micro-batch, and what counts them: records, bad ones, articles, late ones.
+
+    The counts are there once the articles have been written, whole, a single time.
+    """
+    # As many paths as a batch has files.
+    paths = sorted(batch.inputFiles()) or sorted(r.path for r in batch.distinct().collect())
+    if not paths:
+        return spark.createDataFrame([], NEWS_SCHEMA), lambda: (0, 0, 0, 0)
+    records, articles = Observation(), Observation()
+    rows = new_articles(read_delimited(spark, paths, columns, observation=records), *cursor, observation=articles)
+
+    def counts() -> tuple[int, int, int, int]:
+        bad = records.get["bad_records"]
+        return (bad + records.get["good_records"], bad, articles.get["articles"], articles.get["late"])
+
+    return rows, counts
+
+
+def landed_counts(spark: SparkSession, landed: str, cursor: tuple[int, str] | None = None) -> DataFrame:
+    """One row: the sums over landed micro-batches of records, bad records, articles and late ones.
+
+    With a ``cursor``, over those that were landed with it, so since it last moved. A micro-batch that ran twice counts once.
+    """
+    rows = storage.read_or_empty(spark, counts_path(landed), COUNTS_SCHEMA)
+    if cursor is not None:
+        rows = rows.where((F.col("last_seq") == cursor[0]) & (F.col("last_part_basc_dt") == cursor[1]))
+    return rows.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS))
+
+
 def land_new_articles(
     spark: SparkSession,
     folder: str,
@@ -61,14 +102,14 @@ def land_new_articles(
     """Drain new files into ``landed`` and return all that was landed there.
 
     Each micro-batch owns the folder of its number, so a batch that is replayed after a failure
-    replaces its own rows and adds none.
+    replaces its own rows and adds none. Its counts are stored beside, see :func:`landed_counts`.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        # As many paths as a batch has files.
-        paths = sorted(batch.inputFiles()) or sorted(r.path for r in batch.distinct().collect())
-        rows = new_articles(read_delimited(spark, paths, columns), *cursor) if paths else spark.createDataFrame([], NEWS_SCHEMA)
+        rows, counts = counted_articles(spark, batch, columns, cursor)
         rows.write.mode("overwrite").parquet(f"{landed}/batch_id={batch_id}")
+        stored = spark.createDataFrame([(batch_id, *cursor, *counts())], COUNTS_SCHEMA)
+        stored.coalesce(1).write.mode("overwrite").parquet(f"{counts_path(landed)}/batch_id={batch_id}")
 
     run_available(stream_files(spark, folder, max_files_per_trigger, clean_source), checkpoint, land)
     return storage.read_or_empty(spark, landed, NEWS_SCHEMA)
@@ -90,6 +131,7 @@ def prune_landed(spark: SparkSession, landed: str, cursor: tuple[int, str]) -> l
     gone = [n for n in gone if n != newest]
     for name in gone:
         storage.delete(spark, f"{landed}/{name}", recursive=True)
+        storage.delete(spark, f"{counts_path(landed)}/{name}", recursive=True)
     return gone
 
 
@@ -116,7 +158,9 @@ def run_daily_stream(
 
     Files are landed once. What is landed but not yet behind the cursor is processed, so a run that
     failed after landing is made good by the next one. Batches wholly behind the cursor are removed first.
+    Bad records and late articles are those of all files landed since the cursor last moved.
     """
+    counted: dict[str, int] = {}
 
     def load(last_seq: int, last_day: str) -> DataFrame:
         if not settings.get("dry_run"):
@@ -124,6 +168,9 @@ def run_daily_stream(
         landed = land_new_articles(
             spark, folder, columns, layout.landed, layout.stream, (last_seq, last_day), max_files_per_trigger, clean_source
         )
+        counted.update(landed_counts(spark, layout.landed, (last_seq, last_day)).first().asDict())
         return new_articles(landed, last_seq, last_day)
 
-    return run_daily(spark, layout, None, company_path, models, run_dt, load_news=load, **settings)
+    summary = run_daily(spark, layout, None, company_path, models, run_dt, load_news=load, **settings)
+    summary.bad_records, summary.late = counted.get("bad_records"), counted.get("late")
+    return summary
