@@ -191,6 +191,21 @@ ORACLES = {
     "stream_overlap": with_(view("v_news"))
     + f"""SELECT seq, site_name, basc_dt, title, content, coalesce(doc_sentiment, '') AS doc_sentiment, part_basc_dt
         FROM v_news WHERE {LATER_RUN} AND part_basc_dt IS NOT NULL""",
+    "vector_approximate": f"""WITH moved AS (SELECT vec_id, list_transform(embedding,
+            lambda e, i: CAST(e AS DOUBLE) + ((vec_id * 31 + (i - 1) * 17) % 11 - 5) * 0.015::DOUBLE) AS v FROM embeddings),
+        cosines AS (SELECT q.vec_id AS query_id, x.vec_id AS item_id, list_cosine_similarity(q.v, CAST(x.embedding AS DOUBLE[])) AS cos
+          FROM moved q, embeddings x)
+        SELECT query_id, item_id, round({RELEVANCE}, 4) AS score, (SELECT count(*) FROM embeddings) AS answered,
+          CAST(0 AS BIGINT) AS better_than_exact, true AS recall_reached FROM cosines
+        QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(cos, 6) DESC, item_id) = 1""",
+    "serving_lookup": with_(view("v_target"))
+    + f"""SELECT 'customer' AS by, CAST(news_mppg_id AS VARCHAR) AS news_mppg_id FROM v_target WHERE {SERVED} AND etct_cust_no LIKE '0000%8'
+        UNION ALL SELECT 'article', CAST(news_mppg_id AS VARCHAR) FROM v_target
+        WHERE {SERVED} AND seq IN (SELECT item_id FROM benchmark)""",
+    "digest_changes": with_(view("v_company"), CLEAN_COMPANY)
+    + """SELECT cust_no, CASE WHEN CAST(cust_no AS BIGINT) % 7 = 3 THEN 'insert' ELSE 'update' END AS change, CAST(0 AS BIGINT) AS buckets_left
+        FROM company WHERE CAST(cust_no AS BIGINT) % 7 = 3 OR std_inds_clas_nm LIKE 'ECONOMY%'
+        UNION ALL SELECT concat('x', cust_no), 'delete', 0 FROM company WHERE CAST(cust_no AS BIGINT) % 7 = 5""",
     "stream_windows": with_(
         view("v_news"),
         "copies AS (SELECT least(CAST(substr(part_basc_dt, 7, 2) AS INT) + 3, 28) - CAST(substr(part_basc_dt, 7, 2) AS INT) + 1 AS n FROM v_news WHERE part_basc_dt IS NOT NULL)",

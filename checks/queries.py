@@ -15,7 +15,9 @@ from tidings import storage
 from tidings.functions import responses, text, vectors
 from tidings.operators import (
     align,
+    approximate,
     dedup,
+    digest_tree,
     homonyms,
     ids,
     inference,
@@ -321,6 +323,20 @@ def master_delta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def digest_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Companies against a version with other names in one industry, one lacking and one more, and against themselves."""
+    now = storage.materialize(_clean_company(spark, sf).select("cust_no", "clean_cust_nm", "std_inds_clas_nm"), label="companies")
+    old = F.when(F.col("std_inds_clas_nm").startswith("ECONOMY"), F.concat("clean_cust_nm", F.lit("old"))).otherwise(F.col("clean_cust_nm"))
+    before = now.withColumn("clean_cust_nm", old).where("cust_no % 7 <> 3")
+    gone = now.where("cust_no % 7 = 5").withColumn("cust_no", F.concat(F.lit("x"), "cust_no"))
+    stored = digest_tree.KeyedSnapshot(spark, storage.scratch_path(spark, "snapshot"), ["cust_no"], ["clean_cust_nm"])
+    for version in (before.unionByName(gone), now):
+        changes = stored.compare(version)
+        rows = storage.materialize(changes.rows, label="changes")
+        stored.save(version, changes)
+    return rows.select("*", F.lit(len(stored.compare(now).buckets)).cast("bigint").alias("buckets_left"))
+
+
 # --- responses -----------------------------------------------------------------------------------
 
 
@@ -445,6 +461,22 @@ def vector_near_copies(spark: SparkSession, sf: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def vector_approximate(spark: SparkSession, sf: str) -> DataFrame:
+    """Each vector, with every entry moved, to its nearest: exact hits, and whether projections find nine in ten of them."""
+    e = table(spark, sf, "embeddings")
+    step = lambda i: ((F.col("vec_id") * 31 + i * 17) % 11 - 5) * F.lit(0.015)
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + step(i))
+    queries = storage.materialize(e.select(F.col("vec_id").alias("query_key"), moved.alias("query_vec")), label="moved")
+    index = _vector_sides(spark, sf)[1]
+    exact = storage.materialize(nearest.nearest(queries, index), label="exact")
+    found = storage.materialize(approximate.nearest_approximate(queries, index), label="found")
+    told = approximate.recall(found, exact).first()
+    better = found.join(exact.select("query_key", F.col("cos").alias("best")), "query_key").where(F.col("cos") > F.col("best") + 1e-5).count()
+    return _hits(exact).select(
+        "*", F.lit(found.count()).cast("bigint").alias("answered"), F.lit(better).cast("bigint").alias("better_than_exact"),
+        F.lit(told.found >= 0.9 * told.n).alias("recall_reached"))
+
+
 def _embedded(df: DataFrame, column: str) -> DataFrame:
     return storage.materialize(
         inference.embed(df, column, vectors.bigram_encoder, vectors.BIGRAM_ENCODER_ID), label="vectors"
@@ -534,6 +566,16 @@ def serving_export(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(_text_target()).parquet(path)
 
 
+def serving_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Served rows by customer number, and by the numbers of the benchmark items taken for articles."""
+    path = storage.scratch_path(spark, "serving")
+    serving.export_serving(view(spark, sf, "v_target"), path)
+    by_customer = serving.lookup(spark, path, etct_cust_no=[f"{k:06d}" for k in range(8, 100, 10)])
+    wanted = [r.seq for r in table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("seq")).distinct().collect()]
+    by_article = serving.lookup(spark, path, seq=wanted)
+    return by_customer.select(F.lit("customer").alias("by"), "news_mppg_id").unionByName(by_article.select(F.lit("article").alias("by"), "news_mppg_id"))
+
+
 def _text_target() -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in TARGET_SCHEMA.fields])
 
@@ -749,6 +791,7 @@ QUERIES = {
         mapping_rate, serving_filter, serving_export, append_with_ids, idempotent_append, row_chunks,
         retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving, numeric_keys, vector_near_copies,
         delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
-        serving_after_failed_publish, stream_windows, stream_counts, stream_target,
+        serving_after_failed_publish, stream_windows, stream_counts, stream_target, vector_approximate,
+        digest_changes, serving_lookup,
     )
 }

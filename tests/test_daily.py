@@ -215,3 +215,22 @@ def test_dry_run_previews_and_changes_nothing(spark, setting):
     assert [(r.seq, r.etct_cust_no) for r in preview] == [(1, "001"), (2, "002"), (3, "003"), (4, "003")]
     assert summary.preview.columns == daily.PREVIEW_COLUMNS and summary.appended == 0
     assert not (folder / "out").exists() and (folder / "news.csv").exists()
+
+
+def test_names_are_looked_for_only_where_digests_changed(spark, setting, monkeypatch):
+    run, layout, _, folder = setting
+    asked = []
+    real = daily.refresh_name_vectors
+
+    def seen(names, *args, **kwargs):
+        asked.append(sorted(r.clean_cust_nm for r in names.collect()))
+        return real(names, *args, **kwargs)
+
+    monkeypatch.setattr(daily, "refresh_name_vectors", seen)
+    assert run().refreshed and len(asked) == 1 and len(asked[0]) == 2
+    put(folder / "news.csv", NEWS_HEAD, news((10, "20260107", "Beta Motors", "cars")))
+    assert run("20260107").refreshed and len(asked) == 1  # equal roots
+    put(folder / "company.csv", COMPANY_HEAD, [*COMPANIES, ("004", "Gamma Ships", "M1", "ships", "tugs", "20260101")])
+    put(folder / "news.csv", NEWS_HEAD, news((11, "20260108", "Gamma Ships", "tugs")))
+    assert run("20260108").appended == 1
+    assert asked[1:] == [["gammaships"]]

@@ -123,8 +123,9 @@ def best_in_cells(
     )
     # As many rows as full tiles at most; Spark decides how to join them.
     parts = storage.materialize(large, label="large-cells")
-    # Cells of one tile share as many tiles as keep them small, and all tasks busy.
-    packs = max(queries.sparkSession.sparkContext.defaultParallelism, -(-index_cells.count() // max(index_rows // 4, 1)))
+    # Cells of one tile share as many tiles as keep them small on both sides, and all tasks busy.
+    needs = (-(-cells.count() // max(rows // 4, 1)) for cells, rows in ((index_cells, index_rows), (query_cells, query_rows)))
+    packs = max(queries.sparkSession.sparkContext.defaultParallelism, *needs)
 
     def tiled(rows: DataFrame, own: str, key: str, other: str) -> DataFrame:
         """Each row in its own part, once for every part of the other side."""

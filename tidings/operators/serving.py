@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
 from ..schema import PARTITION_COLUMN, TARGET_COLUMNS, TARGET_SCHEMA
@@ -14,6 +17,10 @@ _MISSING = ["NONE", "NAN", "NULL"]
 _CLASS_EXCLUDED = ["NOISE", *_MISSING]
 
 
+#: Columns that readers look rows up by.
+LOOKUP_COLUMNS = ["etct_cust_no", "seq"]
+
+
 def _says_something(name: str, excluded: list[str]):
     text = F.upper(strip(name))
     return text.isNotNull() & ~text.isin("", *excluded)
@@ -44,23 +51,37 @@ def of_days(target: DataFrame, days: DataFrame) -> DataFrame:
     return named.unionByName(target.where(F.col(PARTITION_COLUMN).isNull()))
 
 
+def _with_filters(writer: DataFrameWriter, columns: Sequence[str]) -> DataFrameWriter:
+    """Parquet bloom filters for ``columns``, as small as their values allow."""
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in columns:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    return writer
+
+
+def lookup(spark: SparkSession, path: str, **values: str | Sequence[str]) -> DataFrame:
+    """Served rows with one of the values given for each column, such as ``seq="17"`` or ``etct_cust_no=["001", "002"]``.
+
+    Both are plain filters that reach the scan. A customer's rows stand together in each day's files; for an article the
+    bloom filters tell which row groups can hold it. So row groups without such rows aren't read.
+    """
+    rows = spark.read.schema(StructType([StructField(c, StringType()) for c in TARGET_COLUMNS])).parquet(path)
+    for column, value in values.items():
+        rows = rows.where(F.col(column).isin([value] if isinstance(value, str) else list(value)))
+    return rows.select(*TARGET_COLUMNS)
+
+
 def export_serving(target: DataFrame, path: str, days: DataFrame | None = None, counts: Observation | None = None) -> None:
     """Replace the serving copy, or only the day partitions in ``days`` (a stored table) of it.
 
-    Rows are sorted by customer and article inside each file, so that lookups by either skip row
-    groups; this takes the place of indexes. ``counts`` gets the rows ``considered`` and ``served``.
+    Rows are sorted by customer and article inside each file, and both have bloom filters, so that a :func:`lookup` by either
+    skips row groups; this takes the place of indexes. ``counts`` gets the rows ``considered`` and ``served``.
     """
     if days is not None:
         target = of_days(target, days)
     if counts is not None:
         target = target.observe(counts, F.count("*").alias("considered"), F.count_if(is_served()).alias("served"))
     mode = "static" if days is None else "dynamic"
-    (
-        serving_rows(target)
-        .hint("rebalance", PARTITION_COLUMN)
-        .sortWithinPartitions(PARTITION_COLUMN, "etct_cust_no", "seq")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(path)
-    )
+    rows = serving_rows(target).hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(PARTITION_COLUMN, "etct_cust_no", "seq")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(PARTITION_COLUMN)
+    _with_filters(writer, LOOKUP_COLUMNS).parquet(path)

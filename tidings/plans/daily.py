@@ -8,6 +8,7 @@ largest published id, which is saved last, so that what a failed run left out is
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.vectors import BIGRAM_ENCODER_ID, bigram_encoder
-from ..operators import homonyms, matching
+from ..operators import digest_tree, homonyms, matching
 from ..operators.align import keep_present, to_target
 from ..operators.dedup import keep_first
 from ..operators.inference import DEFAULT_TEMPLATE, embed, extract_articles
@@ -61,6 +62,7 @@ class Layout:
     target: str = field(init=False)
     serving: str = field(init=False)
     name_vectors: str = field(init=False)
+    name_digests: str = field(init=False)
     state: str = field(init=False)
     runs: str = field(init=False)
     landed: str = field(init=False)
@@ -69,7 +71,7 @@ class Layout:
     ledger: str = field(init=False)
 
     def __post_init__(self) -> None:
-        for name in ("target", "serving", "name_vectors", "state", "runs", "landed", "stream", "batches", "ledger"):
+        for name in ("target", "serving", "name_vectors", "name_digests", "state", "runs", "landed", "stream", "batches", "ledger"):
             setattr(self, name, f"{self.root.rstrip('/')}/{name}")
 
 
@@ -222,18 +224,25 @@ class _Run:
         return self.stage("inputs", lambda: self.spark.createDataFrame(states, _INPUT_SCHEMA).coalesce(1))
 
     def name_vectors(self, master: DataFrame, summary: Summary) -> DataFrame:
-        """Stored vectors, after embedding the names they lack; a dry run keeps new ones to itself."""
-        read = lambda path: storage.read_or_empty(self.spark, path, NAME_VECTOR_SCHEMA)
-        path = f"{self.folder}/name_vectors" if self.dry_run else self.layout.name_vectors
-        stored = read(self.layout.name_vectors)
-        summary.refreshed = refresh_name_vectors(
-            master,
-            stored,
-            self.models.encode,
-            self.models.encoder_id,
-            lambda rows: rows.write.mode("append").parquet(path),
-            tasks=self.models.tasks,
-        )
+        """Stored vectors, after embedding the names they lack; a dry run keeps new ones to itself.
+
+        Names are looked for only in buckets whose digest isn't that of the last refresh; without any, nothing is read.
+        """
+        spark, layout, encoder_id = self.spark, self.layout, self.models.encoder_id
+        read = lambda path: storage.read_or_empty(spark, path, NAME_VECTOR_SCHEMA)
+        path = f"{self.folder}/name_vectors" if self.dry_run else layout.name_vectors
+        stored = read(layout.name_vectors)
+        names = master.select("clean_cust_nm").distinct()
+        held = f"{layout.name_digests}/{hashlib.md5(encoder_id.encode()).hexdigest()}"
+        now = storage.materialize(digest_tree.digests(names, ["clean_cust_nm"], []), label="name-digests")
+        known = digest_tree.load(spark, held) if storage.exists(spark, layout.name_vectors) else None
+        buckets = None if known is None else digest_tree.changed_buckets(now, known)
+        if buckets is not None:
+            names = names.where(digest_tree.bucket_of(["clean_cust_nm"]).isin(buckets))
+        summary.refreshed = buckets == [] or refresh_name_vectors(
+            names, stored, self.models.encode, encoder_id, lambda rows: rows.write.mode("append").parquet(path), tasks=self.models.tasks)
+        if summary.refreshed and buckets != [] and not self.dry_run:
+            digest_tree.store(now, held)
         return read(path).unionByName(stored) if self.dry_run else read(path)
 
     def extract_and_map(self, raw: DataFrame, load_master: Callable[[], DataFrame], summary: Summary) -> DataFrame:
