@@ -55,7 +55,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per document: doc_id, number and checksum of its ids, and whether decoding gives the text back."""
-    return pieces.report(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    # Fewer words are kept than by default, as executors hold what the earlier stages have left.
+    return pieces.report(docs, public_tokenizers.path("piece_bpe_32k.model"), kept_words=300_000)
 
 
 STAGES = [

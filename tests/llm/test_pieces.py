@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidings.llm import pieces
+from tidings.llm.word_ids import WordIds
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -82,3 +83,20 @@ def test_tables(docs, none, model):
     assert pieces.report(none, PATH).collect() == []
     with pytest.raises(ValueError):
         pieces.encode(docs, PATH, name="x")
+
+
+def test_known_words_are_not_learned_again():
+    learned = []
+    lookup = WordIds(lambda words: learned.extend(words) or [[len(w), ord(w[0])] for w in words], 40)
+
+    def look(words):
+        ids, bounds = lookup(pa.array(words), np.array([0, len(words)]))
+        assert ids.tolist() == [i for w in words for i in (len(w), ord(w[0]))] and bounds.tolist() == [0, 2 * len(words)]
+
+    common = [f"common{k}" for k in range(10)]
+    for k in range(20):  # rare words come and go; those of every turn stay
+        look([*common, *(f"{k}rare{j}" for j in range(4))] * 2)
+        assert len(lookup.index) <= 20 and len(lookup.old[0]) <= 20
+    assert [learned.count(w) for w in common] == [1] * 10 and len(learned) == 90
+    look([f"many{k}" for k in range(100)])  # more than is kept, in one call
+    look([])

@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..storage import materialize, scratch_path
 from .batches import SLICE_BYTES, slices, split_words
-from .word_ids import KEPT_WORDS, WordIds
+from .word_ids import KEPT_WORDS, Recent, WordIds
 
 MAGIC = b"TIDBITS1"
 BLOCK = 1 << 16
@@ -183,15 +184,15 @@ def _learner(tokenizer):
         return whole
     if any(not t["content"].startswith("<|") for t in made["added_tokens"]):
         return whole
-    plain, letters, tokenize, parts = re.compile(_PLAIN).fullmatch, _byte_letters(), tokenizer.model.tokenize, {}
+    plain, letters, tokenize, parts = re.compile(_PLAIN).fullmatch, _byte_letters(), tokenizer.model.tokenize, Recent(KEPT_WORDS)
 
     def ids(part: str) -> list[int]:
-        if part not in parts:
-            if len(parts) > KEPT_WORDS:
-                parts.clear()
+        known = parts.get(part)
+        if known is None:
             shown = part if part.isascii() else "".join([letters[b] for b in part.encode()])
-            parts[part] = [t.id for t in tokenize(shown)]
-        return parts[part]
+            known = [t.id for t in tokenize(shown)]
+            parts.put(part, known)
+        return known
 
     def learn(words: list[str]) -> list[list[int]]:
         found = [plain(w) for w in words]
@@ -201,10 +202,11 @@ def _learner(tokenizer):
     return learn
 
 
+@lru_cache(maxsize=1)
 def _encoder(path: str):
     """(ids, numbers of ids) of texts by a tokenizers file, which sees each distinct white-space word; and its vocabulary.
 
-    The file must not join words across ASCII white space.
+    The next task in the same process finds the words that this one has learned. The file must not join words across ASCII white space.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     import tokenizers

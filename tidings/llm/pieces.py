@@ -21,6 +21,7 @@ import heapq
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,18 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .batches import ranges, slices
-from .word_ids import WordIds
+from .word_ids import Recent, WordIds
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Parts of words and pairs of pieces whose results a task keeps; beyond that it starts afresh.
-KEPT_PARTS, KEPT_PAIRS = 200_000, 200_000
+#: Parts of words and pairs of pieces whose results a process keeps.
+KEPT_PARTS, KEPT_PAIRS = 400_000, 400_000
 
 
 class Transducer:
     """A byte-pair SentencePiece model with byte fallback and without a character map."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_parts: int = KEPT_PARTS):
         import ahocorasick
         from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -72,13 +73,14 @@ class Transducer:
         if any(c not in self.ids for p in self.ids for c in p):
             raise ValueError("each character of a piece must be a piece")
         self.arcs = ahocorasick.Automaton()
-        for p in self.ids:
-            self.arcs.add_word(p, p)
+        for p, k in self.ids.items():
+            self.arcs.add_word(p, k)
         self.arcs.make_automaton()
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self._parts: dict[str, list[int]] = {}
-        self._apart: dict[tuple[str, str], bool] = {}
-        self._whole: dict[str, bool] = {}
+        self.names = [p.piece for p in model.pieces]
+        self.sizes = [len(p) for p in self.names]
+        self._parts, self._apart = Recent(kept_parts), Recent(KEPT_PAIRS)
+        self._whole: dict[int, bool] = {}
 
     def merged(self, symbols: list[str]) -> list[str]:
         """What the merges make of the symbols: the neighbours of least weight first, of equal ones the leftmost."""
@@ -120,38 +122,43 @@ class Transducer:
                     heapq.heappush(heap, (weight[both], before[k], symbols[before[k]], a + b))
         return [s for s in symbols if s]
 
-    def apart(self, a: str, b: str) -> bool:
-        """True if the merges leave ``a`` and ``b`` as two pieces."""
-        key = (a, b)
-        known = self._apart.get(key)
-        if known is None:
-            if len(self._apart) > KEPT_PAIRS:
-                self._apart.clear()
-            known = self._apart[key] = self.merged(list(a + b)) == [a, b]
-        return known
+    def apart(self, a: int, b: int) -> bool:
+        """True if the merges leave the pieces ``a`` and ``b`` as two."""
+        left, right = self.names[a], self.names[b]
+        found = self.merged(list(left + right)) == [left, right]
+        self._apart.put(a << 20 | b, found)
+        return found
 
-    def whole(self, a: str) -> bool:
-        """True if the merges make one piece of ``a``."""
+    def whole(self, a: int) -> bool:
+        """True if the merges make one piece of the letters of ``a``."""
         known = self._whole.get(a)
         if known is None:
-            known = self._whole[a] = self.merged(list(a)) == [a]
+            known = self._whole[a] = self.merged(list(self.names[a])) == [self.names[a]]
         return known
 
     def path(self, word: str) -> list[int]:
         """Ids of the path of least weight through the lattice of a word; its marks, if any, stand before the rest."""
-        ids, n = self.ids, len(word)
-        last: list[str | None] = [None] * (n + 1)  # the piece that ends here, or None for the start and for bytes
+        n, sizes, kept = len(word), self.sizes, self._apart
+        last = [-1] * (n + 1)  # the piece that ends here, or -1 for the start and for bytes
         start = list(range(-1, n))
         done = bytearray(n + 1)
         for end, piece in self.arcs.iter(word):  # by their ends; of one end, the longest first
-            j, i = end + 1, end + 1 - len(piece)
-            if not done[j] and (self.whole(piece) if last[i] is None else self.apart(last[i], piece)):
+            j = end + 1
+            if done[j]:
+                continue
+            i = j - sizes[piece]
+            left = last[i]
+            if left < 0:
+                finite = self.whole(piece)
+            elif (finite := kept.young.get(left << 20 | piece)) is None and (finite := kept.get(left << 20 | piece)) is None:
+                finite = self.apart(left, piece)
+            if finite:
                 last[j], start[j], done[j] = piece, i, 1  # the only finite weight
         out: list[int] = []
         j = n
         while j:
             i = start[j]
-            out.extend([ids[last[j]]] if last[j] is not None else [self.bytes[b] for b in reversed(word[i:j].encode())])
+            out.extend([last[j]] if last[j] >= 0 else [self.bytes[b] for b in reversed(word[i:j].encode())])
             j = i
         return out[::-1]
 
@@ -161,21 +168,21 @@ class Transducer:
         out: list[int] = []
         for a, b in zip(cuts, cuts[1:]):
             part = word[a:b]
-            if part not in self._parts:
-                if len(self._parts) > KEPT_PARTS:
-                    self._parts.clear()
-                self._parts[part] = self.path(part)
-            out += self._parts[part]
+            known = self._parts.get(part)
+            if known is None:
+                known = self.path(part)
+                self._parts.put(part, known)
+            out += known
         return out
 
 
 class Encoder:
     """Ids of batches of texts."""
 
-    def __init__(self, fst: Transducer):
+    def __init__(self, fst: Transducer, kept_words: int | None = None):
         self.fst = fst
         self.lone = fst.ids[MARK]
-        self.lookup = WordIds(lambda words: [fst.word(w if w[:1] == "\n" else MARK + w) for w in words])
+        self.lookup = WordIds(lambda words: [fst.word(w if w[:1] == "\n" else MARK + w) for w in words], kept_words)
         self.runs: dict[int, list[int]] = {}
         self.break_at = not any("\n" in p for p in fst.ids)
 
@@ -230,6 +237,12 @@ class Decoder:
         return [raw[a + (raw[a : a + 1] == b" ") : b].decode("utf-8", "replace") if b > a else "" for a, b in zip(bounds, bounds[1:])]
 
 
+@lru_cache(maxsize=1)
+def _encoder(model: str, kept_words: int | None = None) -> Encoder:
+    """The encoder of a process, which the next task in it finds with the words it has learned."""
+    return Encoder(Transducer(model, KEPT_PARTS if kept_words is None else kept_words // 2), kept_words)
+
+
 def _rows(docs: DataFrame, column: str) -> DataFrame:
     return docs.select(F.col(column).alias("x"), F.struct(*(c for c in docs.columns if c != column)).alias("row")) if len(docs.columns) > 1 else docs.select(F.col(column).alias("x"), F.struct(F.lit(0)).alias("row"))
 
@@ -249,7 +262,7 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", name: str = "ids
         raise ValueError(f"the table already has a column {name}")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Transducer(model))
+        encoder = _encoder(model)
         for whole in batches:
             at = 0
             for batch in slices(iter([whole]), "x"):
@@ -269,7 +282,7 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", name: str = "decod
         raise ValueError(f"the table already has a column {name}")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(Transducer(model))
+        decoder = Decoder(_encoder(model).fst)
         for batch in batches:
             lists = batch.column(0)
             lengths = np.asarray(pc.list_value_length(lists).fill_null(0)).astype(np.int64)
@@ -280,17 +293,18 @@ def decode(docs: DataFrame, model: str, ids_col: str = "ids", name: str = "decod
     return _back(rows.mapInArrow(each, StructType([*rows.schema.fields, StructField("y", StringType())])), docs, ids_col, name)
 
 
-def report(docs: DataFrame, model: str) -> DataFrame:
+def report(docs: DataFrame, model: str, kept_words: int | None = None) -> DataFrame:
     """One row per document: doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit numbers), decoded_sha256, and
     whether decoding gave the text back.
 
+    A process keeps the ids of ``kept_words`` words, and parts of words of half that number (``KEPT_WORDS`` unless given).
     Marks (U+2581) in a text are spaces to the model and come back as such. Encoding and decoding are one pass, so that a
     task has one Python process and ids needn't leave it.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fst = Transducer(model)
-        encoder, decoder = Encoder(fst), Decoder(fst)
+        encoder = _encoder(model, kept_words)
+        decoder = Decoder(encoder.fst)
         for batch in slices(batches, "text"):
             ids, ends = encoder(batch.column(1))
             raw, bounds = ids.astype("<u4").tobytes(), (4 * ends).tolist()
