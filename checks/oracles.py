@@ -202,6 +202,11 @@ ORACLES = {
     + f"""SELECT 'customer' AS by, CAST(news_mppg_id AS VARCHAR) AS news_mppg_id FROM v_target WHERE {SERVED} AND etct_cust_no LIKE '0000%8'
         UNION ALL SELECT 'article', CAST(news_mppg_id AS VARCHAR) FROM v_target
         WHERE {SERVED} AND seq IN (SELECT item_id FROM benchmark)""",
+    "stream_archive": with_(view("v_news")) + "SELECT CASE WHEN seq % 2 = 0 THEN 'archive' ELSE 'source' END AS place, seq FROM v_news",
+    "catalog_retention": with_(view("v_target"), "t AS (SELECT seq, news_tite, CASE WHEN seq % 9 <> 0 THEN basc_dt END AS basc_dt FROM v_target)")
+    + """SELECT *, (SELECT count(DISTINCT basc_dt) FROM t WHERE basc_dt < '2026.01.14') AS dropped,
+        (SELECT count(DISTINCT coalesce(basc_dt, '')) FROM t WHERE coalesce(basc_dt, '9') >= '2026.01.14') AS partitions_left
+        FROM t WHERE coalesce(basc_dt, '9') >= '2026.01.14'""",
     "digest_changes": with_(view("v_company"), CLEAN_COMPANY)
     + """SELECT cust_no, CASE WHEN CAST(cust_no AS BIGINT) % 7 = 3 THEN 'insert' ELSE 'update' END AS change, CAST(0 AS BIGINT) AS buckets_left
         FROM company WHERE CAST(cust_no AS BIGINT) % 7 = 3 OR std_inds_clas_nm LIKE 'ECONOMY%'

@@ -189,6 +189,20 @@ def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("*", *(F.lit(n).cast("bigint").alias(c) for c, n in counts.asDict().items()))
 
 
+def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the records of files are after two drains that archive what they took: those of the second are still in the source."""
+    root, archive = storage.scratch_path(spark, "feed"), storage.scratch_path(spark, "archive")
+    feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS)
+    landed, checkpoint = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "stream-state")
+    for k in range(2):
+        _write_delimited(feed.where(F.col("seq") % 2 == k), f"{root}/files{k}", 1)
+        incremental.land_new_articles(
+            spark, f"{root}/files*/part=0", NEWS_FEED_COLUMNS, landed, checkpoint, CURSOR, clean_source="archive", archive=archive)
+    left = {"source": f"{root}/files*/part=0", "archive": f"{archive}/*" + "/*" * root.removeprefix("file:").strip("/").count("/") + "/files*/part=0"}
+    read = lambda place: delimited.read_delimited(spark, left[place], NEWS_FEED_COLUMNS).select(F.lit(place).alias("place"), F.col("seq").cast("bigint").alias("seq"))
+    return read("source").unionByName(read("archive"))
+
+
 def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of landed files, some with short records, after the last micro-batch has run twice."""
     source = _news_files(spark, sf)
@@ -652,6 +666,18 @@ def retention_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return retention.expired(named, today="20240130")
 
 
+def catalog_retention(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left of a catalog table, some of its rows without a day, when its expired partitions are dropped."""
+    name = f"target_{uuid.uuid4().hex}"
+    load.create_target_table(spark, name, storage.scratch_path(spark, "catalog"))
+    day = F.when(F.col("seq") % 9 != 0, F.col("basc_dt"))
+    load.insert_with_ids(spark, align.align(view(spark, sf, "v_target").withColumn("basc_dt", day), TARGET_SCHEMA), name, _LOAD_ORDER)
+    gone = retention.drop_expired_partitions(spark, name, today="20260128", days=14, remove_files=True)
+    partitions = retention.catalog_partitions(spark, name).count()
+    return spark.table(name).select(
+        "seq", "news_tite", "basc_dt", F.lit(len(gone)).cast("bigint").alias("dropped"), F.lit(partitions).cast("bigint").alias("partitions_left"))
+
+
 def dup_audit(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_audit(view(spark, sf, "v_target"))
 
@@ -792,6 +818,6 @@ QUERIES = {
         retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving, numeric_keys, vector_near_copies,
         delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
         serving_after_failed_publish, stream_windows, stream_counts, stream_target, vector_approximate,
-        digest_changes, serving_lookup,
+        digest_changes, serving_lookup, stream_archive, catalog_retention,
     )
 }

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Observation
 
-from tidings.operators import load
+from tidings.operators import load, retention
 from tidings.schema import NEWS_COLUMNS, TARGET_COLUMNS
 from tidings.sources import company, delimited, files, news, warehouse
 from tidings.streaming import incremental
@@ -224,3 +224,33 @@ def test_catalog_table(spark, tmp_path):
     assert [i for i, _ in got] == [1, 2, 3] and got[0][1] == 1
     assert {r.news_tite for r in out.where("seq = 2").collect()} == {"a b"}
     spark.sql("DROP TABLE news_target")
+
+
+@pytest.mark.parametrize("remove_files", [False, True])
+def test_expired_partitions_leave_the_catalog(spark, tmp_path, remove_files):
+    name = f"kept_{int(remove_files)}"
+    load.create_target_table(spark, name, str(tmp_path / "t"))
+    days = ["2026.01.01", "2026.01.13", "2026.01.14", None, "it's odd", "2026.13.99"]
+    rows = spark.createDataFrame([(k, "1", d) for k, d in enumerate(days)], "seq bigint, etct_cust_no string, basc_dt string")
+    load.insert_with_ids(spark, rows, name)
+    assert {r.basc_dt for r in retention.catalog_partitions(spark, name).collect()} == set(days)
+    drop = lambda: retention.drop_expired_partitions(spark, name, "20260128", 14, remove_files=remove_files)
+    assert drop() == days[:2] and drop() == []
+    assert {r.basc_dt for r in spark.table(name).collect()} == set(days[2:])
+    assert {r.basc_dt for r in retention.catalog_partitions(spark, name).collect()} == set(days[2:])
+    assert (tmp_path / "t" / "basc_dt=2026.01.01").exists() is not remove_files and (tmp_path / "t" / "basc_dt=2026.01.14").exists()
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_taken_files_are_archived_when_the_next_batch_begins(spark, tmp_path):
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    columns = ["seq", "title", "part_basc_dt"]
+    record = lambda n: "||".join([SEP.join(columns), SEP.join([str(n), "t", "20260106"])])
+    args = (spark, str(feed), columns, str(tmp_path / "landed"), str(tmp_path / "state"), (0, "20260101"))
+    for n, left in ((1, ["1.csv"]), (2, ["2.csv"]), (3, ["3.csv"])):
+        put(feed, f"{n}.csv", record(n))
+        out = incremental.land_new_articles(*args, clean_source="archive", archive=str(tmp_path / "archive"))
+        assert sorted(r.seq for r in out.collect()) == list(range(1, n + 1))
+        assert sorted(p.name for p in feed.iterdir() if p.name[0] != ".") == left
+    assert sorted(p.name for p in (tmp_path / "archive").rglob("*.csv") if p.name[0] != ".") == ["1.csv", "2.csv"]

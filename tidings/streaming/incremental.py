@@ -98,11 +98,15 @@ def land_new_articles(
     cursor: tuple[int, str],
     max_files_per_trigger: int | None = None,
     clean_source: str = "off",
+    archive: str | None = None,
 ) -> DataFrame:
     """Drain new files into ``landed`` and return all that was landed there.
 
     Each micro-batch owns the folder of its number, so a batch that is replayed after a failure
     replaces its own rows and adds none. Its counts are stored beside, see :func:`landed_counts`.
+
+    With ``clean_source="archive"`` a file moves to ``archive``, below its own path, once the micro-batch after its own
+    begins; so the files of a call's last micro-batch move in the next call that finds new ones.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
@@ -111,7 +115,7 @@ def land_new_articles(
         stored = spark.createDataFrame([(batch_id, *cursor, *counts())], COUNTS_SCHEMA)
         stored.coalesce(1).write.mode("overwrite").parquet(f"{counts_path(landed)}/batch_id={batch_id}")
 
-    run_available(stream_files(spark, folder, max_files_per_trigger, clean_source), checkpoint, land)
+    run_available(stream_files(spark, folder, max_files_per_trigger, clean_source, archive), checkpoint, land)
     return storage.read_or_empty(spark, landed, NEWS_SCHEMA)
 
 
@@ -152,6 +156,7 @@ def run_daily_stream(
     run_dt: str,
     max_files_per_trigger: int | None = None,
     clean_source: str = "off",
+    archive: str | None = None,
     **settings,
 ) -> Summary:
     """:func:`run_daily` with the files of ``folder`` taken as a stream.
@@ -166,7 +171,7 @@ def run_daily_stream(
         if not settings.get("dry_run"):
             prune_landed(spark, layout.landed, (last_seq, last_day))
         landed = land_new_articles(
-            spark, folder, columns, layout.landed, layout.stream, (last_seq, last_day), max_files_per_trigger, clean_source
+            spark, folder, columns, layout.landed, layout.stream, (last_seq, last_day), max_files_per_trigger, clean_source, archive
         )
         counted.update(landed_counts(spark, layout.landed, (last_seq, last_day)).first().asDict())
         return new_articles(landed, last_seq, last_day)
