@@ -207,6 +207,9 @@ ORACLES = {
     + """SELECT *, (SELECT count(DISTINCT basc_dt) FROM t WHERE basc_dt < '2026.01.14') AS dropped,
         (SELECT count(DISTINCT coalesce(basc_dt, '')) FROM t WHERE coalesce(basc_dt, '9') >= '2026.01.14') AS partitions_left
         FROM t WHERE coalesce(basc_dt, '9') >= '2026.01.14'""",
+    "snapshot_manifest": "SELECT *, (SELECT count(*) FROM orders) AS rows FROM orders",
+    "new_chunks": """SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 8 + 1 AS BIGINT) AS chunk_idx FROM orders
+        WHERE o_orderkey % 8 + 1 > 5""",
     "digest_changes": with_(view("v_company"), CLEAN_COMPANY)
     + """SELECT cust_no, CASE WHEN CAST(cust_no AS BIGINT) % 7 = 3 THEN 'insert' ELSE 'update' END AS change, CAST(0 AS BIGINT) AS buckets_left
         FROM company WHERE CAST(cust_no AS BIGINT) % 7 = 3 OR std_inds_clas_nm LIKE 'ECONOMY%'

@@ -28,6 +28,7 @@ from tidings.operators import (
     quality,
     retention,
     serving,
+    snapshot,
     state,
 )
 from tidings.plans import daily
@@ -66,6 +67,14 @@ def table_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.whole_table(spark, "customer")
 
 
+def snapshot_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table, written and read back whole, with what its manifest counts."""
+    table(spark, sf, "orders").createOrReplaceTempView("orders")
+    path = storage.scratch_path(spark, "snapshot")
+    told = snapshot.write_snapshot(warehouse.whole_table(spark, "orders"), path)
+    return snapshot.read_snapshot(spark, path, check_rows=True).withColumn("rows", F.lit(told["rows"]).cast("bigint"))
+
+
 def empty_to_null(spark: SparkSession, sf: str) -> DataFrame:
     view(spark, sf, "v_news").createOrReplaceTempView("v_news")
     return warehouse.fetch(spark, "SELECT seq, trim(title) AS title, basc_dt, site_name FROM v_news")
@@ -83,6 +92,16 @@ def new_file_scan(spark: SparkSession, sf: str) -> DataFrame:
     return files.new_numbered_files(listing, last_done=5)
 
 
+def new_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders in eight numbered files, of which the first five are done."""
+    path = storage.scratch_path(spark, "chunks")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    orders.withColumn("part", F.pmod("o_orderkey", F.lit(8)) + 1).repartition("part").write.partitionBy("part").parquet(f"{path}-parts")
+    for k, file in ((int(f.rpartition("/part=")[2].partition("/")[0]), f) for f in storage.files_at(spark, f"{path}-parts/part=*")):
+        storage.move(spark, file, f"{path}/chunk_{k}.parquet")
+    return files.read_new_chunks(spark, path, 5, orders.schema)
+
+
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     return files.union_by_name(
         table(spark, sf, "customer").select(
@@ -818,6 +837,6 @@ QUERIES = {
         retention_partitions, dup_audit, run_summary, daily_run, daily_run_serving, numeric_keys, vector_near_copies,
         delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
         serving_after_failed_publish, stream_windows, stream_counts, stream_target, vector_approximate,
-        digest_changes, serving_lookup, stream_archive, catalog_retention,
+        digest_changes, serving_lookup, stream_archive, catalog_retention, snapshot_manifest, new_chunks,
     )
 }

@@ -59,6 +59,19 @@ def new_numbered_files(listing: DataFrame, last_done: int, name: str = "file_nam
     )
 
 
+def read_new_chunks(spark: SparkSession, folder: str, last_done: int, schema: StructType | str | None = None) -> DataFrame:
+    """The rows of the files ``chunk_<n>.parquet`` in ``folder`` with ``n > last_done``, with their ``chunk_idx``.
+
+    The condition is on the file's name alone, so that Spark drops other files while it plans and doesn't open them. With a
+    ``schema`` no file is opened for its footer either.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    digits = F.regexp_extract("_metadata.file_name", NUMBERED_FILE, 1)
+    number = F.when(digits != "", digits).try_cast("bigint")
+    rows = reader.parquet(folder)
+    return rows.where(number > last_done).select(*rows.columns, number.alias("chunk_idx"))
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Names of the files in ``folder``; file contents are not read."""
     return (

@@ -103,6 +103,15 @@ def create_once(spark: SparkSession, path: str, data: bytes, replace: bool = Fal
         raise FileExistsError(path)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file another name, in a folder that is made if need be; a file of that name is an error."""
+    fs, p = _fs(spark, path)
+    _, target = _fs(spark, to)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(p, target):
+        raise FileExistsError(to)
+
+
 def files_at(spark: SparkSession, pattern: str) -> list[str]:
     """The files that a path or glob names, or that stand in a folder it names, as Spark would read them."""
     fs, p = _fs(spark, pattern)
