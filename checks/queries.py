@@ -214,10 +214,10 @@ def stream_archive(spark: SparkSession, sf: str) -> DataFrame:
     feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS)
     landed, checkpoint = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "stream-state")
     for k in range(2):
-        _write_delimited(feed.where(F.col("seq") % 2 == k), f"{root}/files{k}", 1)
+        _write_delimited(feed.where(F.col("seq") % 2 == k), f"{root}/files{k}", 2)
         incremental.land_new_articles(
-            spark, f"{root}/files*/part=0", NEWS_FEED_COLUMNS, landed, checkpoint, CURSOR, clean_source="archive", archive=archive)
-    left = {"source": f"{root}/files*/part=0", "archive": f"{archive}/*" + "/*" * root.removeprefix("file:").strip("/").count("/") + "/files*/part=0"}
+            spark, f"{root}/files*/part=*", NEWS_FEED_COLUMNS, landed, checkpoint, CURSOR, clean_source="archive", archive=archive)
+    left = {"source": f"{root}/files*/part=*", "archive": f"{archive}/*" + "/*" * root.removeprefix("file:").strip("/").count("/") + "/files*/part=*"}
     read = lambda place: delimited.read_delimited(spark, left[place], NEWS_FEED_COLUMNS).select(F.lit(place).alias("place"), F.col("seq").cast("bigint").alias("seq"))
     return read("source").unionByName(read("archive"))
 
@@ -227,9 +227,11 @@ def stream_counts(spark: SparkSession, sf: str) -> DataFrame:
     source = _news_files(spark, sf)
     short = view(spark, sf, "v_news").where("seq % 10 = 0").select("seq", "p_seq", "channel")
     line = F.concat_ws(delimited.FIELD_SEP, "seq", "p_seq", "channel")
-    head = spark.range(1).select(F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
-    rows = head.unionByName(short.select(F.lit(1).alias("pos"), line.alias("value"))).repartition(1).sortWithinPartitions("pos")
-    rows.select("value").write.option("lineSep", delimited.RECORD_SEP).text(f"{source}/part=9")
+    part = (F.pmod("seq", F.lit(20)) / 10 + 8).cast("int")
+    head = spark.range(8, 10).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
+    rows = head.unionByName(short.select(part.alias("part"), F.lit(1).alias("pos"), line.alias("value")))
+    rows = rows.repartitionByRange(2, "part").sortWithinPartitions("part", "pos")
+    rows.select("part", "value").write.option("lineSep", delimited.RECORD_SEP).mode("append").partitionBy("part").text(source)
     landed, checkpoint = storage.scratch_path(spark, "landed"), storage.scratch_path(spark, "stream-state")
     for turn in range(2):
         incremental.land_new_articles(spark, source + "/part=*", NEWS_FEED_COLUMNS, landed, checkpoint, CURSOR, max_files_per_trigger=3)
