@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from tidings.llm import html_paths
@@ -110,3 +112,62 @@ def test_many_comments_do_not_replace_a_short_article():
     comments = "<div id=comments>" + f"<p>{PROSE} I said, so.</p>" * 50 + "</div>"
     assert text(f"<article><p>{PROSE}</p></article>{comments}") == PROSE
     assert text(f"<div id=post><h1>Title</h1><p>{PROSE}</p></div>{comments}") == f"Title {PROSE}"
+
+
+@pytest.mark.parametrize("names", ["comment-body", "comment", "related-card", "teaser", "reply comment depth-2"])
+def test_articles_that_are_comments_or_teasers(names):
+    page = f'<main><article><h1>Title</h1><p>{PROSE}</p></article><div><article class="{names}"><p>{PROSE} I said, so.</p></article></div></main>'
+    assert text(page) == f"Title {PROSE}"
+
+
+def test_opinions_of_readers():
+    page = f'<main><article><h1>Title</h1><p>{PROSE}</p></article><div class="user-opinions"><p>{PROSE} I said, so.</p></div></main>'
+    assert text(page) == f"Title {PROSE}"
+    assert text(f'<main><article class="opinion"><h1>Title</h1><p>{PROSE}</p></article></main>') == f"Title {PROSE}"
+
+
+def test_names_of_inline_elements_say_nothing():
+    assert text(f'<article><p>One <span class="search-hit">word</span> here, so. <a class="ad" href=x>{PROSE}</a></p></article>') == f"One word here, so. {PROSE}"
+
+
+SECTION = f"<h2>Part</h2><p>{PROSE}</p><p>{PROSE} {PROSE}</p>"
+
+
+@pytest.mark.parametrize("names", ["share-price", "related-work", "comment-on-policy", "cookie-recipe", "search", "navigation", "category-ads", "comments-open"])
+def test_sections_of_the_article_with_names_like_furniture_stay(names):
+    assert text(f'<article><h1>Title</h1><p>{PROSE}</p><section class="{names}">{SECTION}</section><p>End.</p></article>') == f"Title {PROSE} Part {PROSE} {PROSE} {PROSE} End."
+
+
+@pytest.mark.parametrize(("names", "inner"), [
+    ("share-buttons", "<ul><li>Here<li>There</ul>"), ("social", "<p>Follow us here, there, and on.</p>"), ("ad-slot-2", f"<p>{PROSE}</p>"), ("comments", SECTION),
+    ("related-posts", SECTION), ("cookie-notice", f"<p>{PROSE}</p>"), ("story-share-tools", "<a>Here</a> <a>There</a>"), ("newsletter-signup", f"<h3>Mail</h3><p>{PROSE}</p>")])
+def test_furniture_inside_the_article_goes(names, inner):
+    assert text(f'<article><h1>Title</h1><p>{PROSE}</p><div class="{names}">{inner}</div><p>{PROSE}</p><p>End.</p></article>') == f"Title {PROSE} {PROSE} End."
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+@pytest.mark.parametrize("tag", ["nav", "header", "aside", "footer"])
+def test_elements_left_open_do_not_take_the_page_along(tag, around):
+    page = f"<body><{tag}><ul><li>Home<li>News</ul><{around}><h1>Title</h1>" + f"<p>{PROSE}</p>" * 4 + f"<p>Of.</p></{around}><div><span>Imprint</span></div></body>"
+    assert text(page) == " ".join(["Title", *[PROSE] * 4, "Of."])
+
+
+def test_a_form_around_the_page():
+    assert text(f"<body><form id=f><div>Menu</div><main><h1>Title</h1><p>{PROSE}</p><form><label>Name, please.</label></form></main></form></body>") == f"Title {PROSE}"
+    assert text("<form><label>Name, please.</label></form>") == ""
+
+
+def test_marks_in_attributes():
+    assert text(f"""<article><p title="a > b" data-x='>'>{PROSE}</p><p data-x=it's>{PROSE}</p><p title="open>{PROSE}</p></article>""") == " ".join([PROSE] * 3)
+    assert text(f"<article><p>{PROSE}<svg/>{PROSE}</p></article>") == PROSE * 2
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20000, "<div>x, y." * 20000, '<a "' * 20000, '<a "' * 20000 + '" > "', '<a x="' * 20000 + '">"', "<script " * 10000, "<!-" * 30000,
+                                  "<div>" * 20000 + "</x></b>" * 20000, "<table><tr><td><table>" + "<div>" * 20000 + "<tr></tr>" * 20000])
+def test_time_grows_with_the_page(page):
+    took = []
+    for part in (page, page * 4):
+        start = time.process_time()
+        text(part)
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 2  # sixteen times and many seconds if it grew with the square
