@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import time
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pytest
 
 from tidings.llm import licenses
 
@@ -105,6 +107,8 @@ OTHERS = {
     "This work is licensed under the GNU General Public License, version 2": "GPL-2.0", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0",
     "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "CC-BY-NC-SA-4.0", "made available under CC BY-SA 3.0.": "CC-BY-SA-3.0",
     "Eclipse Public License - v 2.0 and so on, or the Eclipse Public License, Version 2.0": "EPL-2.0", "CC0 1.0 Universal": "CC0-1.0",
+    "under the terms of the MIT license": "MIT", "License: MIT": "MIT", "Licensed under MIT": "MIT", "It is GPLv3 software": "GPL-3.0", "LGPLv2.1": "LGPL-2.1",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
     "GNU GENERAL PUBLIC LICENSE\n Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.": "GPL-2.0",
     "This is free and unencumbered software released into the public domain.": "Unlicense",
 }
@@ -125,3 +129,45 @@ def test_telling_words_must_match():
 def test_one_name_where_templates_overlap():
     got = [m[1] for m in found([licenses.TEMPLATES["Apache-2.0-header"], licenses.TEMPLATES["GPL-3.0"], "Released under the MIT License"])]
     assert got == ["Apache-2.0-header", "GPL-3.0", "MIT"]
+
+
+def test_shared_words_against_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        texts = [rng.integers(-1, 4, rng.integers(0, 12)).tolist() for _ in range(3)]
+        codes, bounds = np.array(sum(texts, []), np.int64), np.cumsum([0, *map(len, texts)])
+        template, reach = rng.integers(0, 4, 5).tolist(), int(rng.integers(1, 7))
+        want = [sum(min(t[i : i + reach].count(w), template.count(w)) for w in set(template)) for t in texts for i in range(len(t))]
+        assert licenses.shared_words(codes, bounds, np.bincount(template, minlength=5), reach).tolist() == want
+
+
+def planted(rng):
+    """Texts of words of the templates, and of templates with words changed, left out or moved."""
+    pool = "the of under this License Licenses version software GNU public MIT 3 2 0 Lesser without general x".split()
+    for _ in range(150):
+        words = rng.choice(pool, rng.integers(0, 60)).tolist()
+        for _ in range(rng.integers(0, 3)):
+            notice = licenses.TEMPLATES[str(rng.choice(sorted(licenses.TEMPLATES)))].split()
+            for _ in range(rng.integers(0, 4)):
+                k = int(rng.integers(0, len(notice)))
+                notice[k : k + 1] = [[], ["x"], [notice[k], "this"], [notice[k], notice[0]]][int(rng.integers(0, 4))]
+                notice = notice or ["x"]
+            at = int(rng.integers(0, len(words) + 1))
+            words[at:at] = notice
+        yield " ".join(words)
+
+
+def test_places_left_out_hold_no_match(monkeypatch):
+    """Aligning at every key gives the same notices."""
+    texts = list(planted(np.random.default_rng(6)))
+    got = found(texts)
+    monkeypatch.setattr(licenses, "shared_words", lambda codes, bounds, times, reach: np.full(len(codes), 1 << 30))
+    monkeypatch.setattr(licenses, "REMEMBERED", 0)
+    assert got == found(texts) and len(got) > 50
+
+
+@pytest.mark.parametrize("words", ["software license without ", "license ", "under the ", "GNU General Public License "])
+def test_time_grows_with_the_text(words):
+    start = time.process_time()
+    found([words * 10000])
+    assert time.process_time() - start < 10

@@ -7,8 +7,9 @@ words is aligned by its longest common subsequence. The coverage is the share of
 Words that tell one licence from another (version numbers, Lesser, Affero, NC, SA, ND) must all match, and the text may not
 have more of the named ones in between. Where matches overlap, the best covered one is kept, and of those the longest.
 
-Only places that can reach the coverage are aligned: a match stretches over at most ``STRETCH`` times the template's
-length, and holds all but a few of its longer words.
+Only places that can reach the coverage are aligned: the stretch of a match is at most as much longer than the template as
+the coverage allows, it holds all but a few of the template's longer words, and of all its words, each counted as often as the
+template has it, as many as the coverage needs. Places around which the text reads the same are aligned once.
 """
 
 from __future__ import annotations
@@ -69,7 +70,11 @@ TEMPLATES = {
     "GPL-3.0-only-header": "you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free "
     "Software Foundation",
     "ISC-name": "under the ISC License",
+    "BSL-1.0": "Boost Software License, Version 1.0",
+    "MIT-field": "License: MIT",
     "MIT-name": "under the MIT License",
+    "MIT-name-2": "under the terms of the MIT License",
+    "MIT-name-3": "Licensed under MIT",
     "MIT-title": "The MIT License (MIT)",
     "MIT-title-2": "MIT License Copyright (c)",
     "Unlicense": "This is free and unencumbered software released into the public domain",
@@ -83,7 +88,7 @@ for _family, _kind, _version, _date in (
     _id, _full = f"{_family}-{_version if '.' in _version else _version + '.0'}", f"GNU {_kind}General Public License"
     TEMPLATES |= {
         f"{_id}-name": f"{_full}, version {_version}", f"{_id}-name-2": f"{_full} v{_version}", f"{_id}-name-3": f"version {_version} of the {_full}",
-        f"{_id}-name-4": f"under the {_family}v{_version}", f"{_id}-name-5": f"under the {_family} version {_version}",
+        f"{_id}-name-4": f"{_family}v{_version}", f"{_id}-name-5": f"under the {_family} version {_version}",
         f"{_id}-title": f"{_full} Version {_version}, {_date} Copyright (C)",
     }
     TEMPLATES.setdefault(f"{_id}-header", f"This {'library' if _version in ('2', '2.1') and _kind else 'program'} is free software: you can redistribute it and/or "
@@ -98,13 +103,15 @@ for _name, _versions in (("Mozilla", ("1.1", "2.0")), ("Eclipse", ("1.0", "2.0")
         _id = f"{_name[0]}PL-{_version}"
         TEMPLATES |= {f"{_id}-name": f"{_name} Public License {_version}", f"{_id}-name-2": f"{_name} Public License, version {_version}",
                       f"{_id}-name-3": f"{_name} Public License v{_version}", f"{_id}-name-4": f"{_name} Public License, v. {_version}"}
-for _id in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
+for _id in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "EPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0",
             "AGPL-3.0", "ISC", "MIT", "MPL-2.0", "Unlicense"):
     TEMPLATES[f"{_id}-spdx"] = f"SPDX-License-Identifier: {_id}"
 #: Words, beside those with a digit, by which licences of nearly the same wording differ.
 TELLING = set("lesser affero nc sa nd noncommercial sharealike noderivatives noderivs".split())
 COVERAGE = 0.9
 LONG_WORD = 5
+#: Stretches of text per template whose alignment is remembered.
+REMEMBERED = 4096
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -186,6 +193,22 @@ def trimmed(pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
         pairs = less
 
 
+def shared_words(codes: np.ndarray, bounds: np.ndarray, times: np.ndarray, reach: int) -> np.ndarray:
+    """For each word of the texts, how many words the ``reach`` ones from there on in its text share with a template, in
+    which each code occurs so many ``times``; codes of -1 are in none."""
+    at = np.flatnonzero(times[codes])
+    at = at[np.argsort(codes[at], kind="stable")]  # occurrences of a code stand together, in order
+    kinds, firsts = np.unique(codes[at], return_index=True)
+    rank = np.arange(len(at)) - np.repeat(firsts, np.diff(np.append(firsts, len(at))))
+    often = times[codes[at]]
+    earlier = np.where(rank >= often, at[np.maximum(np.arange(len(at)) - often, 0)], -1)
+    text = np.searchsorted(bounds, at, "right") - 1
+    # An occurrence counts for the stretches that begin after the one so many times before it, and reach up to it.
+    low = np.maximum(np.maximum(earlier + 1, at - reach + 1), bounds[text])
+    change = np.bincount(low, minlength=len(codes) + 1) - np.bincount(at + 1, minlength=len(codes) + 1)
+    return np.cumsum(change)[: len(codes)]
+
+
 class Notices:
     """Templates as word codes."""
 
@@ -199,6 +222,8 @@ class Notices:
         #: The places in each template of words that must match.
         self.must = [{j for j, w in enumerate(ws) if w in TELLING or any(c.isdigit() for c in w)} for ws in words]
         self.needed, self.is_key = [], []
+        self.times = [np.bincount(ws, minlength=len(self.vocabulary) + 1) for ws in self.codes]
+        self.least = [math.ceil(len(ws) * coverage - 1e-9) for ws in words]
         for ws in words:
             spare = len(ws) - math.ceil(len(ws) * coverage - 1e-9)  # words that may be missing
             long = [w for w in ws if len(w) >= LONG_WORD]
@@ -230,7 +255,9 @@ class Notices:
         """The matches of each template, one after the other."""
         out = []
         text_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        for name, template, needed, is_key, must in zip(self.names, self.codes, self.needed, self.is_key, self.must):
+        for name, template, needed, is_key, must, times, least in zip(
+            self.names, self.codes, self.needed, self.is_key, self.must, self.times, self.least
+        ):
             if not template:
                 continue
             reach = math.floor(len(template) / self.coverage + 1e-9)
@@ -238,6 +265,20 @@ class Notices:
             ends = keys[needed - 1 :]
             starts = keys[: len(ends)]
             likely = starts[(ends - starts < reach) & (text_of[starts] == text_of[ends])]
+            if len(likely):
+                enough = np.concatenate(([0], np.cumsum(shared_words(codes, bounds, times, reach) >= least)))
+                lows = np.maximum(likely - reach, bounds[text_of[likely]])
+                likely = likely[enough[np.minimum(likely + reach, bounds[text_of[likely] + 1])] > enough[lows]]
+            seen: dict[bytes, list[tuple[int, int]]] = {}
+
+            def aligned(start: int, stop: int) -> list[tuple[int, int]]:
+                stretch = codes[start:stop]
+                if (key := stretch.tobytes()) not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen[key] = trimmed(align(stretch.tolist(), template), len(template))
+                return seen[key]
+
             free = -1
             for key in likely.tolist():  # a match holds at least ``needed`` keys from its first one on
                 t = int(text_of[key])
@@ -245,11 +286,11 @@ class Notices:
                 if key < free:
                     continue
                 start = max(lo, free, key - reach)
-                pairs = trimmed(align(codes[start : min(hi, key + reach)].tolist(), template), len(template))
+                pairs = aligned(start, min(hi, key + reach))
                 share = covered(pairs, len(template))
                 if share >= self.coverage - 1e-9:
                     again = start + pairs[0][0]  # the stretch from its first word on may hold more of it
-                    more = trimmed(align(codes[again : min(hi, again + reach)].tolist(), template), len(template))
+                    more = aligned(again, min(hi, again + reach))
                     if covered(more, len(template)) > share:
                         start, pairs, share = again, more, covered(more, len(template))
                     if not self._told(codes[start : start + pairs[-1][0] + 1].tolist(), pairs, must):
