@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidings.llm import decontaminate as d
 
@@ -84,3 +85,25 @@ def test_empty_tables(spark, docs, none):
 def test_words_of_a_batch_stay_apart():
     data, before, bounds = d.normal_form(pa.array(["", "A, b", "c", " "]))
     assert [p for _, p in d.windows(data, before, bounds)] == [b" a b ", b" c "] and bounds.tolist() == [0, 0, 2, 3, 3]
+
+
+def test_a_window_that_most_items_share(spark, docs):
+    """Its items are named in full, and no row sent to tasks grows with them."""
+    common = "this line stands in every item of the list in full"
+    benchmark = spark.range(3000).selectExpr("id AS item_id", f"concat('{common} ', IF(id % 2 = 0, '', concat('and ', id))) AS text")
+    table = docs.select("doc_id", "text").union(spark.createDataFrame([(900, f"x {common} y"), (901, f"x {common} y"), (902, f"{common} and 7")], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in d.with_occurrences(table, benchmark).where("doc_id >= 900").collect()}
+    assert got[900]["items"] == got[901]["items"] == sorted(map(str, range(3000)))
+    assert got[902]["items"] == sorted(map(str, range(3000))) and len(got[902]["spans"]) == 1
+    patterns = d.numbered(d.pattern_table(benchmark))
+    assert patterns.columns == ["pattern", "number"] and patterns.where("length(pattern) < 100").count() == patterns.count()
+
+
+def test_columns_with_clashing_names(spark, docs):
+    benchmark = spark.createDataFrame([(1, "same text")], "item_id long, text string")
+    table = docs.withColumn("numbers", F.lit(1)).withColumn("number", F.lit(2)).withColumn("item", F.lit(3)).withColumn("pattern", F.lit(4))
+    got = d.with_occurrences(table, benchmark)
+    assert got.columns == [*table.columns, "n_words", "spans", "items"] and got.count() == table.count()
+    assert got.where("size(items) > 0 AND number = 2 AND numbers = 1").count() == got.where("size(items) > 0").count() > 0
+    with pytest.raises(ValueError):
+        d.with_occurrences(docs.withColumn("spans", F.lit(1)), benchmark)

@@ -8,8 +8,9 @@ Patterns of similar length share a matcher. Its shift table tells, by a hash of
 how many places can't start an occurrence and are skipped; at shift 0 a bucket keyed by those bytes names the patterns
 to compare directly. Many cursors, each on its own stretch of the batch, are moved together by numpy.
 
-The patterns are the query set. They are cut by hash into blocks of at most ``BLOCK_BYTES``; each block goes to the
-tasks by itself, with one pass over the documents per block.
+The distinct patterns are the query set. They are cut by hash into blocks of at most ``BLOCK_BYTES``; each block goes to the
+tasks by itself, with one pass over the documents per block. Tasks know patterns by number only. Which items have a pattern is
+a table, joined in Spark with the distinct sets of patterns that documents hold, however many items share one.
 """
 
 from __future__ import annotations
@@ -162,17 +163,17 @@ def occurrences(texts: pa.Array, found_by: list[Matcher], sizes: np.ndarray) ->
 SPANS = ArrayType(StructType([StructField("first", LongType()), StructField("last", LongType())]))
 
 
-def _scan(docs: DataFrame, text_col: str, names: tuple[str, str, str], block: list[tuple[bytes, list[str]]]) -> DataFrame:
-    """Add the block's occurrences to the columns ``names``: words, spans and items."""
+def _scan(docs: DataFrame, text_col: str, names: tuple[str, str, str], block: list[tuple[bytes, int]]) -> DataFrame:
+    """Add the block's occurrences to the columns ``names``: words, spans and sorted pattern numbers."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
-    words_col, spans_col, items_col = names
+    words_col, spans_col, found_col = names
     fields = [f for f in docs.schema.fields if f.name not in names]
-    out = StructType([*fields, StructField(words_col, LongType()), StructField(spans_col, SPANS), StructField(items_col, ArrayType(StringType()))])
+    out = StructType([*fields, StructField(words_col, LongType()), StructField(spans_col, SPANS), StructField(found_col, ArrayType(LongType()))])
     first_block = words_col not in docs.columns
-    kinds = [pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.string())]
+    kinds = [pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.list_(pa.int64())]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns, items = [p for p, _ in shared.value], [i for _, i in shared.value]
+        patterns, ids = [p for p, _ in shared.value], [i for _, i in shared.value]
         sizes = np.array([p.count(b" ") - 1 for p in patterns])
         found_by = matchers(patterns)
         for whole in batches:
@@ -180,12 +181,12 @@ def _scan(docs: DataFrame, text_col: str, names: tuple[str, str, str], block: li
             for batch in slices(iter([whole]), text_col):
                 counts, hits = occurrences(batch.column(text_col), found_by, sizes)
                 n_words.append(counts)
-                old = [([], [])] * batch.num_rows if first_block else list(zip(batch.column(spans_col).to_pylist(), batch.column(items_col).to_pylist()))
+                old = [([], [])] * batch.num_rows if first_block else list(zip(batch.column(spans_col).to_pylist(), batch.column(found_col).to_pylist()))
                 for t in range(batch.num_rows):
                     new_spans, numbers = hits.get(t, ([], ()))
                     old_spans = [(s["first"], s["last"]) for s in old[t][0]]
                     spans.append([{"first": a, "last": b} for a, b in (_merged(old_spans + new_spans) if old_spans else new_spans)])
-                    found.append(sorted({i for p in numbers for i in items[p]} | set(old[t][1])))
+                    found.append(sorted([ids[p] for p in numbers] + old[t][1]))  # no pattern is in two blocks
             columns = [whole.column(f.name) for f in fields]
             added = [pa.array(np.concatenate(n_words) if n_words else [], kinds[0]), pa.array(spans, kinds[1]), pa.array(found, kinds[2])]
             schema = pa.schema([*(whole.schema.field(f.name) for f in fields), *(pa.field(n, k) for n, k in zip(names, kinds))])
@@ -195,7 +196,7 @@ def _scan(docs: DataFrame, text_col: str, names: tuple[str, str, str], block: li
 
 
 def pattern_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(pattern binary, items array of strings): the distinct windows and the items that have them."""
+    """(pattern binary, item string): the distinct windows of each item."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -204,35 +205,66 @@ def pattern_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
             yield pa.RecordBatch.from_arrays([pa.array([p for _, p in found], pa.binary()), items], ["pattern", "item"])
 
     rows = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(each, "pattern binary, item string").groupBy("pattern").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return rows.mapInArrow(each, "pattern binary, item string").distinct()
 
 
-def with_occurrences(
-    docs: DataFrame, benchmark: DataFrame, names: tuple[str, str, str] = ("n_words", "spans", "items"), text_col: str = "text", block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """``docs`` with its number of words, the merged spans of words inside occurrences (0-based, both ends included),
-    and the ids, as sorted strings, of the items with occurring windows.
+def numbered(pairs: DataFrame) -> DataFrame:
+    """(pattern, number): the distinct patterns of ``pairs``, written, so that a number stays with its pattern."""
+    return materialize(pairs.select("pattern").distinct().withColumn("number", F.monotonically_increasing_id()), label="patterns")
 
-    Null and wordless texts have no words and no spans; items without words have no windows; items with equal windows
-    are all named, repeated ids once, null ids never. Without items nothing is hit. Rows stay as they are, repeated
-    ones too. A column of ``docs`` named like one of ``names`` is an error; choose other names then.
-    """
+
+def scanned(docs: DataFrame, patterns: DataFrame, names: tuple[str, str, str], text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with its number of words, the merged spans of words inside occurrences (0-based, both ends included), and the
+    sorted numbers of the occurring patterns."""
     if clash := set(names) & set(docs.columns):
         raise ValueError(f"the table already has columns {sorted(clash)}")
-    table = materialize(pattern_table(benchmark), label="patterns")
-    total = table.agg(F.sum(F.length("pattern") + 32 * (F.size("items") + 1))).first()[0] or 0
+    total = patterns.agg(F.sum(F.length("pattern") + 40)).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     for k in range(n_blocks):
-        rows = table.where(F.pmod(F.xxhash64("pattern"), F.lit(n_blocks)) == k).collect()  # at most about block_bytes
-        docs = _scan(docs, text_col, names, [(bytes(r["pattern"]), list(r["items"])) for r in rows])
+        rows = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(n_blocks)) == k).collect()  # at most about block_bytes
+        docs = _scan(docs, text_col, names, [(bytes(r["pattern"]), r["number"]) for r in rows])
         if k + 1 < n_blocks:
             docs = materialize(docs, label="scanned")
     return docs
 
 
+def _with_items(found: DataFrame, pairs: DataFrame, patterns: DataFrame, column: str) -> DataFrame:
+    """``found`` with item ids, sorted and distinct, instead of the pattern numbers in ``column``.
+
+    Documents that hold the same patterns, such as copies, share one list; those without any aren't shuffled.
+    """
+    found = materialize(found, label="found")
+    hit = found.where(F.size(column) > 0)
+    items = pairs.where(F.col("item").isNotNull()).join(patterns, "pattern").select("number", "item")
+    sets = hit.select(F.col(column).alias("numbers")).distinct()
+    lists = sets.withColumn("number", F.explode("numbers")).join(items, "number", "left").groupBy("numbers").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    lists = materialize(lists, label="items")  # a plain table, so that a set many documents hold can be split in the join
+    joined = hit.join(lists, hit[column] == lists["numbers"]).select(*(lists["items"].alias(c) if c == column else hit[c] for c in found.columns))
+    none = found.where(F.size(column) == 0).withColumn(column, F.array().cast("array<string>"))
+    return none.unionAll(joined)
+
+
+def with_occurrences(
+    docs: DataFrame, benchmark: DataFrame, names: tuple[str, str, str] = ("n_words", "spans", "items"), text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES, keep_text: bool = True
+) -> DataFrame:
+    """``docs`` with its number of words, the merged spans of words inside occurrences (0-based, both ends included),
+    and the ids, as sorted strings, of the items with occurring windows.
+
+    Null and wordless texts have no words and no spans; items without words have no windows; items with equal windows
+    are all named, repeated ids once, null ids never. Without items nothing is hit. Rows stay as they are, repeated
+    ones too. A column of ``docs`` named like one of ``names`` is an error; choose other names then. The result is
+    written on the way; without ``keep_text`` that leaves out the text.
+    """
+    pairs = materialize(pattern_table(benchmark), label="pattern_items")
+    patterns = numbered(pairs)
+    found = scanned(docs, patterns, names, text_col, block_bytes)
+    return _with_items(found if keep_text else found.drop(text_col), pairs, patterns, names[2])
+
+
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = with_occurrences(docs.select("doc_id", "text"), benchmark)
+    found = with_occurrences(docs.select("doc_id", "text"), benchmark, keep_text=False)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
@@ -242,7 +274,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of ``benchmark`` occurs, with their columns."""
     spare = [f"_{k}" for k in range(len(docs.columns) + 3) if f"_{k}" not in docs.columns][:3]
-    return with_occurrences(docs, benchmark, tuple(spare), text_col).where(F.size(spare[1]) == 0).drop(*spare)
+    return scanned(docs, numbered(pattern_table(benchmark)), tuple(spare), text_col).where(F.size(spare[1]) == 0).drop(*spare)
 
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
