@@ -13,7 +13,8 @@ name among the first 34 is the window's anchor, at the same place in all its occ
 Spark groups anchors by the words around them that every such window holds, 6 before and 10 from its start on. Anchors
 that two different texts share tell which windows can repeat; those windows are named by 128 bits of their text, and Spark
 finds the smallest doc_id of each name. The names decide which windows repeat; anchors only choose which are named. Equal
-texts are found by their checksum, and all windows of a copy are repeats.
+texts are found by their checksum, and all windows of a copy are repeats. Names of windows and the smallest doc_ids of
+those that repeat are written before they are joined, so that Spark can split a passage that very many documents share.
 """
 
 from __future__ import annotations
@@ -239,7 +240,9 @@ def without_repeats(
     places = materialize(shared_places(numbered, window), label="anchors")
 
     named = rows.join(places.where(F.size("places") > 0), "id").mapInArrow(_window_rows(window), "name binary, id long, h long, at int")
-    first = named.groupBy("name").agg(F.min("id").alias("lo"))
+    named = materialize(named, label="named-windows")
+    first = named.groupBy("name").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("name", "lo")
+    first = materialize(first, label="first-windows")
     gone = named.join(first, "name").where("lo < id").select("id", "h", "at")
     copies = places.select("id", F.explode("copies").alias("h"), F.lit(-1).alias("at"))
     gone = gone.union(copies).groupBy("id").agg(F.collect_set(F.struct("h", "at")).alias("gone"))
