@@ -387,6 +387,16 @@ ORACLES = {
         UNION ALL SELECT 'extracted', count(*) FROM events WHERE event_id % 6 NOT IN (3, 4)
         UNION ALL SELECT 'mapped', count(*) FROM {EXACT} WHERE m.classification = 'essential' AND d.cust_no IS NOT NULL
         UNION ALL SELECT 'appended', count(*) FROM v_target""",
+    "limited_reads": with_(view("v_news"))
+    + "".join(
+        f"{union} SELECT '{name}' AS read, least(count(*), 100) AS n_rows, least(count(*), 100) AS n_known FROM v_news WHERE {rows}"
+        for union, name, rows in (
+            ("", "daily", f"part_basc_dt >= '20260105' AND seq > 10 AND {ROOT_NEWS}"),
+            (" UNION ALL", "recent", f"part_basc_dt >= '20260125' AND {ROOT_NEWS}"),
+            (" UNION ALL", "table", "true"),
+        )
+    ),
+    "input_cleanup": with_(*STREAMED) + "SELECT *, false AS first_left, true AS second_left FROM target",
     "daily_run": with_(*RUN) + "SELECT * FROM target",
     "daily_run_serving": with_(*RUN)
     + f"SELECT CAST(seq AS VARCHAR) AS seq, etct_cust_no, news_clas, basc_dt FROM target WHERE {SERVED}",

@@ -62,6 +62,22 @@ def recent_n_days(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.recent_news(spark, "v_news", days=4, base_date="20260128")
 
 
+def limited_reads(spark: SparkSession, sf: str) -> DataFrame:
+    """Catalog queries with a limit: how many rows each gives, and how many of them it gives without one, too."""
+    view(spark, sf, "v_news").createOrReplaceTempView("v_news")
+    reads = {
+        "daily": lambda **most: warehouse.daily_news(spark, "v_news", *CURSOR, **most),
+        "recent": lambda **most: warehouse.recent_news(spark, "v_news", days=4, base_date="20260128", **most),
+        "table": lambda **most: warehouse.whole_table(spark, "v_news", **most),
+    }
+    counts = []
+    for name, read in reads.items():
+        every = read().select("seq", F.lit(True).alias("known")).distinct()
+        found = read(limit=100).select("seq").join(every, "seq", "left")
+        counts.append(found.agg(F.count("*").alias("n_rows"), F.count("known").alias("n_known")).select(F.lit(name).alias("read"), "n_rows", "n_known"))
+    return files.union_by_name(*counts)
+
+
 def table_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "customer").createOrReplaceTempView("customer")
     return warehouse.whole_table(spark, "customer")
@@ -753,6 +769,19 @@ def resume_run(spark: SparkSession, sf: str) -> DataFrame:
     return storage.read_or_empty(spark, _day(spark, root)[0].target, TARGET_SCHEMA)
 
 
+def input_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that removes the file it has read; one put in its place stays, as the same day's second call doesn't read it."""
+    root = _inputs(spark, sf)
+    feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS)
+    left = []
+    for name, rows in (("first", feed), ("second", feed.where("seq % 2 = 0"))):
+        _write_delimited(rows, f"{root}/{name}", 1)
+        storage.move(spark, storage.files_at(spark, f"{root}/{name}/part=0")[0], f"{root}/news.csv")
+        layout, _ = _day(spark, root, news_folder="news.csv", news_columns=NEWS_FEED_COLUMNS)
+        left.append(F.lit(storage.exists(spark, f"{root}/news.csv")).alias(f"{name}_left"))
+    return storage.read_or_empty(spark, layout.target, TARGET_SCHEMA).select("*", *left)
+
+
 def stream_target(spark: SparkSession, sf: str) -> DataFrame:
     """Two micro-batches through the whole run; the first one's append isn't committed, and is done again."""
     root = _inputs(spark, sf)
@@ -840,5 +869,6 @@ QUERIES = {
         delimited_layouts, stream_overlap, catalog_insert, cursor_state, vector_refresh, resume_run, dry_run_preview,
         serving_after_failed_publish, stream_windows, stream_counts, stream_target, vector_approximate,
         digest_changes, serving_lookup, stream_archive, catalog_retention, snapshot_manifest, new_chunks,
+        limited_reads, input_cleanup,
     )
 }
