@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -113,6 +114,50 @@ def test_clustered_vectors_visit_few_cells(spark):
     assert got == dict(enumerate(np.round(scaled(queries) @ scaled(index).T, 6).argmax(axis=1).tolist()))
 
 
+def test_a_query_travels_once_per_group_of_cells(spark, monkeypatch):
+    """Far-spread vectors rule out no cell: 29 cells of ten rows are one group, not 29 visits."""
+    rng = np.random.default_rng(6)
+    index, queries = unit(rng, 300, 32), unit(rng, 40, 32)
+    visits, store = [], nearest.storage.materialize
+
+    def kept(df, path=None, label="stage"):
+        stored = store(df, path, label)
+        if label == "query-cells":
+            visits.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(nearest.storage, "materialize", kept)
+    found = nearest.nearest(frame(spark, queries, "query_key", "query_vec"), frame(spark, index, "item_key", "item_vec"), cell_rows=10)
+    assert {r.query_key: r.item_key for r in found.collect()} == dict(enumerate(brute_force(queries, index)[0].tolist()))
+    assert visits[0] <= len(queries)
+
+
+def test_near_cells_share_a_group(spark):
+    pivots = np.asarray([[1.0, 0.0], [0.0, 1.0], [0.99, 0.14], [0.14, 0.99], [-1.0, 0.0]])
+    cells = spark.createDataFrame([(c,) for c, n in ((0, 3), (1, 3), (2, 3), (3, 3), (4, 9)) for _ in range(n)], "cell int")
+    assert nearest._cell_groups(cells, pivots, 6).tolist() == [0, 1, 0, 1, 4]
+
+
+def test_a_cell_is_searched_in_bounded_memory_and_as_in_double_precision():
+    """Ties to six places, copies, rows that differ less than single precision shows, zero rows and rows that aren't numbers."""
+    rng = np.random.default_rng(7)
+    items, wanted = unit(rng, 8000, 16).astype(float), unit(rng, 1500, 16).astype(float)
+    items[5::9] = items[5]
+    items[7::11] = items[7] + 4e-7 * rng.normal(size=(len(items[7::11]), 16))
+    wanted[:40], wanted[40:80], wanted[80], wanted[81] = items[5], items[7], 0.0, np.nan
+    tracemalloc.start()
+    best, cos, top = nearest._best_in_cell(wanted, items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for k in range(0, len(wanted), 500):
+        part = wanted[k : k + 500] @ items.T
+        first = np.round(part, 6).argmax(axis=1)
+        assert (best[k : k + 500] == first).all()
+        assert np.allclose(cos[k : k + 500], part[np.arange(len(part)), first], atol=1e-12, equal_nan=True)
+        assert np.allclose(top[k : k + 500], part.max(axis=1), atol=1e-12, equal_nan=True)
+    assert peak < 64 << 20
+
+
 def test_scores():
     assert vectors.cosine_for_relevance(0.9) == pytest.approx(0.92929, abs=1e-5)
 

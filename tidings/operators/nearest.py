@@ -25,8 +25,15 @@ from ..functions.vectors import cosine_for_relevance, relevance
 # Rows per side of a tile; memory of a tile is about (INDEX_ROWS + QUERY_ROWS) * dimension * 8 bytes.
 INDEX_ROWS = 16384
 QUERY_ROWS = 16384
-# Queries compared at once.
+# Queries held against pivots, or against few items, at once; and against many items.
 _STRIDE = 1024
+_BLOCK = 256
+_FEW_ITEMS = 512
+# Vector entries of pairs compared at once in double precision.
+_PAIR_ENTRIES = 1 << 20
+
+# Index rows that a query meets at least when it has to look beyond its own cell: fewer cost less than bringing the query there.
+GROUP_ROWS = 8192
 
 # Pivots are the only vectors that go through the driver. More of them make cells smaller; results don't depend on it.
 MAX_PIVOTS = 1024
@@ -49,15 +56,55 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     return rows / np.where(norms > 0, norms, 1.0)
 
 
+def _best_of_all(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`_best_in_cell` for few rows, with every cosine in double precision."""
+    part = wanted @ items.T
+    first = np.round(part, _PLACES).argmax(axis=1)
+    return first, part[np.arange(len(part)), first], part.max(axis=1)
+
+
+def _best_of_candidates(wanted: np.ndarray, items: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, position, cosine and highest cosine of the best of the pairs (row, col), which are in that order."""
+    cos = np.empty(len(row))
+    step = max(1, _PAIR_ENTRIES // items.shape[1])
+    for k in range(0, len(row), step):
+        cos[k : k + step] = np.einsum("ij,ij->i", wanted[row[k : k + step]], items[col[k : k + step]])
+    starts = np.flatnonzero(np.diff(row, prepend=-1))
+    rounded, sizes = np.round(cos, _PLACES), np.diff(starts, append=len(row))
+    ties = np.flatnonzero(rounded == np.repeat(np.maximum.reduceat(rounded, starts), sizes))
+    at = ties[np.unique(row[ties], return_index=True)[1]]
+    return row[at], col[at], cos[at], np.maximum.reduceat(cos, starts)
+
+
 def _best_in_cell(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Position and cosine of the best of ``items``, which are sorted by key, for each row of ``wanted``; the highest cosine."""
+    """Position and cosine of the best of ``items``, which are sorted by key, for each row of ``wanted``; the highest cosine.
+
+    Single precision tells which items can be the best; only their cosines are computed in double precision. Rows with very
+    many such items, as copies are, and rows that aren't numbers are compared with all items in double precision.
+    """
     best, cos, top = np.empty(len(wanted), dtype=np.int64), np.empty(len(wanted)), np.empty(len(wanted))
-    for start in range(0, len(wanted), _STRIDE):
-        part = wanted[start : start + _STRIDE] @ items.T
-        first = np.round(part, _PLACES).argmax(axis=1)
-        best[start : start + _STRIDE] = first
-        cos[start : start + _STRIDE] = part[np.arange(len(part)), first]
-        top[start : start + _STRIDE] = part.max(axis=1)
+    whole = lambda rows: _best_of_all(wanted[rows], items)
+    if len(items) < _FEW_ITEMS:
+        for start in range(0, len(wanted), _STRIDE):
+            rows = slice(start, start + _STRIDE)
+            best[rows], cos[rows], top[rows] = whole(rows)
+        return best, cos, top
+    # A product of unit rows of d entries is off by less than (d + 4) / 2^24, on both sides of a comparison.
+    slack = np.float32(1.1 * 10.0**-_PLACES + 2 * (items.shape[1] + 4) * 2.0**-24 + 2.0**-22)
+    rough, most = items.astype(np.float32).T, len(items) // 16
+    for start in range(0, len(wanted), _BLOCK):
+        part = wanted[start : start + _BLOCK].astype(np.float32) @ rough
+        row, col = np.divmod(np.flatnonzero(part >= (part.max(axis=1) - slack)[:, None]), len(items))
+        counts = np.bincount(row, minlength=len(part))
+        hard = (counts == 0) | (counts > most)
+        if hard.any():
+            easy = ~hard[row]
+            row, col = row[easy], col[easy]
+            rows = start + np.flatnonzero(hard)
+            best[rows], cos[rows], top[rows] = whole(rows)
+        if len(row):
+            at, first, exact, high = _best_of_candidates(wanted, items, row + start, col)
+            best[at], cos[at], top[at] = first, exact, high
     return best, cos, top
 
 
@@ -179,27 +226,51 @@ def _assign_cells(rows: DataFrame, vector: str, pivots: np.ndarray) -> DataFrame
 
     def assign(batches):
         for batch in batches:
-            unit = _matrix(pa.chunked_array([batch.column(vector)]), batch.num_rows)
-            near = np.clip(unit @ pivots.T, -1.0, 1.0)
-            cell = near.argmax(axis=1)
-            angle = np.arccos(near[np.arange(len(cell)), cell])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(angle)],
-                names=[*batch.schema.names, "cell", "angle"],
-            )
+            for start in range(0, batch.num_rows, _STRIDE):
+                part = batch.slice(start, _STRIDE)
+                unit = _matrix(pa.chunked_array([part.column(vector)]), part.num_rows)
+                near = np.clip(unit @ pivots.T, -1.0, 1.0)
+                cell = near.argmax(axis=1)
+                angle = np.arccos(near[np.arange(len(cell)), cell])
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(cell.astype(np.int32)), pa.array(angle)],
+                    names=[*batch.schema.names, "cell", "angle"],
+                )
 
     return rows.mapInArrow(assign, schema)
 
 
-def _reachable_cells(queries: DataFrame, pivots: np.ndarray, cells: list[int], low: np.ndarray, high: np.ndarray) -> DataFrame:
+def _cell_groups(assigned: DataFrame, pivots: np.ndarray, least: int = GROUP_ROWS) -> np.ndarray:
+    """The group of each cell, numbered by one of its cells. Near cells go together until they hold ``least`` index rows."""
+    sizes, group = np.zeros(len(pivots), dtype=np.int64), np.full(len(pivots), -1)
+    # At most as many rows as there are pivots.
+    for r in assigned.groupBy("cell").count().collect():
+        sizes[r[0]] = r[1]
+    for k in range(len(pivots)):
+        if group[k] < 0:
+            free = np.flatnonzero(group < 0)
+            free = free[np.argsort(-(pivots[free] @ pivots[k]), kind="stable")]
+            free = np.concatenate(([k], free[free != k]))
+            group[free[: 1 + int(np.searchsorted(np.cumsum(sizes[free]), least))]] = k
+    return group
+
+
+def _reachable_cells(
+    queries: DataFrame, pivots: np.ndarray, cells: list[int], low: np.ndarray, high: np.ndarray, groups: np.ndarray | None = None
+) -> DataFrame:
     """``(query_key, cell)``: each query once per cell, other than its own, that may hold an index row of cosine ``floor`` or more.
 
+    With ``groups``, the group of each cell, once per group with such a cell; ``cell`` is the group's number then.
+
     ``queries`` has query_key, query_vec, cell and floor. A cell is skipped only when geometry rules it out: by the
     triangle inequality on angles to its pivot, or because the query is further beyond the plane halfway to its own
     pivot than such a row can be. The second test holds for radii below a right angle.
     """
     schema = T.StructType([queries.schema["query_key"], _CELL])
     numbers = np.asarray(cells, dtype=np.int32)
+    group = numbers if groups is None else groups[numbers]
+    order = np.argsort(group, kind="stable")
+    names, starts = np.unique(group[order], return_index=True)
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots[numbers].T)))
     slack = 1e-7  # rounding of the angles themselves; that of scores is in the floor
 
@@ -216,15 +287,18 @@ def _reachable_cells(queries: DataFrame, pivots: np.ndarray, cells: list[int], l
                 batch = whole.slice(start, _STRIDE)
                 rows = _matrix(pa.chunked_array([batch.column("query_vec")]), batch.num_rows)
                 own, floor = np.asarray(batch.column("cell")).astype(np.int64), np.asarray(batch.column("floor"))
-                row, col = np.nonzero(keep(np.clip(rows @ pivots.T, -1.0, 1.0), own, floor))
+                reached = keep(np.clip(rows @ pivots.T, -1.0, 1.0), own, floor)
+                row, col = np.nonzero(np.logical_or.reduceat(reached[:, order], starts, axis=1))
                 keys = batch.column("query_key").take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(numbers[col])], names=["query_key", "cell"])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(names[col].astype(np.int32))], names=["query_key", "cell"])
 
     return queries.select("query_key", "query_vec", "cell", "floor").mapInArrow(reach, schema)
 
 
-def cells_to_visit(own: DataFrame, found: DataFrame, assigned: DataFrame, pivots: np.ndarray, least: float) -> DataFrame:
-    """The cells, beyond its own, that each query has to visit, stored.
+def cells_to_visit(
+    own: DataFrame, found: DataFrame, assigned: DataFrame, pivots: np.ndarray, least: float, groups: np.ndarray | None = None
+) -> DataFrame:
+    """The cells, beyond its own, that each query has to visit, or the ``groups`` of them, stored.
 
     A row there must reach the best of the query's own cell and the cosine ``least``; both are lowered by what
     rounding can hide.
@@ -235,7 +309,7 @@ def cells_to_visit(own: DataFrame, found: DataFrame, assigned: DataFrame, pivots
     wanted = own.join(found.select("query_key", "top"), "query_key", "left").withColumn("floor", floor)
     # Only keys are stored: a query may be in many cells, its vector is stored once.
     low, high = (np.asarray([r[k] for r in extent]) for k in ("low", "high"))
-    return storage.materialize(_reachable_cells(wanted, pivots, [r.cell for r in extent], low, high), label="query-cells")
+    return storage.materialize(_reachable_cells(wanted, pivots, [r.cell for r in extent], low, high, groups), label="query-cells")
 
 
 def nearest(
@@ -268,8 +342,11 @@ def nearest(
     best = best_in_cells(own, rows, one_cell=True)
     if len(pivots) > 1:  # there are other cells
         found = storage.materialize(best, label="own-best")
-        visits = cells_to_visit(own, found, assigned, pivots, least)
-        beyond = best_in_cells(visits.join(queries, "query_key"), rows, counted=(visits, rows))
+        # A query travels once per group of cells, and meets all rows of the group; cells are what is ruled out or not.
+        groups = _cell_groups(assigned, pivots)
+        visits = cells_to_visit(own, found, assigned, pivots, least, groups)
+        grouped = rows.withColumn("cell", F.get(F.array(*map(F.lit, groups.tolist())), F.col("cell")))
+        beyond = best_in_cells(visits.join(queries, "query_key"), grouped, counted=(visits, grouped))
         best = _best_of(found.unionByName(beyond))
     best = best.withColumn("score", to_score(F.col("cos")))
     if threshold is not None:
