@@ -213,17 +213,25 @@ def _set_day(spark: SparkSession, folder: str, n: int) -> None:
 
 
 def _daily_files(spark: SparkSession, sf: str, first: int, last: int, path: str) -> None:
-    """A file for each day of the month, with the articles of that day and of the three before, and one short record."""
+    """Files for each day of the month, with the articles of that day and of the three before, and one short record.
+
+    An article is moved once, to the task of its own day, which writes its copies; so a day has files from the tasks of four days.
+    """
     feed = view(spark, sf, "v_news").select(NEWS_FEED_COLUMNS).where("part_basc_dt IS NOT NULL")
     day = F.substring("part_basc_dt", 7, 2).cast("int")
-    copies = feed.withColumn("part", F.explode(F.sequence(day, F.least(day + 3, F.lit(28))))).where(F.col("part").between(first, last))
-    line = _record_line(NEWS_FEED_COLUMNS)
-    days = spark.range(first, last + 1).select(F.col("id").cast("int").alias("part"))
-    head = days.select("part", F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
-    short = days.select("part", F.lit(2).alias("pos"), F.lit(f"1{delimited.FIELD_SEP}1").alias("value"))
-    rows = head.unionByName(copies.select("part", F.lit(1).alias("pos"), line.alias("value"))).unionByName(short)
+    reach = F.sequence(F.greatest(F.col("day"), F.lit(first)), F.least(F.col("day") + 3, F.lit(last)))
+    start, n_files = max(1, first - 3), _files_needed(feed, 28, _FILE_BYTES // 2)  # of the four files' records, a task sorts all
+    file = F.pmod(F.xxhash64(*NEWS_FEED_COLUMNS), F.lit(n_files)).cast("int")
+    articles = feed.select(day.alias("day"), file.alias("file"), F.lit(1).alias("pos"), _record_line(NEWS_FEED_COLUMNS).alias("value"))
+    days = spark.range(start * n_files, (last + 1) * n_files).select(
+        F.floor(F.col("id") / n_files).cast("int").alias("day"), (F.col("id") % n_files).cast("int").alias("file"))
+    head = days.select("*", F.lit(0).alias("pos"), F.lit(delimited.FIELD_SEP.join(NEWS_FEED_COLUMNS)).alias("value"))
+    short = days.where((F.col("day") >= first) & (F.col("file") == 0)).select("*", F.lit(2).alias("pos"), F.lit(f"1{delimited.FIELD_SEP}1").alias("value"))
+    rows = head.unionByName(articles.where(F.col("day").between(start, last))).unionByName(short)
+    rows = rows.repartitionById((last + 1 - start) * n_files, (F.col("day") - start) * n_files + F.col("file"))
+    own = F.when(F.col("pos") == 2, F.array("day")).otherwise(reach)  # the short record is that of its day alone
     (
-        rows.repartition("part").sortWithinPartitions("part", "pos").select("part", "value")
+        rows.withColumn("part", F.explode(own)).sortWithinPartitions("part", "pos").select("part", "value")
         .write.mode("append").option("lineSep", delimited.RECORD_SEP).partitionBy("part").text(path)
     )
     _set_day(spark, path, last)

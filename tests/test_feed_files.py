@@ -47,3 +47,20 @@ def test_a_pattern_names_input_files_and_only_those_that_were_read_are_removed(s
     (tmp_path / "news-2.csv").write_text("later")
     assert [f.rpartition("/")[2] for f in daily.remove_delimited_inputs(spark, inputs)] == ["news-0.csv"]
     assert sorted(f.name for f in tmp_path.glob("*.csv")) == ["news-1.csv", "news-2.csv"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_daily_files_move_an_article_once(spark, tmp_path, monkeypatch):
+    """Each day's files hold the articles of four days, whole; what is shuffled is each article once."""
+    monkeypatch.setattr(queries, "_FILE_BYTES", 8000, raising=False)
+    path = str(tmp_path / "days")
+    for first, last in ((1, 14), (15, 28)):
+        queries._daily_files(spark, SF_DIR, first, last, path)
+    feed = queries.view(spark, SF_DIR, "v_news").where("part_basc_dt IS NOT NULL").select("seq", "part_basc_dt").collect()
+    for k in (1, 14, 15, 28):
+        got = delimited.read_delimited(spark, f"{path}/part={k}", queries.NEWS_FEED_COLUMNS)
+        assert sorted(int(r.seq) for r in got.collect()) == sorted(r.seq for r in feed if k - 3 <= int(r.part_basc_dt[6:8]) <= k)
+        named = storage.files_at(spark, f"{path}/part={k}")
+        assert all(delimited.file_header(spark, f) == delimited.FIELD_SEP.join(queries.NEWS_FEED_COLUMNS) for f in named)
+        assert len(named) >= min(k, 4)
+        assert sum(x == f"1{delimited.FIELD_SEP}1" for f in named for x in open(f.removeprefix("file:"), encoding="utf-8").read().split("||")) == 1
