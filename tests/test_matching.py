@@ -4,6 +4,7 @@ import math
 import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -268,3 +269,20 @@ def test_essential_and_enrich(rows, companies):
     )
     out = {r.seq: r.std_inds_clas_nm for r in matching.enrich(matching.essential(df), companies).collect()}
     assert out == {1: "electronics", 5: None}
+
+
+def test_the_encoder_and_a_side_of_a_tile_need_little_memory_beside_their_result():
+    texts = [chr(97 + k % 26) * 60_000 + "한" * (k % 3) for k in range(64)]
+    tracemalloc.start()
+    out = vectors.bigram_encoder(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # before, 3.8 million characters at once took several times that
+    assert np.array_equal(out, np.concatenate([vectors.bigram_encoder([t]) for t in texts]))
+
+    column = pa.chunked_array([pa.array(list(np.ones((20_000, 64), dtype=np.float32)), pa.list_(pa.float32()))])
+    tracemalloc.start()
+    rows = nearest._matrix(column, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * rows.nbytes and np.allclose(rows, 1 / 8)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 import pytest
 
 from tidings.functions import responses
@@ -121,3 +122,43 @@ def test_embedding_batches(spark, batch_size):
     out = inference.embed(df, "t", encode, "len", batch_size=batch_size).orderBy("i").collect()
     assert [r.embedding for r in out] == [[float(i), 1.0] for i in range(5)]
     assert {r.encoder_id for r in out} == {"len"}
+
+
+def test_a_batch_becomes_strings_by_and_by():
+    batch = pa.array([None if k % 7 == 0 else str(k) for k in range(1000)])
+    (whole, parts), = inference._slices(iter([batch]), 256)
+    parts = iter(parts)
+    first = next(parts)
+    assert whole is batch and len(first) == 256 and first[:2] == [None, "1"]
+    assert first + [t for part in parts for t in part] == batch.to_pylist()
+    assert [list(parts) for _, parts in inference._slices(iter([batch[:0]]), 256)] == [[]]
+
+
+def test_answers_stay_with_their_prompts_over_many_slices(spark):
+    import threading
+
+    def call(prompt):
+        if prompt is None:
+            return None
+        if prompt.endswith("9"):
+            raise TimeoutError(prompt)
+        return f"{prompt} {threading.get_ident()}"
+
+    prompts = spark.range(3000).selectExpr("id", "if(id % 10 = 4, null, cast(id as string)) AS prompt")
+    out = inference.complete(prompts, "prompt", call, concurrency=6, tasks=2).collect()
+    assert len(out) == 3000
+    for r in out:
+        if r.id % 10 == 4:
+            assert r.prompt is None and r.raw_content is None
+        elif r.id % 10 == 9:
+            assert r.raw_content == f"Failure: API calling: {r.id}"
+        else:
+            assert r.raw_content.startswith(f"{r.id} ")
+
+
+def test_vectors_of_no_rows_and_of_differing_length(spark):
+    encode = lambda texts: [[float(len(t))] * 3 for t in texts]
+    assert inference.embed(spark.createDataFrame([], "t string"), "t", encode, "e", tasks=2).collect() == []
+    df = spark.range(700).selectExpr("id", "repeat('x', cast(id % 5 as int)) AS t")
+    got = inference.embed(df, "t", encode, "e", tasks=1).collect()
+    assert len(got) == 700 and all(list(r.embedding) == [float(r.id % 5)] * 3 for r in got)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 BIGRAM_DIM = 256
 BIGRAM_ENCODER_ID = "char-bigram-256"
+# Characters that the encoder looks at together, unless one text has more.
+_CHARACTERS = 1 << 18
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -41,6 +43,9 @@ def bigram_encoder(texts: list[str], dim: int = BIGRAM_DIM) -> np.ndarray:
     """
     if not texts:
         return np.zeros((0, dim), dtype=np.float32)
+    if len(texts) > 1 and sum(map(len, texts)) > _CHARACTERS:
+        half = len(texts) // 2
+        return np.concatenate((bigram_encoder(texts[:half], dim), bigram_encoder(texts[half:], dim)))
     codes = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
     ends = np.cumsum([len(t) + 2 for t in texts])
     row = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))

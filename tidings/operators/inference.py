@@ -1,7 +1,7 @@
 """Model calls: text completion and embedding, with the model injected as a plain callable.
 
-Only the prompt or text column crosses to Python, in Arrow batches; all other columns stay in the JVM.
-Write the result out before using it twice: an answer may differ when it is computed again.
+Only the prompt or text column crosses to Python, in Arrow batches; all other columns stay in the JVM. Of a batch, whose
+size Spark limits, only a few hundred texts at a time become Python strings. Write the result out before using it twice: an answer may differ when it is computed again.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StringType
@@ -25,6 +25,16 @@ DEFAULT_TEMPLATE = (
     "ID: {Id}\nDate: {date}\nTitle: {title}\nContent: {content}\n"
 )
 
+# Texts of an Arrow batch that are Python strings at the same time, at least.
+_TEXTS = 256
+_VECTOR = pa.list_(pa.field("element", pa.float32()))
+
+
+def _slices(batches: Iterator[pa.Array], rows: int) -> Iterator[tuple[pa.Array, Iterator[list[str | None]]]]:
+    """Each batch, with its texts as lists of ``rows`` of them."""
+    for batch in batches:
+        yield batch, (batch.slice(start, rows).to_pylist() for start in range(0, len(batch), rows))
+
 
 def article_prompt(template: str = DEFAULT_TEMPLATE):
     """Prompt column of an article; a template with unknown slots falls back to the default."""
@@ -58,11 +68,21 @@ def complete(
         except Exception as error:
             return f"{FAILURE_PREFIX} API calling: {error}"
 
-    @F.pandas_udf(StringType())
-    def answers(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def answer_next(todo: Iterator[tuple[int, str]], out: list) -> None:
+        for k, text in todo:  # all threads take from one iterator
+            out[k] = answer(text)
+
+    @F.arrow_udf(StringType())
+    def answers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with ThreadPoolExecutor(share) as pool:
-            for texts in batches:
-                yield pd.Series(list(pool.map(answer, texts)), dtype=object)
+            for batch, parts in _slices(batches, max(_TEXTS, 64 * share)):
+                made: list[str | None] = []
+                for texts in parts:
+                    out, todo = [None] * len(texts), iter(list(enumerate(texts)))
+                    for done in [pool.submit(answer_next, todo, out) for _ in range(share)]:
+                        done.result()
+                    made += out
+                yield pa.array(made, pa.string())
 
     return df.repartition(tasks).withColumn(out, answers.asNondeterministic()(F.col(prompt)))
 
@@ -108,21 +128,27 @@ def embed(
         size = window_chars or max(len(text), 1)
         return [text[k : k + size] for k in range(0, max(len(text), 1), size)]
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            cut = [windows("" if t is None else t) for t in texts]
-            values = [w for ws in cut for w in ws]
-            rows: list[np.ndarray] = []
-            for start in range(0, len(values), batch_size):
-                rows.extend(np.asarray(encode(values[start : start + batch_size]), dtype=np.float32))
-            made, at = [], 0
-            for ws in cut:
-                part = rows[at : at + len(ws)]
-                weight = [max(len(w), 1) for w in ws]
-                made.append(part[0] if len(ws) == 1 else np.average(part, axis=0, weights=weight).astype(np.float32))
-                at += len(ws)
-            yield pd.Series(made, dtype=object)
+    def encoded(texts: list[str | None]) -> list[np.ndarray]:
+        cut = [windows("" if t is None else t) for t in texts]
+        values = [w for ws in cut for w in ws]
+        rows: list[np.ndarray] = []
+        for start in range(0, len(values), batch_size):
+            rows.extend(np.asarray(encode(values[start : start + batch_size]), dtype=np.float32))
+        made, at = [], 0
+        for ws in cut:
+            part = rows[at : at + len(ws)]
+            weight = [max(len(w), 1) for w in ws]
+            made.append(part[0] if len(ws) == 1 else np.average(part, axis=0, weights=weight).astype(np.float32))
+            at += len(ws)
+        return made
+
+    @F.arrow_udf(ArrayType(FloatType()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch, parts in _slices(batches, max(_TEXTS, batch_size)):
+            made = [v for texts in parts for v in encoded(texts)]
+            ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
+            flat = np.concatenate(made) if made else np.zeros(0, np.float32)
+            yield pa.ListArray.from_arrays(ends, flat, type=_VECTOR)
 
     df = df.repartition(max(1, tasks or df.sparkSession.sparkContext.defaultParallelism))
     embedded = df.withColumn(out, vectors.asNondeterministic()(F.col(text)))

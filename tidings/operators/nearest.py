@@ -52,8 +52,11 @@ def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     if n == 0 or flat is None or len(flat) == 0:
         return np.zeros((n, 1))
     rows = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
-    norms = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norms > 0, norms, 1.0)
+    for start in range(0, n, _STRIDE):  # in place, so that a side of a tile is held once
+        part = rows[start : start + _STRIDE]
+        norms = np.linalg.norm(part, axis=1, keepdims=True)
+        part /= np.where(norms > 0, norms, 1.0)
+    return rows
 
 
 def _best_of_all(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
