@@ -758,9 +758,9 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 # --- whole run -----------------------------------------------------------------------------------
 
 
-def _inputs(spark: SparkSession, sf: str) -> str:
+def _inputs(spark: SparkSession, sf: str, news_rows: DataFrame | None = None, news_folder: str = "news") -> str:
     root = storage.scratch_path(spark, "run")
-    view(spark, sf, "v_news").write.parquet(f"{root}/news")
+    (view(spark, sf, "v_news") if news_rows is None else news_rows).write.parquet(f"{root}/{news_folder}")
     view(spark, sf, "v_company_hist").drop("tie1", "tie2").write.parquet(f"{root}/company")
     return root
 
@@ -841,12 +841,11 @@ def _lose() -> None:
 
 def serving_after_failed_publish(spark: SparkSession, sf: str) -> DataFrame:
     """Three days: the second one's publishing fails, the third has nothing new."""
-    root = _inputs(spark, sf)
-    # One partition, so that the cursor's day excludes nothing.
-    feed = spark.read.parquet(f"{root}/news").withColumn("part_basc_dt", F.lit("20260105"))
+    # One partition, so that the cursor's day excludes nothing. The first day's articles come again on the others.
+    root = _inputs(spark, sf, view(spark, sf, "v_news").withColumn("part_basc_dt", F.lit("20260105")), "day2")
+    feed = spark.read.parquet(f"{root}/day2")
     middle = feed.agg(F.max("seq")).first()[0] // 2
     feed.where(F.col("seq") <= middle).write.parquet(f"{root}/day1")
-    feed.write.parquet(f"{root}/day2")
     _day(spark, root, "20260126", "day1")
     try:
         with _failing("export_serving"):

@@ -31,6 +31,13 @@ def test_rank_filter_runs_before_the_shuffle(rows):
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
 
 
+def test_a_date_is_parsed_once(rows):
+    df = rows(HISTORY, ("1", "a", "M", "i", "p", "N/A"), ("1", "b", "M", "i", "p", None), ("2", "a", "M", "i", "p", "N/A"), ("2", "c", "M", "i", "p", "7"))
+    newest = master.latest_per_customer(df)
+    assert [(r.cust_no, r.cust_nm, r.lst_ases_dt) for r in newest.collect()] == [("2", "c", "7")]
+    assert newest._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
+
+
 def test_directory_keeps_the_first_of_a_shared_name(rows):
     df = rows("cust_no string, cust_nm string", ("2", "A Inc."), ("1", "a"), ("3", "B"), (None, "B"))
     got = {r.clean_cust_nm: (r.n_candidates, r.cust_no, r.cust_nm) for r in master.name_directory(master.with_clean_name(df)).collect()}

@@ -26,11 +26,10 @@ def latest_per_customer(df: DataFrame, date_col: str = ASSESSED_ON, ties: list[s
     Equal dates are decided by ``ties`` (all other columns unless given), smallest first.
     """
     others = ties if ties is not None else [c for c in df.columns if c not in ("cust_no", date_col)]
-    dated = df.withColumn("_day", to_number(date_col)).where(
-        F.col("cust_no").isNotNull() & F.col("_day").isNotNull()
-    )
+    dated = df.withColumn("_day", to_number(date_col)).where(F.col("cust_no").isNotNull())
+    # Null days come last and are dropped afterwards: a condition here would parse every date twice.
     newest = keep_first(dated, ["cust_no"], [F.desc("_day"), *[F.asc_nulls_first(c) for c in others]])
-    return newest.withColumn(date_col, F.col("_day").cast("bigint").cast("string")).drop("_day")
+    return newest.where(F.col("_day").isNotNull()).withColumn(date_col, F.col("_day").cast("bigint").cast("string")).drop("_day")
 
 
 def company_columns(df: DataFrame) -> DataFrame:
