@@ -286,3 +286,20 @@ def test_the_encoder_and_a_side_of_a_tile_need_little_memory_beside_their_result
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 1.5 * rows.nbytes and np.allclose(rows, 1 / 8)
+
+
+def test_a_tile_holds_one_cell_in_double_precision_at_a_time():
+    rng, n, cells, dim = np.random.default_rng(7), 400, 40, 256
+    many, few = unit(rng, n * cells, dim), unit(rng, 3 * cells, dim)
+    vecs = lambda rows: pa.ListArray.from_arrays(np.arange(0, rows.size + 1, dim, dtype=np.int32), rows.ravel())
+    table = lambda key, vec, rows: pa.table({"cell": np.arange(len(rows)) % cells, key: np.arange(len(rows)), vec: vecs(rows)})
+    queries, index = table("query_key", "query_vec", many), table("item_key", "item_vec", few)
+    nearest._best_in_tile(queries, index)
+    tracemalloc.start()
+    found = nearest._best_in_tile(queries, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < many.size * 8 / 4  # Arrow's memory isn't traced; all queries in double precision would be four times that
+    for key, item in zip(found["query_key"].to_pylist()[::97], found["item_key"].to_pylist()[::97]):
+        own = np.arange(key % cells, len(few), cells)
+        assert item == own[brute_force(many[key : key + 1], few[own])[0][0]]

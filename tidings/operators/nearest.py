@@ -112,10 +112,12 @@ def _best_in_cell(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _best_in_tile(queries: pa.Table, index: pa.Table) -> pa.Table:
-    """Best index row of each query among those of its cell; the smallest key wins a tie."""
+    """Best index row of each query among those of its cell; the smallest key wins a tie.
+
+    Only the vectors of one cell at a time are held in double precision.
+    """
     index = index.sort_by([("cell", "ascending"), ("item_key", "ascending")])
     queries = queries.sort_by("cell")
-    items, wanted = _matrix(index["item_vec"], index.num_rows), _matrix(queries["query_vec"], queries.num_rows)
     both = pa.chunked_array([*index["cell"].chunks, *queries["cell"].chunks], index["cell"].type)
     codes = both.combine_chunks().dictionary_encode().indices.to_numpy()
     ours, theirs = codes[index.num_rows :], codes[: index.num_rows]
@@ -125,7 +127,9 @@ def _best_in_tile(queries: pa.Table, index: pa.Table) -> pa.Table:
     rows, found, cosines, tops = [], [], [], []
     for cell, at, n in zip(*(x.tolist() for x in np.unique(ours, return_index=True, return_counts=True))):
         if cell in starts:
-            best, cos, top = _best_in_cell(wanted[at : at + n], items[starts[cell] : starts[cell] + sizes[cell]])
+            wanted = _matrix(queries["query_vec"].slice(at, n), n)
+            items = _matrix(index["item_vec"].slice(starts[cell], sizes[cell]), sizes[cell])
+            best, cos, top = _best_in_cell(wanted, items)
             rows.append(np.arange(at, at + n))
             found.append(best + starts[cell])
             cosines.append(cos)
