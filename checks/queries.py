@@ -594,7 +594,8 @@ def homonym_resolve(spark: SparkSession, sf: str) -> DataFrame:
         _directory(spark, sf),
         spark.createDataFrame([], "clean_target_company string, matched_clean_name string, similarity_score double"),
     )
-    named = storage.materialize(matched, label="named")
+    kept = "seq", "target_company", "matched_clean_name", "n_candidates", "cust_no", "cust_nm"
+    named = storage.materialize(matched.select(*kept), label="named")
     e = table(spark, sf, "embeddings")
     n = e.count()
     articles = named.select("seq").distinct().withColumn("context_key", F.col("seq") % n)

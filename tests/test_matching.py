@@ -159,6 +159,21 @@ def test_a_cell_is_searched_in_bounded_memory_and_as_in_double_precision():
     assert peak < 64 << 20
 
 
+def test_products_with_many_items_are_not_held():
+    rng = np.random.default_rng(8)
+    items, wanted = unit(rng, 60000, 16).astype(float), unit(rng, 300, 16).astype(float)
+    items[9::7000] = items[9]
+    wanted[0] = items[9]
+    tracemalloc.start()
+    best, cos, top = nearest._best_in_cell(wanted, items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    exact = wanted @ items.T
+    assert (best == np.round(exact, 6).argmax(axis=1)).all() and best[0] == 9
+    assert np.allclose(cos, exact[np.arange(300), best], atol=1e-12) and np.allclose(top, exact.max(axis=1), atol=1e-12)
+    assert peak < 16 << 20  # the products of 256 queries in single precision alone would be 61 MB
+
+
 def test_scores():
     assert vectors.cosine_for_relevance(0.9) == pytest.approx(0.92929, abs=1e-5)
 
@@ -247,6 +262,26 @@ def test_homonyms_go_to_the_closest_context(spark, companies):
     assert out.count() == 4
 
 
+def test_articles_are_joined_once(spark, companies, tmp_path):
+    """With customer numbers that come twice, an article that comes twice, and a name without context."""
+    named = spark.createDataFrame(
+        [(1, "알파전자", "알파전자", 2, "001", "알파전자"), (1, "알파전자", "알파전자", 2, "001", "알파전자"), (2, "알파전자", "알파전자", 2, "001", "알파전자"),
+         (3, "Gamma", "gamma", 1, "004", "Gamma"), (4, "알파전자", "알파전자", 2, "001", "알파전자"), (5, "beta", "beta", 2, "003", "Beta")],
+        "seq bigint, target_company string, matched_clean_name string, n_candidates bigint, cust_no string, cust_nm string",
+    )
+    keys = str(tmp_path / "article-keys")
+    spark.createDataFrame([(1, 7), (2, 8), (4, None), (5, 7)], "seq bigint, context_key bigint").write.parquet(keys)
+    company_keys = spark.createDataFrame([("알파전자", "001", 7), ("알파전자", "002", 8), ("알파전자", "002", 8)], "clean_cust_nm string, cust_no string, context_key bigint")
+    contexts = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 1.0])], "context_key bigint, embedding array<float>")
+    names = companies.select("cust_no", "cust_nm").union(companies.where("cust_no = '002'").select("cust_no", F.lit("again")))
+    out = homonyms.resolve_homonyms(named, spark.read.parquet(keys), company_keys, names, contexts)
+    assert not [f for f in out.inputFiles() if keys in f]
+    assert sorted((r.seq, r.cust_no, r.cust_nm, r.homonym_score) for r in out.collect()) == [
+        (1, "001", "알파전자", 1.0), (1, "001", "알파전자", 1.0), (2, "002", "(주)알파전자", 1.0), (2, "002", "again", 1.0),
+        (3, "004", "Gamma", 0.0), (4, "001", "알파전자", 0.0), (5, "003", "Beta", 0.0),
+    ]
+
+
 def test_contexts_fall_back_to_the_name(companies):
     got = {r.cust_no: r.context for r in homonyms.company_contexts(companies).collect()}
     assert got["001"] == "electronics phones" and got["003"] == "Beta Motors"

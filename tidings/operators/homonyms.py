@@ -52,16 +52,19 @@ def resolve_homonyms(
     article without context, keeps the first company and gets ``homonym_score`` 0. The smallest
     customer number wins a tie.
 
-    ``matches`` is read several times and should be a stored table. Only distinct (name, article context) and (name, company context) rows carry vectors through the
+    ``matches`` is read twice and should be a stored table. Rows of shared names are stored with the key of their article's
+    context, so that articles are joined once. Only distinct (name, article context) and (name, company context) rows carry vectors through the
     search, and the search gives one row per query, so no list of pairs is ever built.
     """
     plain = matches.where(F.col("n_candidates") == 1).withColumn("homonym_score", F.lit(0.0))
-    unclear = (
-        ambiguous(matches)
-        .join(article_keys.select("seq", "context_key"), "seq", "left")
-        .withColumn("query_key", F.struct(F.col("matched_clean_name").alias("cell"), "context_key"))
+    unclear = storage.materialize(
+        ambiguous(matches).join(article_keys.select("seq", "context_key"), "seq", "left"), label="unclear"
+    )
+    wanted = (
+        unclear.where(F.col("context_key").isNotNull())
+        .select(F.col("matched_clean_name").alias("cell"), "context_key")
+        .distinct()
     )
-    wanted = unclear.where(F.col("context_key").isNotNull()).select("query_key", "context_key").distinct()
     offered = company_keys.groupBy(F.col("clean_cust_nm").alias("cell"), "context_key").agg(
         F.min("cust_no").alias("item_key")
     )
@@ -69,18 +72,21 @@ def resolve_homonyms(
     offered = storage.materialize(offered, label="company-contexts")
     queries = (
         wanted.join(vectors, "context_key")
-        .select("query_key.cell", "query_key", F.col("embedding").alias("query_vec"))
+        .select("cell", F.struct("cell", "context_key").alias("query_key"), F.col("embedding").alias("query_vec"))
     )
     index = (
         offered.join(vectors, "context_key")
         .select("cell", "item_key", F.col("embedding").alias("item_vec"))
     )
     # Rows per name are counted on the stored keys, so that vectors are joined once.
-    cells = wanted.select("query_key.cell"), offered.select("cell")
-    best = best_in_cells(queries, index, one_cell=True, counted=cells).join(
-        names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key"
+    cells = wanted.select("cell"), offered.select("cell")
+    best = (
+        best_in_cells(queries, index, one_cell=True, counted=cells)
+        .select("query_key.context_key", F.col("query_key.cell").alias("matched_clean_name"), "item_key", "cos")
+        .join(names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key")
     )
-    resolved = unclear.join(best, "query_key", "left").select(
+    # The context comes first: it tells rows apart sooner than the name does.
+    resolved = unclear.join(best, ["context_key", "matched_clean_name"], "left").select(
         *[c for c in matches.columns if c not in ("cust_no", "cust_nm")],
         F.coalesce("item_key", "cust_no").alias("cust_no"),
         F.coalesce("best_nm", "cust_nm").alias("cust_nm"),

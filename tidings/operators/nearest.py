@@ -25,10 +25,11 @@ from ..functions.vectors import cosine_for_relevance, relevance
 # Rows per side of a tile; memory of a tile is about (INDEX_ROWS + QUERY_ROWS) * dimension * 8 bytes.
 INDEX_ROWS = 16384
 QUERY_ROWS = 16384
-# Queries held against pivots, or against few items, at once; and against many items.
+# Queries held against pivots, against few items, or against one chunk of many items, at once; and against many items in double precision.
 _STRIDE = 1024
 _BLOCK = 256
 _FEW_ITEMS = 512
+_CHUNK = 256
 # Vector entries of pairs compared at once in double precision.
 _PAIR_ENTRIES = 1 << 20
 
@@ -94,19 +95,34 @@ def _best_in_cell(wanted: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np
         return best, cos, top
     # A product of unit rows of d entries is off by less than (d + 4) / 2^24, on both sides of a comparison.
     slack = np.float32(1.1 * 10.0**-_PLACES + 2 * (items.shape[1] + 4) * 2.0**-24 + 2.0**-22)
-    rough, most = items.astype(np.float32).T, len(items) // 16
-    for start in range(0, len(wanted), _BLOCK):
-        part = wanted[start : start + _BLOCK].astype(np.float32) @ rough
-        row, col = np.divmod(np.flatnonzero(part >= (part.max(axis=1) - slack)[:, None]), len(items))
-        counts = np.bincount(row, minlength=len(part))
+    rough, most = items.astype(np.float32), len(items) // 16
+    chunks = [rough[k : k + _CHUNK] for k in range(0, len(items), _CHUNK)]
+    for start in range(0, len(wanted), _STRIDE):
+        part = wanted[start : start + _STRIDE].astype(np.float32)
+        # Products are looked at while they are in the processor's cache: of a chunk only the highest is kept for each row.
+        products, highs = np.empty((_CHUNK, len(part)), dtype=np.float32), np.empty((len(chunks), len(part)), dtype=np.float32)
+        for chunk, high in zip(chunks, highs):
+            np.matmul(chunk, part.T, out=products[: len(chunk)]).max(axis=0, out=high)
+        limit = highs.max(axis=0) - slack
+        counts, found = np.zeros(len(part), dtype=np.int64), []
+        for k, chunk in enumerate(chunks):
+            # Rows that have had too many items are not looked at again, so that few pairs are held.
+            rows = np.flatnonzero((highs[k] >= limit) & (counts <= most))
+            if len(rows):
+                row, col = np.divmod(np.flatnonzero(part[rows] @ chunk.T >= limit[rows, None]), len(chunk))
+                counts += np.bincount(rows[row], minlength=len(part))
+                found.append((rows[row], col + k * _CHUNK))
         hard = (counts == 0) | (counts > most)
         if hard.any():
-            easy = ~hard[row]
-            row, col = row[easy], col[easy]
             rows = start + np.flatnonzero(hard)
-            best[rows], cos[rows], top[rows] = whole(rows)
-        if len(row):
-            at, first, exact, high = _best_of_candidates(wanted, items, row + start, col)
+            for k in range(0, len(rows), _BLOCK):
+                some = rows[k : k + _BLOCK]
+                best[some], cos[some], top[some] = whole(some)
+        if not hard.all():
+            row, col = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(row, kind="stable")
+            order = order[~hard[row[order]]]
+            at, first, exact, high = _best_of_candidates(wanted, items, row[order] + start, col[order])
             best[at], cos[at], top[at] = first, exact, high
     return best, cos, top
 
