@@ -282,6 +282,12 @@ def test_articles_are_joined_once(spark, companies, tmp_path):
     ]
 
 
+def test_short_vectors_come_in_larger_tiles(rows):
+    tile = lambda *lengths: homonyms._tile_rows(rows("embedding array<float>", *[(None if n is None else [1.0] * n,) for n in lengths]))
+    assert tile(None, 64, 64) == 2 * nearest.INDEX_ROWS and tile(2) == 4 * nearest.INDEX_ROWS
+    assert tile(256) == tile(1024) == tile() == tile(None) == nearest.INDEX_ROWS
+
+
 def test_contexts_fall_back_to_the_name(companies):
     got = {r.cust_no: r.context for r in homonyms.company_contexts(companies).collect()}
     assert got["001"] == "electronics phones" and got["003"] == "Beta Motors"

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from .. import storage
 from ..functions.text import article_context, company_context
-from .nearest import best_in_cells
+from .nearest import INDEX_ROWS, best_in_cells
+
+# Vector entries per side of a tile, if its usual number of rows has fewer: short vectors come in larger tiles, so that
+# contexts of a name that fill many tiles are copied less often.
+_TILE_ENTRIES = 1 << 21
+_TILE_ROWS = 4 * INDEX_ROWS
 
 
 def context_key(context: Column | str) -> Column:
@@ -41,6 +46,12 @@ def ambiguous(matches: DataFrame) -> DataFrame:
     return matches.where(F.col("n_candidates") > 1)
 
 
+def _tile_rows(vectors: DataFrame) -> int:
+    """Rows per side of a tile, by the length of the vectors."""
+    first = vectors.where(F.size("embedding") > 0).select(F.size("embedding")).head()
+    return max(INDEX_ROWS, min(_TILE_ROWS, _TILE_ENTRIES // first[0])) if first else INDEX_ROWS
+
+
 def resolve_homonyms(
     matches: DataFrame, article_keys: DataFrame, company_keys: DataFrame, names: DataFrame, vectors: DataFrame
 ) -> DataFrame:
@@ -80,8 +91,9 @@ def resolve_homonyms(
     )
     # Rows per name are counted on the stored keys, so that vectors are joined once.
     cells = wanted.select("cell"), offered.select("cell")
+    rows = _tile_rows(vectors)
     best = (
-        best_in_cells(queries, index, one_cell=True, counted=cells)
+        best_in_cells(queries, index, rows, rows, one_cell=True, counted=cells)
         .select("query_key.context_key", F.col("query_key.cell").alias("matched_clean_name"), "item_key", "cos")
         .join(names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key")
     )
