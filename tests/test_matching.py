@@ -41,6 +41,54 @@ def test_best_in_cells_equals_brute_force_with_a_hot_cell(spark, index_rows, que
         assert got[q][0] == members[best[0]] and got[q][1] == pytest.approx(cos[0], abs=1e-6)
 
 
+def _stored_turns(monkeypatch):
+    """The tables that turns of a search store from now on, as lists of query keys."""
+    turns, store = [], nearest.storage.materialize
+
+    def kept(df, path=None, label="stage"):
+        stored = store(df, path, label)
+        if label == "turn-best":
+            turns.append([r.query_key for r in stored.select("query_key").collect()])
+        return stored
+
+    monkeypatch.setattr(nearest.storage, "materialize", kept)
+    return turns
+
+
+@pytest.mark.parametrize("one_cell", [True, False])
+def test_parts_of_a_large_cell_take_turns(spark, monkeypatch, one_cell):
+    """Eight by eight tiles of one cell would copy each row eight times at once; each turn copies it about twice."""
+    rng = np.random.default_rng(8)
+    index, queries = unit(rng, 90, 8), unit(rng, 90, 8)
+    cell_of = lambda i: 0 if i < 80 else i % 5 + 1
+    cells = lambda q: [cell_of(q)] if one_cell else sorted({cell_of(q), 1})
+    left = spark.createDataFrame([(c, q, r.tolist()) for q, r in enumerate(queries) for c in cells(q)], "cell int, query_key int, query_vec array<float>")
+    right = spark.createDataFrame([(cell_of(i), f"{i:03d}", r.tolist()) for i, r in enumerate(index)], "cell int, item_key string, item_vec array<float>")
+    turns = _stored_turns(monkeypatch)
+    got = {r.query_key: (int(r.item_key), r.cos) for r in nearest.best_in_cells(left, right, 10, 10, one_cell=one_cell).collect()}
+    assert len(got) == 90 and len(turns) >= 3
+    in_first_cell = [q for turn in turns for q in turn if q < 80]
+    assert max(sum(q < 80 for q in turn) for turn in turns) < 60
+    if one_cell:
+        assert sorted(in_first_cell) == list(range(80))
+    for q in range(90):
+        members = [i for i in range(90) if cell_of(i) in cells(q)]
+        best, cos = brute_force(queries[q : q + 1], index[members])
+        assert got[q][0] == members[best[0]] and got[q][1] == pytest.approx(cos[0], abs=1e-6)
+
+
+@pytest.mark.parametrize("n_queries, n_items", [(10, 300), (300, 10), (200, 200), (400, 400)])
+def test_turns_keep_the_copies_of_one_near_the_rows(rows, n_queries, n_items):
+    """Twice the rows on both sides are four times the copies, in twice the turns."""
+    part = lambda n: (-(-n // 10), n) if n > 10 else (None, None)
+    large = rows("cell int, index_parts int, index_n bigint, query_parts int, query_n bigint", (0, *part(n_items), *part(n_queries)))
+    turns = nearest._turns(large, 10, 10, n_queries + n_items)
+    copies = n_queries * -(-n_items // 10) + n_items * -(-n_queries // 10)
+    assert 1 <= turns <= -(-n_queries // 10)
+    assert copies / turns <= 1.1 * nearest.TURN_COPIES * (n_queries + n_items)
+    assert nearest._turns(large.limit(0), 10, 10, 0) == 1
+
+
 def test_tie_goes_to_the_smallest_key_across_tiles(spark):
     same = [(0, f"{i:03d}", [1.0, 0.0]) for i in range(50)]
     left = spark.createDataFrame([(0, 1, [1.0, 0.0]), (0, 2, [0.0, 0.0])], "cell int, query_key int, query_vec array<float>")
@@ -282,6 +330,17 @@ def test_articles_are_joined_once(spark, companies, tmp_path):
     ]
 
 
+def test_vectors_of_contexts_are_off_the_disk_when_mentions_travel(rows):
+    """The search is stored, so that its shuffles are removed before the last join: no step of it is in the result's plan."""
+    named = rows("seq bigint, target_company string, matched_clean_name string, n_candidates bigint, cust_no string, cust_nm string", (1, "a", "a", 2, "1", "a"))
+    company_keys = rows("clean_cust_nm string, cust_no string, context_key bigint", ("a", "1", 7), ("a", "2", 8))
+    vectors = rows("context_key bigint, embedding array<float>", (7, [1.0, 0.0]), (8, [0.0, 1.0]))
+    names = rows("cust_no string, cust_nm string", ("1", "a"), ("2", "b"))
+    out = homonyms.resolve_homonyms(named, rows("seq bigint, context_key bigint", (1, 8)), company_keys, names, vectors)
+    assert [(r.cust_no, r.cust_nm, r.homonym_score) for r in out.collect()] == [("2", "b", 1.0)]
+    assert "CoGroup" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_short_vectors_come_in_larger_tiles(rows):
     tile = lambda *lengths: homonyms._tile_rows(rows("embedding array<float>", *[(None if n is None else [1.0] * n,) for n in lengths]))
     assert tile(None, 64, 64) == 2 * nearest.INDEX_ROWS and tile(2) == 4 * nearest.INDEX_ROWS

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,27 @@ def test_aggregates_combine_before_the_shuffle(spark):
     assert "partial_count" in plan_of(dedup.key_counts(df, ["k"]))
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.splitlines() if re.search(r"/shuffle_[^/]*$", f)}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """Nor does one that is stored again; the session's own setting stays, also when a write fails."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = _shuffle_files(spark), spark.conf.get(setting)
+    df = spark.range(0, 10000, 1, 4).groupBy((F.col("id") % 1000).alias("k")).count()
+    for _ in range(2):
+        assert sum(r["count"] for r in storage.materialize(df).collect()) == 10000
+    deadline = time.monotonic() + 20  # files are removed in the background
+    while _shuffle_files(spark) - before and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    with pytest.raises(Exception, match="no such"):
+        storage.materialize(spark.range(1).select(F.raise_error(F.lit("no such"))))
+    assert spark.conf.get(setting) == own
+
+
 def test_only_the_wanted_columns_and_days_are_read(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "RISK", "1", "2026.01.01"), (2, "RISK", "1", "2026.01.02")],

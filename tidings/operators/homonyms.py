@@ -92,9 +92,10 @@ def resolve_homonyms(
     # Rows per name are counted on the stored keys, so that vectors are joined once.
     cells = wanted.select("cell"), offered.select("cell")
     rows = _tile_rows(vectors)
+    # Stored, so that the vectors' copies are off the disk when the mentions travel.
+    best = storage.materialize(best_in_cells(queries, index, rows, rows, one_cell=True, counted=cells).drop("top"), label="best-contexts")
     best = (
-        best_in_cells(queries, index, rows, rows, one_cell=True, counted=cells)
-        .select("query_key.context_key", F.col("query_key.cell").alias("matched_clean_name"), "item_key", "cos")
+        best.select("query_key.context_key", F.col("query_key.cell").alias("matched_clean_name"), "item_key", "cos")
         .join(names.select(F.col("cust_no").alias("item_key"), F.col("cust_nm").alias("best_nm")), "item_key")
     )
     # The context comes first: it tells rows apart sooner than the name does.

@@ -12,6 +12,7 @@ of another cell has to reach, and only cells that can hold such a row are visite
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,9 @@ _CHUNK = 256
 # Vector entries of pairs compared at once in double precision.
 _PAIR_ENTRIES = 1 << 20
 
+# Copies of rows in the tiles that are dealt in one turn, for each row of both sides, at most about this many.
+TURN_COPIES = 2
+
 # Index rows that a query meets at least when it has to look beyond its own cell: fewer cost less than bringing the query there.
 GROUP_ROWS = 8192
 
@@ -167,7 +171,7 @@ def _large_cells(rows: DataFrame, limit: int, name: str) -> DataFrame:
         rows.groupBy("cell")
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > limit)
-        .select("cell", F.ceil(F.col("_n") / limit).cast("int").alias(name))
+        .select("cell", F.ceil(F.col("_n") / limit).cast("int").alias(f"{name}_parts"), F.col("_n").alias(f"{name}_n"))
     )
 
 
@@ -186,16 +190,20 @@ def best_in_cells(
     ``queries`` has ``cell, query_key, query_vec`` (a query may be in several cells, unless ``one_cell``
     says that none is), ``index`` has ``cell, item_key, item_vec``. Queries whose cells hold no index row are absent.
     Rows per cell are counted first, on ``counted`` if given: the cells of both sides, from stored tables.
+
+    The copies that travel to the tiles of large cells grow with the product of both sides. So the parts that queries are cut
+    into take turns, as many as keep the copies of one turn near the number of rows; of each turn only its best rows are stored.
     """
     query_cells, index_cells = counted or (queries, index)
-    large = _large_cells(index_cells, index_rows, "index_parts").join(
-        _large_cells(query_cells, query_rows, "query_parts"), "cell", "full_outer"
-    )
+    large = _large_cells(index_cells, index_rows, "index").join(_large_cells(query_cells, query_rows, "query"), "cell", "full_outer")
     # As many rows as full tiles at most; Spark decides how to join them.
-    parts = storage.materialize(large, label="large-cells")
+    large = storage.materialize(large, label="large-cells")
+    parts = large.select("cell", "index_parts", "query_parts")
     # Cells of one tile share as many tiles as keep them small on both sides, and all tasks busy.
-    needs = (-(-cells.count() // max(rows // 4, 1)) for cells, rows in ((index_cells, index_rows), (query_cells, query_rows)))
+    n_index, n_queries = index_cells.count(), query_cells.count()
+    needs = (-(-n // max(rows // 4, 1)) for n, rows in ((n_index, index_rows), (n_queries, query_rows)))
     packs = max(queries.sparkSession.sparkContext.defaultParallelism, *needs)
+    turns = _turns(large, index_rows, query_rows, n_index + n_queries)
 
     def tiled(rows: DataFrame, own: str, key: str, other: str) -> DataFrame:
         """Each row in its own part, once for every part of the other side."""
@@ -209,6 +217,7 @@ def best_in_cells(
             .withColumn("other", F.explode(F.sequence(F.lit(0), others - 1)))
         )
 
+    turn = F.pmod(F.when(F.col("pack") < 0, F.col("qp")).otherwise(F.col("pack")), F.lit(turns))
     left = tiled(queries, "query_parts", "query_key", "index_parts").select(
         "alone", "pack", F.col("own").alias("qp"), F.col("other").alias("ip"), "cell", "query_key", "query_vec"
     )
@@ -218,10 +227,24 @@ def best_in_cells(
     key_type = lambda df, c: df.schema[c].dataType.simpleString()
     schema = f"query_key {key_type(queries, 'query_key')}, item_key {key_type(index, 'item_key')}, cos double, top double"
     tiles = ["alone", "pack", "qp", "ip"]
-    found = left.groupBy(*tiles).cogroup(right.groupBy(*tiles)).applyInArrow(_best_in_tile, schema)
-    if one_cell and parts.isEmpty():
-        return found  # each query was in a single tile
-    return _best_of(found)
+
+    def found(left: DataFrame, right: DataFrame) -> DataFrame:
+        rows = left.groupBy(*tiles).cogroup(right.groupBy(*tiles)).applyInArrow(_best_in_tile, schema)
+        return rows if one_cell and parts.isEmpty() else _best_of(rows)  # in the first case each query was in a single tile
+
+    if turns == 1:
+        return found(left, right)
+    best = [storage.materialize(found(left.where(turn == k), right.where(turn == k)), label="turn-best") for k in range(turns)]
+    best = reduce(DataFrame.unionByName, best)
+    return best if one_cell else _best_of(best)
+
+
+def _turns(large: DataFrame, index_rows: int, query_rows: int, n: int) -> int:
+    """In how many turns the tiles of large cells are dealt; ``n`` rows are on both sides. There are at most as many as parts of a cell's queries."""
+    index_parts, query_parts = (F.coalesce(f"{side}_parts", F.lit(1)) for side in ("index", "query"))
+    index_n, query_n = F.coalesce("index_n", F.lit(index_rows)), F.coalesce("query_n", F.lit(query_rows))
+    copies, most = large.agg(F.sum(query_n * index_parts + index_n * query_parts), F.max(query_parts)).first()
+    return min(most, math.ceil(copies / (TURN_COPIES * n))) if copies else 1
 
 
 def _best_of(found: DataFrame) -> DataFrame:

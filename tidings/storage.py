@@ -140,15 +140,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_scratch.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is executed inside has its shuffle files removed when it ends, not when the driver happens to collect garbage."""
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(_SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, path: str | None = None, label: str = "stage") -> DataFrame:
     """Write ``df`` once and read it back, so later stages never recompute it.
 
     Used after model calls (whose answers may differ between runs) and before operators that read
-    their input twice and need the same rows in the same files both times.
+    their input twice and need the same rows in the same files both times. Nothing reads the shuffles
+    of the write again, so they don't stay on disk beside those of later stages.
     """
     spark = df.sparkSession
     target = path or scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(target)
+    with shuffles_removed(spark):
+        df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
 
 
